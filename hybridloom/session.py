@@ -45,6 +45,11 @@ def checked_broadcast(df: DataFrame, rows: int = BROADCAST_ROW_LIMIT) -> DataFra
     return F.broadcast(df) if fits(df, rows) else df
 
 
+def broadcast_within(df: DataFrame, bound: int, rows: int = BROADCAST_ROW_LIMIT) -> DataFrame:
+    """Broadcast hint for a frame whose row bound is known by construction (queries x k)."""
+    return F.broadcast(df) if bound <= rows else df
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Give a table stored in fewer files than there are cores one partition per core.
 
