@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, functions as F
 
 # Patterns and word lists that decide results.
@@ -27,6 +29,11 @@ CITATION_PATTERNS = [
 CJK = r"[一-鿿㐀-䶿豈-﫿]"
 
 
+def bind(value: Column, body: Callable[[Column], Column]) -> Column:
+    """Evaluate ``value`` once and use it several times in ``body``, within one expression."""
+    return F.transform(F.array(value), body)[0]
+
+
 def strip(value: Column) -> Column:
     """Trim Unicode white space at both ends."""
     return F.regexp_replace(value, r"(?U)^\s+|\s+$", "")
@@ -85,10 +92,11 @@ def has_cjk(value: Column) -> Column:
 
 def word_windows(value: Column, size: int) -> Column:
     """Consecutive windows of ``size`` words, each joined by single spaces."""
-    found = words(value)
-    starts = F.sequence(F.lit(0), F.greatest(F.size(found) - 1, F.lit(0)), F.lit(size))
-    made = F.transform(starts, lambda at: F.array_join(F.slice(found, at + 1, F.lit(size)), " "))
-    return F.filter(made, lambda w: w != "")
+    def cut(found: Column) -> Column:
+        starts = F.sequence(F.lit(0), F.greatest(F.size(found) - 1, F.lit(0)), F.lit(size))
+        return F.transform(starts, lambda at: F.array_join(F.slice(found, at + 1, F.lit(size)), " "))
+
+    return F.filter(bind(words(value), cut), lambda w: w != "")
 
 
 def fingerprint(value: Column) -> Column:
@@ -117,9 +125,13 @@ def metadata_prefix(category: Column, subcategory: Column, date: Column, section
 def has_line_loop(value: Column, tail: int = 20, shortest: int = 2) -> Column:
     """True when the last K non-empty lines equal the K lines before them for some K."""
     lines = F.split(value, r"\r\n|\r|\n")
-    last = F.slice(lines, F.greatest(F.size(lines) - tail + 1, F.lit(1)), F.lit(tail))
-    kept = F.filter(last, lambda s: strip(s) != "")
-    n = F.size(kept)
-    lengths = F.sequence(F.lit(shortest), F.floor(n / 2).cast("int"))
-    repeated = F.exists(lengths, lambda k: F.slice(kept, n - k + 1, k) == F.slice(kept, n - 2 * k + 1, k))
-    return F.when(n < 2 * shortest, F.lit(False)).otherwise(repeated)
+    last = bind(lines, lambda ls: F.slice(ls, F.greatest(F.size(ls) - tail + 1, F.lit(1)), F.lit(tail)))
+
+    def repeated(kept: Column) -> Column:
+        n = F.size(kept)
+        lengths = F.sequence(F.lit(shortest), F.greatest(F.floor(n / 2).cast("int"), F.lit(shortest)))
+        found = F.exists(lengths, lambda k: F.slice(kept, F.greatest(n - k + 1, F.lit(1)), k)
+                         == F.slice(kept, F.greatest(n - 2 * k + 1, F.lit(1)), k))
+        return (n >= 2 * shortest) & found
+
+    return bind(F.filter(last, lambda s: strip(s) != ""), repeated)
