@@ -54,9 +54,10 @@ def _state(masked: Column, spans: Column) -> Column:
 
 
 def restore(value: Column, spans: Column) -> Column:
-    """Put the original citations back, first placeholder first."""
-    indexed = F.transform(spans, lambda s, i: F.struct(i.alias("i"), s.alias("s")))
-    return F.aggregate(indexed, value, lambda acc, x: F.replace(acc, _placeholder(x["i"]), x["s"]))
+    """Put the original citations back; only the placeholders that occur are looked up."""
+    used = F.array_distinct(F.regexp_extract_all(value, F.lit(r"__CITE_(\d+)__"), F.lit(1)))
+    return F.aggregate(used, value, lambda acc, i: F.replace(
+        acc, _placeholder(i), F.coalesce(F.get(spans, i.cast("int")), _placeholder(i))))
 
 
 def sentences(value: Column) -> Column:

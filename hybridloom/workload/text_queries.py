@@ -76,12 +76,12 @@ def sentence_split(spark: SparkSession, sf: str) -> DataFrame:
         "doc_id", F.col("pos").cast("long").alias("pos"), F.md5("s").alias("sentence_md5"))
 
 
-_CITED = "replace(replace(text, '. ', '. See Fig. 1. and (Smith et al., 2023; Jones, 2022) or [1, 2-4], i.e. '), ', ', ', cf. ')"
+_REMARK = ". See Fig. 1. and (Smith et al., 2023; Jones, 2022) or [1, 2-4], i.e. "
+_CITED = f"replace(replace(text, ', ', ', cf. '), '. ', '{_REMARK}')"
 
 
 def _cited() -> Column:
-    marked = F.replace(F.col("text"), F.lit(". "), F.lit(". See Fig. 1. and (Smith et al., 2023; Jones, 2022) or [1, 2-4], i.e. "))
-    return F.replace(marked, F.lit(", "), F.lit(", cf. "))
+    return F.replace(F.replace(F.col("text"), F.lit(", "), F.lit(", cf. ")), F.lit(". "), F.lit(_REMARK))
 
 
 _MASKED = (r"""regexp_replace(regexp_replace(regexp_replace(regexp_replace(c, '\[(\d+(\s*[-–]\s*\d+)?(\s*,\s*\d+(\s*[-–]\s*\d+)?)*)\]', '@#', 'g'), """
