@@ -130,7 +130,7 @@ def bibliography(spark: SparkSession, sf: str) -> DataFrame:
 @query("prompt_context", f"""WITH {sql_fused(12)}, {_RICH}, {_BIB}, tags AS (SELECT query_id, source_file, max(source_id) AS tag FROM bib GROUP BY 1, 2),
  g AS (SELECT query_id, title, section_title, max(score) AS best FROM rich GROUP BY 1, 2, 3),
  gr AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY best DESC, title || '::' || section_title) AS group_rank FROM g),
- ln AS (SELECT query_id, title, section_title, string_agg(printf('[score:%.4f] ', score) || text || ' [publisher:' || publisher || ' lang:' || language
+ ln AS (SELECT query_id, title, section_title, string_agg(printf('[score:%.4f] ', round(score, 4)) || text || ' [publisher:' || publisher || ' lang:' || language
    || CASE WHEN arxiv_id <> '' THEN ' arxiv:' || arxiv_id ELSE '' END || '] [Source: ' || tag || ']', chr(10) ORDER BY score DESC, id) AS body
    FROM rich JOIN tags USING (query_id, source_file) GROUP BY 1, 2, 3),
  ps AS (SELECT query_id, string_agg(chr(10) || '=== ' || section_title || ' (' || title || ') ===' || chr(10) || body || chr(10), chr(10) ORDER BY group_rank) AS passages
