@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -26,6 +27,12 @@ def build_session(app: str = "hybridloom", master: str | None = None, **conf: st
     return builder.getOrCreate()
 
 
+def work_folder(spark: SparkSession, name: str) -> str:
+    """A fresh folder for written tables, inside the shared folder the cluster names."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="hybridloom-")
+    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the folder the cluster names; a temporary one only where none is set."""
     context = df.sparkSession.sparkContext
