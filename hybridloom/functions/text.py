@@ -92,11 +92,8 @@ def has_cjk(value: Column) -> Column:
 
 def word_windows(value: Column, size: int) -> Column:
     """Consecutive windows of ``size`` words, each joined by single spaces."""
-    def cut(found: Column) -> Column:
-        starts = F.sequence(F.lit(0), F.greatest(F.size(found) - 1, F.lit(0)), F.lit(size))
-        return F.transform(starts, lambda at: F.array_join(F.slice(found, at + 1, F.lit(size)), " "))
-
-    return F.filter(bind(words(value), cut), lambda w: w != "")
+    window = rf"(?U)\S+(?:\s+\S+){{0,{size - 1}}}"
+    return F.transform(F.regexp_extract_all(value, F.lit(window), F.lit(0)), lambda w: F.regexp_replace(w, BLANK, " "))
 
 
 def fingerprint(value: Column) -> Column:

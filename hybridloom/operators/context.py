@@ -61,8 +61,8 @@ def expand_hits(hits: DataFrame, points: DataFrame, radius: int, query_col: str
     fresh = near.join(hits.select(*key).distinct(), key, "left_anti")
     listed = (hits.select(*key, id_col, "score", F.lit(0).alias("added"), F.col("rn").cast("long").alias("pos"))
               .unionByName(fresh.select(*key, id_col, F.lit(0.0).alias("score"), F.lit(1).alias("added"),
-                                        F.col(id_col).cast("long").alias("pos"))))
-    first = Window.partitionBy(*key).orderBy("added", "pos")
+                                        F.lit(None).cast("long").alias("pos"))))
+    first = Window.partitionBy(*key).orderBy("added", "pos", id_col)
     return listed.withColumn("_n", F.row_number().over(first)).filter("_n = 1").drop("_n")
 
 

@@ -77,3 +77,8 @@ def ingest_counters(papers: DataFrame, keys: list[str]) -> DataFrame:
 def keep_first(rows: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """First row of every key; the ordering columns must decide."""
     return rows.withColumn("_n", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).filter("_n = 1").drop("_n")
+
+
+def exclude_keys(rows: DataFrame, stored: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows whose key is not stored at all; several rows of one new key stay."""
+    return rows.join(stored.select(*keys).distinct(), keys, "left_anti")

@@ -17,7 +17,7 @@ PAYLOAD = {
     "chunk_count": "int", "token_count": "int", "heading_level": "int", "has_heading_context": "boolean",
     "publisher": "string", "language": "string", "isbn": "string", "arxiv_id": "string",
     "category": "string", "subcategory": "string", "publish_date": "string",
-    "authors": "array<string>", "year": "int", "dense_chunk_ids": "array<bigint>",
+    "authors": "array<string>", "year": "int", "dense_chunk_ids": "array<string>",
 }
 
 # Metadata fields that belong to equality filters.
