@@ -243,6 +243,12 @@ def test_recursive_split_loses_nothing(size):
     assert all(chunking.estimate_tokens(p) <= size for p in parts)
 
 
+def test_zero_overlap_repeats_nothing():
+    assert chunking.merge_pieces(["Is.", "x" * 12], 3, chunking.estimate_tokens, 0) == ["Is.", "x" * 12]
+    parts = chunking.split_recursively("Is. " + "word " * 40, 5, chunking.estimate_tokens)
+    assert "".join("".join(parts).split()) == "Is." + "word" * 40
+
+
 def test_runts():
     count = len
     assert chunking.merge_runts(["aaaa", "b", "cccc", "d"], 3, count) == ["aaaa b", "cccc d"]
