@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from hybridloom.config import SAE_TOP_FEATURES, SPARSE_WINDOW_WORDS
@@ -35,7 +36,7 @@ def mean_by_position(long: DataFrame, keys: list[str] | None = None) -> DataFram
 
 def mean_vectors(df: DataFrame, keys: list[str], vector: str) -> DataFrame:
     """Mean vector per key: combined on the map side, then one row of fixed width per key."""
-    long = df.select(*keys, F.posexplode(vector).alias("pos", "value"))
+    long = df.select(*keys, F.posexplode_outer(vector).alias("pos", "value")).filter("pos IS NOT NULL")
     means = mean_by_position(long, keys)
     ordered = F.array_sort(F.collect_list(F.struct("pos", "mean")))
     return means.groupBy(*keys).agg(F.transform(ordered, lambda p: p["mean"]).alias("mean"))
@@ -97,6 +98,7 @@ def encode_topk(points: DataFrame, encoder: dict, k: int = SAE_TOP_FEATURES, id_
         features = np.asarray(model["features"], dtype=np.int64)
         step = max(1, SCORE_BLOCK_CELLS // max(len(features), 1))
         for batch in batches:
+            batch = batch.filter(pc.is_valid(batch.column(1)))
             for start in range(0, batch.num_rows, step):
                 piece = batch.slice(start, step)
                 x = _matrix(piece.column(1), model["weights"].shape[1])
@@ -110,7 +112,7 @@ def encode_topk(points: DataFrame, encoder: dict, k: int = SAE_TOP_FEATURES, id_
                 yield pa.RecordBatch.from_arrays(
                     [ids, pa.array(features[order[row, col]]), pa.array(best[row, col])], schema=arrow)
 
-    return points.filter(F.col(vector).isNotNull()).select(id_col, vector).mapInArrow(encode, schema)
+    return points.select(id_col, vector).mapInArrow(encode, schema)
 
 
 def encode_long(points: DataFrame, weights: DataFrame, decoder_bias: DataFrame, norms: DataFrame,

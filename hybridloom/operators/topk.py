@@ -8,16 +8,15 @@ number of points. Query sets beyond the size bound are scored block by block.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
-from hybridloom.session import checked_broadcast
-
 QUERY_BLOCK_BYTES = 32 * 1024 * 1024
+QUERY_ROWS = 4096
 SCORE_BLOCK_CELLS = 4_000_000
 
 
@@ -79,13 +78,18 @@ def _output(points: DataFrame, queries: DataFrame, id_col: str, query_col: str)
     ])
 
 
-def _blocks(queries: DataFrame, query_col: str, row_bytes: int, limit: int) -> Iterator[list]:
-    """Collect the query side in blocks of bounded size."""
-    total = queries.count()
-    blocks = max(1, math.ceil(total * row_bytes / limit))
-    if blocks == 1:
-        yield queries.collect()
+def _blocks(queries: DataFrame, query_col: str, size: Callable[[list], int], per_block: Callable[[list], int],
+            limit: int) -> Iterator[list]:
+    """Collect the query side in blocks of bounded size.
+
+    The first QUERY_ROWS rows tell whether one block is enough; a larger set is cut by a hash of
+    the query id into blocks of about ``per_block`` rows.
+    """
+    rows = queries.limit(QUERY_ROWS + 1).collect()
+    if len(rows) <= QUERY_ROWS and size(rows) <= limit:
+        yield rows
         return
+    blocks = math.ceil(queries.count() / max(1, per_block(rows)))
     for block in range(blocks):
         yield queries.filter(F.pmod(F.xxhash64(query_col), F.lit(blocks)) == block).collect()
 
@@ -114,18 +118,23 @@ def dense_topk(points: DataFrame, queries: DataFrame, k: int, id_col: str = "id"
     """
     schema = _output(points, queries, id_col, query_col)
     arrow = _arrow_schema(schema)
-    source = points.filter(F.col(vector).isNotNull()).select(id_col, vector)
-    width = queries.select(F.max(F.size(query_vector))).first()[0] or 1
+    source = points.select(id_col, vector)
     parts = []
-    for rows in _blocks(queries.select(query_col, query_vector), query_col, width * 8, block_bytes):
-        query_ids = [r[0] for r in rows]
+    row_bytes = lambda rows: 8 * max((len(r[1]) for r in rows), default=1)
+    for rows in _blocks(queries.select(query_col, query_vector), query_col, lambda rows: len(rows) * row_bytes(rows),
+                        lambda rows: block_bytes // row_bytes(rows), block_bytes):
+        if not rows:
+            continue
+        query_ids, width = [r[0] for r in rows], len(rows[0][1])
         matrix = np.array([r[1] for r in rows], dtype=np.float64).reshape(len(rows), width)
         shared = points.sparkSession.sparkContext.broadcast((query_ids, matrix))
 
-        def score(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+        def score(batches: Iterator[pa.RecordBatch], shared=shared, width=width) -> Iterator[pa.RecordBatch]:
             ids, lookup = shared.value
             best = _Best(len(ids), k)
             for batch in batches:
+                # Missing vectors are dropped here: a filter would make the plan encode twice.
+                batch = batch.filter(pc.is_valid(batch.column(1)))
                 step = max(1, SCORE_BLOCK_CELLS // max(len(ids), 1))
                 for start in range(0, batch.num_rows, step):
                     piece = batch.slice(start, step)
@@ -154,20 +163,22 @@ def sparse_topk(points: DataFrame, queries: DataFrame, k: int, id_col: str = "id
     source = points.select(id_col, F.col(f"{vector}.indices").alias("indices"), F.col(f"{vector}.values").alias("values"))
     query_rows = queries.select(query_col, F.col(f"{query_vector}.indices").alias("indices"),
                                 F.col(f"{query_vector}.values").alias("values"))
-    wanted = query_rows.select(F.explode("indices").alias("term")).distinct()
-    if idf is None:
-        idf = inverse_document_frequency(points, vector, wanted)
-    per_query = query_rows.select(F.coalesce(F.avg(F.size("indices")), F.lit(1.0))).first()[0]
+    total = points.count() if idf is None else None
     parts = []
     # A block holds a queries x terms matrix, so its size grows with the square of its queries.
-    row_bytes = int(8 * per_query * max(1.0, math.sqrt(block_bytes / 8 / max(per_query, 1.0))))
-    for rows in _blocks(query_rows, query_col, row_bytes, block_bytes):
-        vocabulary = sorted({t for r in rows for t in (r[1] or [])})
+    vocabulary_of = lambda rows: sorted({t for r in rows for t in (r[1] or [])})
+    mean_terms = lambda rows: max(1.0, sum(len(r[1] or []) for r in rows) / max(len(rows), 1))
+    for rows in _blocks(query_rows, query_col, lambda rows: 8 * len(rows) * len(vocabulary_of(rows)),
+                        lambda rows: int(math.sqrt(block_bytes / 8 / mean_terms(rows))), block_bytes):
+        vocabulary = vocabulary_of(rows)
         if not vocabulary:
             continue
         column = {t: i for i, t in enumerate(vocabulary)}
-        block_terms = points.sparkSession.createDataFrame([(t,) for t in vocabulary], "term string")
-        weight = {r[0]: r[1] for r in idf.join(F.broadcast(block_terms), "term", "left_semi").select("term", "idf").collect()}
+        # The vocabulary of a block is bounded by the block size, so it may be broadcast.
+        block_terms = F.broadcast(points.sparkSession.createDataFrame([(t,) for t in vocabulary], "term string"))
+        known = (inverse_document_frequency(points, vector, block_terms, total) if idf is None
+                 else idf.join(block_terms, "term", "left_semi"))
+        weight = {r[0]: r[1] for r in known.select("term", "idf").collect()}
         matrix = np.zeros((len(rows), len(vocabulary)))
         for at, row in enumerate(rows):
             for term, value in zip(row[1] or [], row[2] or []):
@@ -200,15 +211,18 @@ def sparse_topk(points: DataFrame, queries: DataFrame, k: int, id_col: str = "id
     return _rank(_union(parts, points.sparkSession, schema), query_col, id_col, k, rank)
 
 
-def inverse_document_frequency(points: DataFrame, vector: str = "sparse", wanted: DataFrame | None = None) -> DataFrame:
+def inverse_document_frequency(points: DataFrame, vector: str = "sparse", wanted: DataFrame | None = None,
+                               total: int | None = None) -> DataFrame:
     """term, df, idf = ln(1 + (N - df + 0.5) / (df + 0.5)) over the whole collection.
 
     The count is combined on the map side, so a term found in every point costs one row per task.
+    ``wanted`` limits the terms; a caller that knows it to be small passes it with a broadcast hint.
     """
-    total = points.count()
-    found = points.select(F.explode(f"{vector}.indices").alias("term"))
+    total = points.count() if total is None else total
+    # The outer form: the plain one makes the planner test the array first, encoding every text twice.
+    found = points.select(F.explode_outer(f"{vector}.indices").alias("term")).filter("term IS NOT NULL")
     if wanted is not None:
-        found = found.join(checked_broadcast(wanted), "term", "left_semi")
+        found = found.join(wanted, "term", "left_semi")
     df = F.col("df")
     return (found.groupBy("term").agg(F.count("*").alias("df"))
             .withColumn("idf", F.log(1 + (F.lit(total) - df + 0.5) / (df + 0.5))))
@@ -230,7 +244,7 @@ def _union(parts: list[DataFrame], spark: SparkSession, schema: T.StructType) ->
 
 def long_vectors(df: DataFrame, id_col: str, vector: str) -> DataFrame:
     """Long form (id, pos, value) of an array vector."""
-    return df.select(id_col, F.posexplode(vector).alias("pos", "value"))
+    return df.select(id_col, F.posexplode_outer(vector).alias("pos", "value")).filter("pos IS NOT NULL")
 
 
 def long_sparse(df: DataFrame, id_col: str = "id", vector: str = "sparse") -> DataFrame:

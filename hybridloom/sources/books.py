@@ -69,7 +69,7 @@ def book_sections(books: DataFrame) -> DataFrame:
     kept = F.filter(F.col("items"), lambda i, at: F.get("cleaned", at) != "")
     chapters = readable.select(*meta, F.posexplode(kept).alias("chapter_index", "item"))
     found = chapters.select(*meta, "chapter_index", html.sections(F.col("item")).alias("s"))
-    rows = found.select(*[c if c != "title" else F.col("title").alias("book_title") for c in meta], "chapter_index", F.inline("s"))
+    rows = found.select(*[c if c != "title" else F.col("title").alias("book_title") for c in meta], "chapter_index", F.inline_outer("s"))
     return rows.filter(F.length("content") > html.SHORT_CONTENT)
 
 

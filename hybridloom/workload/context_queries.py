@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from hybridloom.functions import encoders
 from hybridloom.operators import catalog, context, topk
+from hybridloom.session import broadcast_within, cut_lineage
 from hybridloom.workload import tables as tb
 from hybridloom.workload.fusion_queries import hybrid, sql_fused, with_payload
 from hybridloom.workload.registry import query
@@ -24,8 +25,8 @@ def _bound(spark: SparkSession, sf: str, per_query: int) -> int:
 def turn_hits(spark: SparkSession, sf: str, k: int = _K) -> DataFrame:
     turns = tb.turns(spark, sf)
     found = topk.dense_topk(turns.withColumn("dense", encoders.dense_terms(F.col("text"))), tb.prompts(spark, sf), k)
-    from hybridloom.session import broadcast_within
-    return turns.join(broadcast_within(found, _bound(spark, sf, k)), "id")
+    # Several branches read the hits; the short list is written once.
+    return turns.join(broadcast_within(cut_lineage(found), _bound(spark, sf, k)), "id")
 
 
 @query("context_expansion", f"""{_HITS}, near AS (SELECT DISTINCT h.query_id, t.id, t.source_file, t.section_index, t.chunk_index FROM hits h JOIN turns t
@@ -88,7 +89,8 @@ _RICH = """rich AS (SELECT query_id, fused.id, score, rn, source AS title, sourc
 
 def rich_hits(spark: SparkSession, sf: str, k: int = 12) -> DataFrame:
     """Hybrid hits with uneven metadata: arXiv ids and years come from the labels."""
-    hits = with_payload(spark, sf, hybrid(spark, sf, k), k)
+    # The list is read by several branches; cut here, it is ranked once.
+    hits = with_payload(spark, sf, cut_lineage(hybrid(spark, sf, k)), k)
     labels = tb.table(spark, sf, "labels").withColumnRenamed("doc_id", "id")
     return hits.join(labels, "id", "left").select(
         "query_id", "id", "score", "rn", F.col("source_file").alias("title"), "source_file", "language", F.col("language").alias("section_title"), "text",

@@ -29,7 +29,7 @@ def _with_cuts(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("boundary_detect", f"WITH {_BOUNDARY} SELECT doc_id, i AS boundary FROM cut")
 def boundary_detect(spark: SparkSession, sf: str) -> DataFrame:
-    cuts = _with_cuts(spark, sf).select("doc_id", F.explode("cuts").alias("boundary"))
+    cuts = _with_cuts(spark, sf).select("doc_id", F.explode_outer("cuts").alias("boundary")).filter("boundary IS NOT NULL")
     return cuts.withColumn("boundary", F.col("boundary").cast("long"))
 
 
@@ -65,7 +65,7 @@ def runt_merge(spark: SparkSession, sf: str) -> DataFrame:
     """Lines of a text merged until none is shorter than ten tokens."""
     lines = docs(spark, sf).select("doc_id", F.filter(F.split("text", "\n"), lambda s: s != "").alias("l"))
     merged = chunking.recursive_udf(ChunkSettings(chunk_size=10_000_000, min_chunk_tokens=10))(F.col("l"))
-    return lines.select("doc_id", merged.alias("m")).select("doc_id", F.posexplode("m").alias("pos", "t")).select("doc_id", "pos", F.md5("t").alias("text_md5"))
+    return lines.select("doc_id", merged.alias("m")).select("doc_id", F.posexplode_outer("m").alias("pos", "t")).filter("pos IS NOT NULL").select("doc_id", "pos", F.md5("t").alias("text_md5"))
 
 
 @query("paragraph_packing")
@@ -73,7 +73,7 @@ def paragraph_packing(spark: SparkSession, sf: str) -> DataFrame:
     """Lines as paragraphs packed to 60 tokens with an overlap of 15."""
     split = docs(spark, sf).select("doc_id", F.split("text", "\n").alias("p"))
     made = split.select("doc_id", chunking.packed(F.col("p"), 60, 15).alias("c"))
-    return made.select("doc_id", F.posexplode("c").alias("chunk_index", "t")).select(
+    return made.select("doc_id", F.posexplode_outer("c").alias("chunk_index", "t")).filter("chunk_index IS NOT NULL").select(
         "doc_id", "chunk_index", tx.token_estimate(F.col("t")).alias("token_count"), F.md5("t").alias("text_md5"))
 
 
