@@ -21,6 +21,8 @@ def build_session(app: str = "hybridloom", master: str | None = None, **conf: st
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # Sessions of a busy key are merged inside each input task before the shuffle.
+        "spark.sql.sessionWindow.merge.sessions.in.local.partition": "true",
     }
     for key, value in {**defaults, **conf}.items():
         builder = builder.config(key, value)
@@ -63,4 +65,5 @@ def spread(df: DataFrame) -> DataFrame:
     A table of many files is left alone: its splits are already the parallelism.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+    # The list of files stays in the JVM; only its length is read.
+    return df.repartition(cores) if len(df._jdf.inputFiles()) < cores else df

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from hybridloom.operators import autoencoder, evaluation as ev, fusion
+from hybridloom.operators import autoencoder, evaluation as ev, fusion, models
 from hybridloom.workload import tables as tb
 from hybridloom.workload.fusion_queries import hybrid, signals, sql_fused, sql_signals, with_payload, with_query
 from hybridloom.workload.registry import query
@@ -308,3 +308,24 @@ def phase_merge(spark: SparkSession, sf: str) -> DataFrame:
     orders = tb.table(spark, sf, "orders")
     count = lambda df, run: df.groupBy(F.col("o_orderpriority").alias("phase")).agg(F.count("*").alias("cases")).withColumn("run", F.lit(run))
     return ev.merge_phases(count(orders, "old"), count(orders.filter("o_orderstatus = 'F'"), "new"))
+
+
+_SHARED = f"len(list_intersect(list_distinct({tb.TERMS.replace('text', 'b.text')}), list_distinct({tb.TERMS.replace('text', 'p.text')})))"
+
+
+@query("lexical_rerank", f"""WITH {sql_fused(10)}, h AS (SELECT query_id, id, rn, {_SHARED} AS shared FROM fused JOIN documents p ON p.doc_id = id JOIN benchmark b ON b.item_id = query_id)
+SELECT query_id, id, rn, shared, row_number() OVER (PARTITION BY query_id ORDER BY shared DESC, rn, id) AS reranked FROM h""")
+def lexical_rerank(spark: SparkSession, sf: str) -> DataFrame:
+    hits = with_query(spark, sf, with_payload(spark, sf, hybrid(spark, sf, 10), 10))
+    out = models.lexical_rerank(hits, ["query_id"])
+    return out.select("query_id", "id", *[F.col(c).cast("long").alias(c) for c in ("rn", "shared", "reranked")])
+
+
+@query("relevance_judge", f"""WITH {sql_fused(10)}, h AS (SELECT query_id, id, {_SHARED} / greatest(len(list_distinct({tb.TERMS.replace('text', 'b.text')})), 1) AS share
+   FROM fused JOIN documents p ON p.doc_id = id JOIN benchmark b ON b.item_id = query_id)
+SELECT query_id, id, CASE WHEN share >= 0.5 THEN 3 WHEN share >= 0.2 THEN 2 ELSE 1 END AS relevance, substr(md5('s:' || query_id || ':' || id), 1, 7) AS docket_id FROM h""")
+def relevance_judge(spark: SparkSession, sf: str) -> DataFrame:
+    """Offline relevance 1..3 of every hit, with the opaque id a judge would see."""
+    hits = with_query(spark, sf, with_payload(spark, sf, hybrid(spark, sf, 10), 10))
+    return hits.select("query_id", "id", models.lexical_relevance(F.col("query"), F.col("text")).alias("relevance"),
+                       models.docket_id("s", F.col("query_id"), F.col("id")).alias("docket_id"))

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from hybridloom.operators import topk
 from hybridloom.session import checked_broadcast
+from hybridloom.streaming import telemetry
 from hybridloom.workload.registry import query
 from hybridloom.workload.tables import table
 
@@ -115,9 +116,8 @@ def keep_first(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("lag_distance", """SELECT user_id, event_id, round(epoch(ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id)), 3) AS gap FROM events""")
 def lag_distance(spark: SparkSession, sf: str) -> DataFrame:
-    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
-    micros = F.unix_micros(F.col("ts").cast("timestamp"))
-    return table(spark, sf, "events").select("user_id", "event_id", F.round((micros - F.lag(micros).over(w)) / 1e6, 3).alias("gap"))
+    found = telemetry.gaps(table(spark, sf, "events"), "user_id", "ts", "event_id")
+    return found.select("user_id", "event_id", F.round("gap", 3).alias("gap"))
 
 
 @query("grid_product", """SELECT item_id AS prompt_index, k AS sparse_k, c AS collection FROM benchmark CROSS JOIN (SELECT unnest(range(0, 7)) AS k) CROSS JOIN (SELECT unnest(['splade', 'sae']) AS c)""")
