@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 # A side of at most this many rows may be broadcast; larger sides shuffle.
 BROADCAST_ROW_LIMIT = 200_000
+# A table of at most this many bytes may be spread over the cores by a shuffle.
+SPREAD_BYTES = 1 << 30
 
 
 def build_session(app: str = "hybridloom", master: str | None = None, **conf: str) -> SparkSession:
@@ -60,10 +62,10 @@ def broadcast_within(df: DataFrame, bound: int, rows: int = BROADCAST_ROW_LIMIT)
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Give a table stored in fewer files than there are cores one partition per core.
+    """Give a small table one partition per core before text work.
 
-    A table of many files is left alone: its splits are already the parallelism.
+    A small file has a single row group and would be read by one task. Tables beyond SPREAD_BYTES
+    are never shuffled for this: their splits are already the parallelism.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    # The list of files stays in the JVM; only its length is read.
-    return df.repartition(cores) if len(df._jdf.inputFiles()) < cores else df
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism) if size <= SPREAD_BYTES else df

@@ -264,6 +264,35 @@ def test_paragraph_packing():
     assert long == ["Aaaa aaaa. Bbbb bbbb.", "Cccc cccc."]
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_paragraph_packing_invariants(seed):
+    rng, size, overlap = random.Random(seed), 30, 8
+    paragraphs = [f"p{i} " + "y" * rng.randint(0, 90) for i in range(40)]
+    chunks = [c.split("\n\n") for c in chunking.pack_paragraphs(paragraphs, size, overlap)]
+    cost = lambda parts: sum(len(p) // 4 for p in parts)
+    at = 0
+    for before, chunk in zip([[]] + chunks, chunks):
+        shared = next(n for n in range(len(chunk), -1, -1) if chunk[:n] == before[len(before) - n:])
+        assert chunk == paragraphs[at - shared:at - shared + len(chunk)] and cost(chunk[:shared]) <= overlap
+        assert cost(chunk) <= size or len(chunk) - shared == 1
+        at += len(chunk) - shared
+    assert at == len(paragraphs)
+
+
+def test_paper_chunk_fields(spark):
+    rows = spark.createDataFrame([("1.2", "\n\n".join("z" * 80 for _ in range(5)), "abs")], "arxiv_id string, text string, abstract string")
+    got = chunking.paper_chunks(rows, 45, 0).orderBy("chunk_index").collect()
+    assert [(r["id"], r["chunk_count"], r["abstract"]) for r in got] == [("1.2_chunk_0", 3, "abs"), ("1.2_chunk_1", 3, None), ("1.2_chunk_2", 3, None)]
+
+
+def test_small_tables_are_spread_and_large_ones_are_not(spark, sf, monkeypatch):
+    from hybridloom import session
+    df = spark.read.parquet(f"{sf}/documents.parquet")
+    assert "RoundRobin" in session.spread(df)._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(session, "SPREAD_BYTES", 10)
+    assert session.spread(df) is df
+
+
 def test_chunk_section_rules(spark):
     body = " ".join(f"Sentence number {i} talks about topic {i // 6}." for i in range(24))
     rows = spark.createDataFrame([(0, "T", ""), (1, "T", "short"), (2, "(no title)", body), (3, "Big", body * 3)], "k int, title string, content string")
