@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 # Words of the contracts: runs of anything but blanks and the controls 9 to 13.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -66,23 +66,29 @@ def broadcast_if_small(df: DataFrame, row_bytes: int, limit: int = BROADCAST_BYT
     return F.broadcast(df) if df.limit(bound + 1).count() <= bound else df
 
 
-def running_slots(df: DataFrame, group: list[str], spread: Column, order: list[Column], out: str, lanes: int = 256) -> DataFrame:
-    """Gapless numbers from 0 inside each ``group``, in ``(spread, order)`` order, without a sort of a whole group.
+def running(df: DataFrame, group: list[str], spread: Column, order: list[Column], measures: dict[str, Column], lanes: int = 256) -> DataFrame:
+    """For each row and measure, the measure's total over the rows of its ``group`` that come before it in ``(spread, order)`` order.
 
-    ``spread`` is a 60-bit hash of the whole row. Its leading bits cut a group into ``lanes`` parts that are sorted
-    apart; a part starts where the counts of the parts before it end. A group with a third of all rows is spread over all its parts.
+    ``spread`` is a 60-bit hash of the row. Its leading bits cut a group into ``lanes`` parts that are sorted apart; a part
+    starts from the totals of the parts before it. A group with a third of all rows is spread over all its parts, and what is
+    summed up front is one row for each part and task.
     """
     lane, mark = free_name(df, "lane"), free_name(df, "spread")
-    marked = df.withColumn(mark, spread).withColumn(lane, F.shiftright(F.col(mark), 60 - (lanes - 1).bit_length()))
-    from pyspark.sql import Window
-    counts = marked.groupBy(*group, lane).agg(F.count(F.lit(1)).alias("__n"))
+    marked = df.withColumn(mark, spread)
+    marked = marked.withColumn(lane, F.shiftright(F.col(mark), 60 - (lanes - 1).bit_length()))
+    sums = marked.groupBy(*group, lane).agg(*[F.sum(m).alias(f"__s_{n}") for n, m in measures.items()])
     before = Window.partitionBy(*group).orderBy(lane).rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select(*[F.col(g).alias(f"__g{i}") for i, g in enumerate(group)], F.col(lane).alias("__l"),
-                           F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start"))
-    local = Window.partitionBy(*group, lane).orderBy(mark, *order)
-    numbered = marked.withColumn(out, F.row_number().over(local) - 1)
+    starts = sums.select(*[F.col(g).alias(f"__g{i}") for i, g in enumerate(group)], F.col(lane).alias("__l"),
+                         *[F.coalesce(F.sum(f"__s_{n}").over(before), F.lit(0)).alias(f"__b_{n}") for n in measures])
+    local = Window.partitionBy(*group, lane).orderBy(mark, *order).rowsBetween(Window.unboundedPreceding, -1)
+    numbered = marked.withColumns({f"__r_{n}": F.coalesce(F.sum(m).over(local), F.lit(0)) for n, m in measures.items()})
     same = F.col(lane) == F.col("__l")
     for i, g in enumerate(group):
         same &= F.col(g).eqNullSafe(F.col(f"__g{i}"))
     joined = numbered.join(broadcast_if_small(starts, 64), same)
-    return joined.select(*df.columns, (F.col(out) + F.col("__start")).cast("long").alias(out))
+    return joined.select(*df.columns, *[(F.col(f"__r_{n}") + F.col(f"__b_{n}")).cast("long").alias(n) for n in measures])
+
+
+def running_slots(df: DataFrame, group: list[str], spread: Column, order: list[Column], out: str, lanes: int = 256) -> DataFrame:
+    """Gapless numbers from 0 inside each ``group``."""
+    return running(df, group, spread, order, {out: F.lit(1)}, lanes)

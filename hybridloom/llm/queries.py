@@ -6,13 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hybridloom.llm import preferences, sharding
+from hybridloom.llm import mixing, preferences, sharding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_jump_shards": sharding.op1_jump_shards,
+    "op7_source_mix": mixing.op7_source_mix,
     "op10_preference_pairs": preferences.op10_preference_pairs,
 }
 SQL: dict[str, str] = {
     "op1_jump_shards": sharding.JUMP_SHARDS_SQL,
+    "op7_source_mix": mixing.SOURCE_MIX_SQL,
     "op10_preference_pairs": preferences.PREFERENCE_PAIRS_SQL,
 }
