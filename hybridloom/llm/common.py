@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
@@ -34,6 +35,11 @@ def sql_digest(*parts: str) -> str:
     return f"('0x' || substr(md5({shown}), 1, 15))::BIGINT"
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` computed once, however often the body and its lambdas use it."""
+    return F.transform(F.array(value), body)[0]
+
+
 def free_name(df: DataFrame, base: str) -> str:
     """A column name that ``df`` does not use, in any case."""
     used = {c.lower() for c in df.columns}

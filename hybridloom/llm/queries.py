@@ -6,16 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hybridloom.llm import mixing, preferences, sharding, urls
+from hybridloom.llm import decontamination, mixing, preferences, sharding, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_jump_shards": sharding.op1_jump_shards,
+    "op2_benchmark_hits": decontamination.op2_benchmark_hits,
     "op3_url_filter": urls.op3_url_filter,
     "op7_source_mix": mixing.op7_source_mix,
     "op10_preference_pairs": preferences.op10_preference_pairs,
 }
 SQL: dict[str, str] = {
     "op1_jump_shards": sharding.JUMP_SHARDS_SQL,
+    "op2_benchmark_hits": decontamination.BENCHMARK_HITS_SQL,
     "op3_url_filter": urls.URL_FILTER_SQL,
     "op7_source_mix": mixing.SOURCE_MIX_SQL,
     "op10_preference_pairs": preferences.PREFERENCE_PAIRS_SQL,
