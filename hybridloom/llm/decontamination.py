@@ -87,9 +87,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMI
     # A word position is kept with each item size it can count for; positions of a document meet in one row, which its text bounds.
     hits = shingles.join(broadcast_if_small(known, 32), "shingle").groupBy("doc_id", "text_key", "n_words").agg(F.sort_array(F.collect_set("pos")).alias("at"))
     n, need = F.col("n_words") - (SHINGLE - 1), F.ceil((F.col("n_words") - (SHINGLE - 1)) * share - 1e-9).cast("int")
-    runs = F.filter(F.transform("at", lambda p, j: F.struct(F.greatest(F.get(F.col("at"), j + need - 1) - n + 1, F.lit(0)).alias("lo"), p.alias("hi"))),
-                    lambda r: r["lo"] <= r["hi"])
-    starts = F.array_distinct(F.flatten(F.transform(runs, lambda r: F.sequence(r["lo"], r["hi"]))))
+    # From hit j on, need hits end at hit j + need - 1; get() is null past the last one.
+    runs = F.filter(F.transform("at", lambda p, j: F.struct((F.get(F.col("at"), j + need - 1) - n + 1).alias("lo"), p.alias("hi"))),
+                    lambda r: r["lo"].isNotNull() & (r["lo"] <= r["hi"]))
+    starts = F.array_distinct(F.flatten(F.transform(runs, lambda r: F.sequence(F.greatest(r["lo"], F.lit(0)), r["hi"]))))
     places = F.flatten(F.collect_list(F.transform(starts, lambda s: F.struct(F.col("n_words"), s.alias("first_word")))))
     windows = written(hits.groupBy("doc_id", "text_key").agg(places.alias("places")).where(F.size("places") > 0), "bench-windows")
     near = windows.withColumnRenamed("doc_id", "__doc")
@@ -106,8 +107,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMI
     pairs = joined.where((F.bit_count(apart) <= RADIUS) & (F.col("block") == first))
     verified = pairs.join(broadcast_if_small(items.select("item_id", "shingles"), 8192), "item_id").withColumn("mine", counted_shingles(F.col("window")))
     both = F.size(F.array_intersect("mine", "shingles"))
-    scored = verified.withColumn("similarity", both / (F.size("mine") + F.size("shingles") - both)).where(F.col("similarity") >= similarity)
-    best = scored.groupBy("doc_id", "text_key", "item_id").agg(F.max(F.struct("similarity", -F.col("first_word"), "n_words")).alias("b"))
+    scored = verified.withColumn("similarity", let(both, lambda b: b / (F.size("mine") + F.size("shingles") - b)))
+    best = scored.groupBy("doc_id", "text_key", "item_id").agg(F.max(F.struct("similarity", -F.col("first_word"), "n_words")).alias("b")).where(F.col("b.similarity") >= similarity)
     return best.select("doc_id", "text_key", "item_id", "b.similarity", (-F.col("b.col2")).cast("int").alias("first_word"), "b.n_words")
 
 
