@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hybridloom.llm import decontamination, mixing, preferences, sharding, urls
+from hybridloom.llm import decontamination, mixing, preferences, sharding, toxicity, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_jump_shards": sharding.op1_jump_shards,
     "op2_benchmark_hits": decontamination.op2_benchmark_hits,
     "op3_url_filter": urls.op3_url_filter,
+    "op4_toxicity_scores": toxicity.op4_toxicity_scores,
     "op7_source_mix": mixing.op7_source_mix,
     "op10_preference_pairs": preferences.op10_preference_pairs,
 }
