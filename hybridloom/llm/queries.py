@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hybridloom.llm import decontamination, mixing, preferences, sharding, toxicity, urls
+from hybridloom.llm import decontamination, minhash, mixing, preferences, sharding, toxicity, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_jump_shards": sharding.op1_jump_shards,
     "op2_benchmark_hits": decontamination.op2_benchmark_hits,
     "op3_url_filter": urls.op3_url_filter,
     "op4_toxicity_scores": toxicity.op4_toxicity_scores,
+    "op6_near_duplicates": minhash.op6_near_duplicates,
     "op7_source_mix": mixing.op7_source_mix,
     "op10_preference_pairs": preferences.op10_preference_pairs,
 }
@@ -20,6 +21,7 @@ SQL: dict[str, str] = {
     "op1_jump_shards": sharding.JUMP_SHARDS_SQL,
     "op2_benchmark_hits": decontamination.BENCHMARK_HITS_SQL,
     "op3_url_filter": urls.URL_FILTER_SQL,
+    "op6_near_duplicates": minhash.NEAR_DUPLICATES_SQL,
     "op7_source_mix": mixing.SOURCE_MIX_SQL,
     "op10_preference_pairs": preferences.PREFERENCE_PAIRS_SQL,
 }
