@@ -12,7 +12,7 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 
 from hybridloom.llm.common import broadcast_if_small, table
 
-GRAMS, BITS, SMOOTHING, LEAST_Z = (5, 6, 7), 18, 2.0, 3.5
+GRAMS, BITS, SMOOTHING, LEAST_Z, LEAST_RATIO = (5, 6, 7), 18, 2.0, 3.5, 0.5
 FIT_ROWS, STEPS, RATE, DECAY, SCALE = 8000, 200, 0.05, 0.03, 0.05
 THRESHOLD = 0.7
 _DIMS, _SLICE, _PIECE = 1 << BITS, 4096, 1 << 20
@@ -78,10 +78,11 @@ class ToxicityModel:
 
 
 def _useful(clean: np.ndarray, toxic: np.ndarray, n: tuple[int, int]) -> np.ndarray:
-    """Buckets whose shares of toxic and clean rows differ by at least LEAST_Z standard errors."""
+    """Buckets whose shares of toxic and clean rows differ by at least LEAST_Z standard errors and by a ratio worth a feature."""
     p = (clean + toxic) / sum(n)
     spread = np.sqrt(p * (1 - p) * (1 / n[0] + 1 / n[1]))
-    return np.abs(toxic / n[1] - clean / n[0]) >= LEAST_Z * np.maximum(spread, 1e-9)
+    ratio = np.abs(np.log((toxic + SMOOTHING) / (n[1] + 2 * SMOOTHING)) - np.log((clean + SMOOTHING) / (n[0] + 2 * SMOOTHING)))
+    return (np.abs(toxic / n[1] - clean / n[0]) >= LEAST_Z * np.maximum(spread, 1e-9)) & (ratio >= LEAST_RATIO)
 
 
 def _fit(rows: list[np.ndarray], labels: np.ndarray, check: np.ndarray, ratios: np.ndarray, clean: np.ndarray, toxic: np.ndarray, n: tuple[int, int]) -> tuple:
