@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hybridloom.llm import decontamination, minhash, mixing, neighbours, preferences, sharding, toxicity, urls
+from hybridloom.llm import decontamination, minhash, mixing, neighbours, preferences, sharding, templates, toxicity, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_jump_shards": sharding.op1_jump_shards,
@@ -15,6 +15,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_toxicity_scores": toxicity.op4_toxicity_scores,
     "op6_near_duplicates": minhash.op6_near_duplicates,
     "op7_source_mix": mixing.op7_source_mix,
+    "op8_page_text": templates.op8_page_text,
     "op9_nearest_vectors": neighbours.op9_nearest_vectors,
     "op10_preference_pairs": preferences.op10_preference_pairs,
 }
