@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -13,8 +13,8 @@ from hybridloom.llm.common import broadcast_if_small, table, written
 
 SHINGLE, NEAR = 5, (75, 100)
 SLOTS, BANDS = 128, 32
-# A pair at 0.75 agrees in 96 of 128 slots; below 64 is 6.5 standard deviations away.
-LEAST_AGREEING = 64
+# A pair at 0.75 agrees in 96 of 128 slots on average; fewer than 72 are 4.9 standard deviations away.
+LEAST_AGREEING = 72
 _CHUNK, _BLOCK = 200_000, 2048
 _U = np.uint64
 _SPACE = np.zeros(256, bool)
@@ -132,8 +132,14 @@ def _agreeing(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
                 left, right = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, SLOTS) for c in (2, 3))
                 yield batch.select([0, 1]).filter(pa.array((left == right).sum(axis=1) >= LEAST_AGREEING))
 
-    side = lambda n: sketches.select(F.col("node").alias(n), F.col("sig").alias(f"sig_{n}"))
-    return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "sig_a", "sig_b").mapInArrow(chosen, "a binary, b binary")
+    side = lambda n: sketches.select(F.col("node").alias(n), F.col("sig").alias(f"sig_{n}"), F.col("n_shingles").alias(f"n_{n}"))
+    fitting = pairs.join(side("a"), "a").join(side("b"), "b").where(NEAR[1] * F.least("n_a", "n_b") >= NEAR[0] * F.greatest("n_a", "n_b"))
+    return fitting.select("a", "b", "sig_a", "sig_b").mapInArrow(chosen, "a binary, b binary")
+
+
+def _set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        yield pa.record_batch([batch.column(0), pa.array([shingle_set(t.as_py()).tobytes() for t in batch.column(1)], pa.binary())], names=["node", "shingles"])
 
 
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -194,29 +200,51 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def _cross_pairs(part: pa.Table) -> pa.Table:
-    """Pairs of a block of one bucket that lie in different components and agree in enough slots. Rows of side 0 meet those of side 1."""
-    node, comp, side = (np.array(part.column(c).to_pylist(), dtype=object if c != "side" else np.int64) for c in ("node", "comp", "side"))
+def _cross_links(part: pa.Table) -> pa.Table:
+    """Links between the components of one block of a bucket, at most one fewer than there are components.
+
+    Rows of side 0 meet those of side 1, or each other where there are none. A pair is looked at where it first shares a band, fits
+    in size, agrees in enough slots and is still apart in this block's union-find; then its whole sets are compared.
+    """
+    node, size, side = part.column("node").to_pylist(), np.asarray(part.column("n_shingles")), np.asarray(part.column("side"))
     sig = np.frombuffer(b"".join(part.column("sig").to_pylist()), np.uint8).reshape(-1, SLOTS)
-    _, comp = np.unique(np.array([c.hex() for c in comp]), return_inverse=True)
+    bands, here = np.asarray(part.column("bands").combine_chunks().flatten()).reshape(-1, BANDS), part.column("band")[0].as_py()
+    number: dict[bytes, int] = {}
+    comp = np.array([number.setdefault(c, len(number)) for c in part.column("comp").to_pylist()])
+    sets = [np.frombuffer(s, _U) for s in part.column("shingles").to_pylist()]
+    values, local = np.unique(np.concatenate(sets), return_inverse=True)
+    cuts = np.concatenate(([0], np.cumsum([len(s) for s in sets])))
+    seen = np.zeros(len(values), bool)
     left = np.flatnonzero(side == 0)
     right = np.flatnonzero(side == 1) if (side == 1).any() else left
-    found: list[tuple[bytes, bytes]] = []
+    links = []
     for i in left:
-        other = right[comp[right] != comp[i]]
-        for k in other[(sig[other] == sig[i]).sum(axis=1) >= LEAST_AGREEING]:
-            found.append((min(node[i], node[k]), max(node[i], node[k])))
-    found = list(set(found))
-    return pa.table({"a": pa.array([f[0] for f in found], pa.binary()), "b": pa.array([f[1] for f in found], pa.binary())})
+        able = right[(comp[right] != comp[i]) & (NEAR[1] * np.minimum(size[right], size[i]) >= NEAR[0] * np.maximum(size[right], size[i]))]
+        able = able[(sig[able] == sig[i]).sum(axis=1) >= LEAST_AGREEING]
+        same = bands[able] == bands[i]
+        able = able[bands[i][same.argmax(axis=1)] == here]
+        if not len(able):
+            continue
+        mine = local[cuts[i]:cuts[i + 1]]
+        seen[mine] = True
+        for k in able:
+            if comp[k] != comp[i]:
+                shared = int(seen[local[cuts[k]:cuts[k + 1]]].sum())
+                if NEAR[1] * shared >= NEAR[0] * (size[i] + size[k] - shared):
+                    links.append((node[i], node[k]))
+                    comp[comp == comp[k]] = comp[i]
+        seen[mine] = False
+    return pa.table({"a": pa.array([x[0] for x in links], pa.binary()), "b": pa.array([x[1] for x in links], pa.binary())})
 
 
 def near_duplicates(docs: DataFrame, block: int = _BLOCK) -> DataFrame:
     """doc_id, n_shingles, component_id and kept for every row of ``docs`` (doc_id, text).
 
-    Rows with the same shingle set are one node, however many they are. A bucket of a band links its nodes to its smallest one
-    first, so large groups of near copies cost a comparison for each member, not for each pair. Nodes that share a bucket and
-    are still in different components are then compared pairwise by signature, in blocks of ``block`` nodes, wherever they
-    meet; candidates of both rounds are confirmed on their whole sets. With 32 bands of 4 slots a pair at similarity 0.75 is
+    Rows with the same shingle set are one node, however many they are. A bucket of a band links its nodes to its most
+    central one first (the node whose own buckets hold most), so large groups of near copies cost a comparison for each member,
+    not for each pair. Buckets whose nodes are then still in different components are gone through whole, in blocks of ``block``
+    nodes: what fits in size and signature is compared, and a block gives at most a link for each component. Every link
+    is confirmed on whole sets. With 32 bands of 4 slots a pair at similarity 0.75 is
     missed with a chance of 5e-6.
 
     Null and empty texts have no shingles and no links: component_id is their own doc_id. Rows without a doc_id are in no
@@ -225,11 +253,13 @@ def near_duplicates(docs: DataFrame, block: int = _BLOCK) -> DataFrame:
     sketches = written(docs.select("doc_id", "text").mapInArrow(_sketches, "doc_id long, n_shingles long, node binary, bands array<long>, sig binary"), "sketches")
     known = sketches.where("node IS NOT NULL AND doc_id IS NOT NULL")
     nodes = written(known.groupBy("node").agg(F.min("doc_id").alias("doc_id")), "nodes")
-    firsts = written(known.join(nodes, ["node", "doc_id"]).dropDuplicates(["node"]).select("node", "doc_id", "bands", "sig"), "firsts")
+    firsts = written(known.join(nodes, ["node", "doc_id"]).dropDuplicates(["node"]).select("node", "doc_id", "n_shingles", "bands", "sig"), "firsts")
     buckets = firsts.select("node", F.explode("bands").alias("band"))
-    hubs = written(buckets.groupBy("band").agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("n")).where("n > 1"), "hubs")
-    members = written(buckets.join(hubs, "band"), "members")
-    stars = members.where("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
+    shared = buckets.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    members = written(buckets.join(shared, "band"), "members")
+    weights = members.groupBy("node").agg(F.sum("n").alias("weight"))
+    central = members.join(weights, "node").groupBy("band").agg(F.max(F.struct("weight", "node")).alias("hub")).select("band", "hub.node")
+    stars = members.join(central.withColumnRenamed("node", "hub"), "band").where("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
 
     def texts_of(pairs: DataFrame) -> DataFrame:
         """Texts of the nodes in ``pairs``; where rows share a doc_id, those whose set is the node's."""
@@ -243,23 +273,19 @@ def near_duplicates(docs: DataFrame, block: int = _BLOCK) -> DataFrame:
 
         return some.mapInArrow(own, "node binary, text string").dropDuplicates(["node"])
 
-    def confirmed(pairs: DataFrame, name: str) -> DataFrame:
-        likely = written(_agreeing(pairs, firsts), f"{name}-likely")
-        return written(_verified(likely, texts_of(likely)), f"{name}-links")
-
-    links = confirmed(stars, "hub")
-    roots = components(links)
-    placed = members.join(roots, "node", "left").select("band", "node", "n", F.coalesce("root", "node").alias("comp"))
+    links = written(_agreeing(stars, firsts), "hub-pairs")
+    links = written(_verified(links, texts_of(links)), "hub-links")
+    placed = members.join(components(links), "node", "left").select("band", "node", "n", F.coalesce("root", "node").alias("comp"))
     mixed = placed.groupBy("band").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").select("band")
-    dirty = placed.join(mixed, "band", "left_semi").join(firsts.select("node", "sig"), "node")
-    parts = F.ceil(F.col("n") / block).cast("int")
-    cut = dirty.withColumn("blocks", parts).withColumn("mine", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    dirty = written(placed.join(mixed, "band", "left_semi"), "mixed")
+    sets = texts_of(dirty.select(F.col("node").alias("a"), F.col("node").alias("b"))).mapInArrow(_set_rows, "node binary, shingles binary")
+    cut = dirty.withColumn("blocks", F.ceil(F.col("n") / block).cast("int")).withColumn("mine", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    about = cut.join(firsts.select("node", "n_shingles", "bands", "sig").join(sets, "node"), "node")
     copies = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: F.struct(
         F.least(F.col("mine"), k).alias("i"), F.greatest(F.col("mine"), k).alias("j"), (F.col("mine") > k).cast("int").alias("side")))
-    spread = cut.select("band", "node", "comp", "sig", F.explode(copies).alias("c")).select("band", "node", "comp", "sig", "c.i", "c.j", "c.side")
-    cross = spread.groupBy("band", "i", "j").applyInArrow(_cross_pairs, "a binary, b binary").distinct()
-    more = confirmed(cross, "cross")
-    ends = components(links.unionByName(more))
+    spread = about.select("band", "node", "comp", "n_shingles", "bands", "sig", "shingles", F.explode(copies).alias("c")).select("*", "c.*").drop("c")
+    more = spread.groupBy("band", "i", "j").applyInArrow(_cross_links, "a binary, b binary")
+    ends = components(links.unionByName(written(more, "cross-links")))
     least = nodes.join(ends, "node").groupBy("root").agg(F.min("doc_id").alias("component_id"))
     of_node = nodes.join(ends.join(least, "root").select("node", "component_id"), "node", "left").select("node", F.coalesce("component_id", "doc_id").alias("component_id"))
     of_node = written(of_node, "components")
