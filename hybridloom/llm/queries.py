@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hybridloom.llm import decontamination, minhash, mixing, neighbours, preferences, sharding, templates, toxicity, urls
+from hybridloom.llm import decontamination, minhash, mixing, neighbours, preferences, sharding, suffixes, templates, toxicity, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_jump_shards": sharding.op1_jump_shards,
     "op2_benchmark_hits": decontamination.op2_benchmark_hits,
     "op3_url_filter": urls.op3_url_filter,
     "op4_toxicity_scores": toxicity.op4_toxicity_scores,
+    "op5_repeated_bytes": suffixes.op5_repeated_bytes,
     "op6_near_duplicates": minhash.op6_near_duplicates,
     "op7_source_mix": mixing.op7_source_mix,
     "op8_page_text": templates.op8_page_text,
