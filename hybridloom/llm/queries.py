@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from hybridloom.llm import decontamination, minhash, mixing, neighbours, preferences, sharding, suffixes, templates, toxicity, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -19,6 +20,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_page_text": templates.op8_page_text,
     "op9_nearest_vectors": neighbours.op9_nearest_vectors,
     "op10_preference_pairs": preferences.op10_preference_pairs,
+    "pipeline": corpus_pipeline.run,
 }
 SQL: dict[str, str] = {
     "op1_jump_shards": sharding.JUMP_SHARDS_SQL,
