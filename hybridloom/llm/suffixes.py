@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
 from hybridloom.llm.common import broadcast_if_small, free_name, table, written
@@ -19,19 +19,30 @@ BUCKET_BYTES, BUCKET_SPANS = 16 << 20, 60_000
 _PIECE, _PLACE = (1 << 20) - 512, np.uint64((1 << 20) - 1)
 _LAST = (1 << 63) - 1
 _BASE = 0x100000001B3
-_EACH = "d long, t long, begin long, windows int"
 
 
-def spans(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """The windows of WINDOW bytes, cut into runs that share their anchor: hash of the anchor, its place, first window, windows.
+_POWERS: list[np.ndarray] = []
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first ``n`` powers of the base and of its inverse, modulo 2 ** 64."""
+    if not _POWERS or len(_POWERS[0]) < n:
+        inverse = pow(_BASE, -1, 1 << 64)
+        _POWERS[:] = [np.cumprod(np.concatenate(([np.uint64(1)], np.full(n, np.uint64(b)))), dtype=np.uint64) for b in (_BASE, inverse)]
+    return _POWERS[0][:n], _POWERS[1][:n]
+
+
+def spans(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The windows of WINDOW bytes, cut into runs that share their anchor: hash of the anchor, its place, first window, windows,
+    and a hash of all bytes of the run.
 
     The anchor of a window is its LEAD-byte string of smallest hash (the first on a tie). It depends on the window's bytes alone,
     so equal windows have equal anchors at equal offsets, and a window can only equal windows in runs with its anchor's bytes.
     """
     found = []
     for begin in range(0, len(data) - WINDOW + 1, _PIECE):
-        hashed = data[begin:begin + _PIECE + WINDOW - 1].astype(np.uint64) + np.uint64(1)
-        step = 1
+        plain = data[begin:begin + _PIECE + WINDOW - 1].astype(np.uint64) + np.uint64(1)
+        hashed, step = plain, 1
         while step < LEAD:
             hashed = hashed[:-step] * np.uint64(pow(_BASE, step, 1 << 64)) + hashed[step:]
             step *= 2
@@ -43,9 +54,13 @@ def spans(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndar
         low = np.minimum(low[:-rest], low[rest:]) if rest else low
         place = (low & _PLACE).astype(np.int64)
         first = np.concatenate(([0], np.flatnonzero(np.diff(place)) + 1))
-        found.append((hashed[place[first]], begin + place[first], begin + first, np.diff(np.concatenate((first, [len(place)])))))
+        n = np.diff(np.concatenate((first, [len(place)])))
+        powers, inverses = _powers(len(plain))
+        upto = np.concatenate(([np.uint64(0)], np.cumsum(plain * powers, dtype=np.uint64)))
+        whole = _mixed((upto[first + n + WINDOW - 1] - upto[first]) * inverses[first] ^ _mixed(n.astype(np.uint64)))
+        found.append((hashed[place[first]], begin + place[first], begin + first, n, whole))
     if not found:
-        return np.zeros(0, np.uint64), *(np.zeros(0, np.int64) for _ in range(3))
+        return np.zeros(0, np.uint64), *(np.zeros(0, np.int64) for _ in range(3)), np.zeros(0, np.uint64)
     return tuple(np.concatenate(c) for c in zip(*found))
 
 
@@ -76,132 +91,149 @@ def equal_windows(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return group
 
 
+def _packed(d: np.ndarray, t: np.ndarray, values: np.ndarray) -> Iterator[tuple[int, int, bytes]]:
+    """One (d, t, bytes of its values) for each document; rows of ``values`` keep their order."""
+    if len(d):
+        order = np.lexsort((t, d))
+        d, t, values = d[order], t[order], values[order]
+        for at in np.split(np.arange(len(d)), np.flatnonzero((np.diff(d) != 0) | (np.diff(t) != 0)) + 1):
+            yield int(d[at[0]]), int(t[at[0]]), values[at].astype(np.int64).tobytes()
+
+
+def _mark_batches(rows: Iterator[tuple[int, int, bytes]]) -> Iterator[pa.RecordBatch]:
+    held = list(rows)
+    for at in range(0, len(held), 10_000):
+        yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*held[at:at + 10_000]), (pa.int64(), pa.int64(), pa.binary()))], names=["d", "t", "marks"])
+
+
 def _repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Runs of windows that start earlier, of one bucket: (d, t, begin, windows). Spans with equal bytes are settled first; the
-    windows of the first ones, where an anchor has several, are sorted."""
-    rows = [r for b in batches for r in zip(*(b.column(c).to_pylist() for c in ("d", "t", "begin", "at", "data")))]
-    rows.sort(key=lambda r: r[:3])
-    marks: list[tuple[int, int, int, int]] = []
-    firsts: dict[bytes, tuple] = {}
-    leads: dict[bytes, list[tuple]] = {}
-    for row in rows:
-        d, t, begin, at, data = row
-        if data in firsts:
-            if firsts[data][:3] != row[:3]:
-                marks.append((d, t, begin, len(data) - WINDOW + 1))
-        else:
-            firsts[data] = row
-            leads.setdefault(data[at:at + LEAD], []).append(row)
-    rivals = [r for rows_ in leads.values() if len(rows_) > 1 for r in rows_]
-    rivals.sort(key=lambda r: r[:3])  # so that windows are numbered in the order of documents and places
-    if rivals:
-        data = np.frombuffer(b"".join(r[4] for r in rivals), np.uint8)
-        sizes = np.array([len(r[4]) for r in rivals])
-        counts = sizes - WINDOW + 1
-        owner = np.repeat(np.arange(len(rivals)), counts)
-        inner = np.arange(int(counts.sum())) - np.repeat(np.cumsum(counts) - counts, counts)
-        group = equal_windows(data, np.repeat(np.cumsum(sizes) - sizes, counts) + inner)
-        again = np.zeros(len(group), bool)
-        known = np.flatnonzero(group >= 0)
-        if len(known):
-            _, first = np.unique(group[known], return_index=True)
-            again[known] = True
-            again[known[first]] = False
-        hit = np.flatnonzero(again)
-        if len(hit):
-            cuts = np.flatnonzero((np.diff(hit) != 1) | (np.diff(owner[hit]) != 0)) + 1
-            for run in np.split(hit, cuts):
-                row = rivals[owner[run[0]]]
-                marks.append((row[0], row[1], row[2] + int(inner[run[0]]), len(run)))
-    for at in range(0, len(marks), 50_000):
-        d, t, begin, n = zip(*marks[at:at + 50_000])
-        yield pa.record_batch([pa.array(d, pa.int64()), pa.array(t, pa.int64()), pa.array(begin, pa.int64()), pa.array(n, pa.int32())], names=["d", "t", "begin", "windows"])
-
-
-def _span_batches(rows: Iterator[tuple], names: list[str]) -> Iterator[pa.RecordBatch]:
-    """Record batches of (bucket, d, t, begin, at, data) rows."""
-    kinds, held = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()], []
+    """Marks of one bucket: of the windows of spans that share an anchor, the runs that equal an earlier one."""
+    rows = sorted((r for b in batches for r in zip(*(b.column(c).to_pylist() for c in ("d", "t", "begin", "data")))), key=lambda r: r[:3])
+    if not rows:
+        return
+    data = np.frombuffer(b"".join(r[3] for r in rows), np.uint8)
+    sizes = np.array([len(r[3]) for r in rows])
+    counts = sizes - WINDOW + 1
+    owner = np.repeat(np.arange(len(rows)), counts)
+    inner = np.arange(int(counts.sum())) - np.repeat(np.cumsum(counts) - counts, counts)
+    group = equal_windows(data, np.repeat(np.cumsum(sizes) - sizes, counts) + inner)
+    again = group >= 0
+    known = np.flatnonzero(again)
+    if not len(known):
+        return
+    again[known[np.unique(group[known], return_index=True)[1]]] = False  # windows are numbered in the order of documents and places
+    hit = np.flatnonzero(again)
+    if len(hit):
+        first = np.concatenate(([0], np.flatnonzero((np.diff(hit) != 1) | (np.diff(owner[hit]) != 0)) + 1))
+        run = owner[hit[first]]
+        d, t, begin = (np.array([r[k] for r in rows], np.int64)[run] for k in range(3))
+        yield from _mark_batches(_packed(d, t, np.stack((begin + inner[hit[first]], np.diff(np.concatenate((first, [len(hit)])))), axis=1)))
+
+
+def _batches(rows: Iterator[tuple], names: str) -> Iterator[pa.RecordBatch]:
+    """Record batches of rows; binary columns are those with ``names`` in capitals, the others are long."""
+    held: list[tuple] = []
+    kinds = [pa.binary() if n.isupper() else pa.int64() for n in names.split()]
     for row in rows:
         held.append(row)
         if len(held) == 20_000:
-            yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*held), kinds)], names=names)
+            yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*held), kinds)], names=names.lower().split())
             held = []
     if held:
-        yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*held), kinds)], names=names)
+        yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*held), kinds)], names=names.lower().split())
 
 
-_SPAN = "bucket int, d long, t long, begin long, at int, data binary"
-_NAMES = ["bucket", "d", "t", "begin", "at", "data"]
+_MARKS = "d long, t long, marks binary"
+_FIELDS = (("hash", np.uint32), ("whole", np.uint64), ("d", np.int64), ("t", np.uint32), ("begin", np.int32), ("n", np.uint8))
 
 
 def repeated_windows(docs: DataFrame) -> DataFrame:
-    """(d, t, begin, windows): runs of windows that also start earlier, of ``docs`` (d, t, text), d and t ordering the documents.
-
-    A sample of at most SAMPLE_DOCS documents (those of lowest hash) gives the splitters of the buckets and the anchors that many
-    documents hold. 1. Anchor hashes are dealt out by value; those that occur once end there. 2. The other runs of windows, with
-    their bytes, are range-partitioned by the leading bytes of their anchor; a bucket holds all that could equal what it
-    holds, so nothing crosses its boundaries. It settles equal runs and sorts the windows of the others. 3. Anchors that many
-    documents hold go another way, without a bucket: equal runs, then equal windows, are grouped by a hash for the earliest, which
-    Spark combines before the shuffle.
+    """(d, t, marks): runs of windows that also start earlier, as packed pairs of first window and number of windows.
+
+    ``docs`` has d, t, text; d and t order the documents. The runs of ``spans`` are the suffixes that are compared. A sample of at
+    most SAMPLE_DOCS documents (those of lowest hash) gives the splitters of the buckets and the anchors that many documents hold.
+
+    1. Runs are dealt out by the hash of their anchor, without their bytes. Of equal runs all but the first are marked; an anchor
+       with one distinct run ends there. 2. The distinct runs of the other anchors are range-partitioned, with their bytes, by the
+       leading bytes of the anchor; a bucket holds all that could equal what it holds, so nothing is left to compare across
+       its boundaries. It sorts their windows. 3. Anchors that many documents hold go another way, without a bucket: a task marks
+       its own equal runs, then runs and then windows are grouped for the earliest, which Spark combines before the shuffle.
     """
-    spark = docs.sparkSession
     size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     slots = max(1, -(-size // BUCKET_BYTES))
 
     def sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for text in batch.column(0):
-                data = _bytes(text)
-                hashed, at, _, _ = spans(np.frombuffer(data, np.uint8))
-                if len(hashed):
-                    _, one = np.unique(hashed, return_index=True)
-                    yield pa.record_batch([pa.array(hashed[one].view(np.int64)), pa.array([data[a:a + LEAD] for a in at[one].tolist()], pa.binary())], names=["hash", "lead"])
+        def rows() -> Iterator[tuple]:
+            for batch in batches:
+                for text in batch.column(0):
+                    data = _bytes(text)
+                    hashed, at, *_ = spans(np.frombuffer(data, np.uint8))
+                    for h, a in dict(zip(hashed.view(np.int64).tolist(), at.tolist())).items():
+                        yield h, data[a:a + LEAD]
+        yield from _batches(rows(), "hash LEAD")
 
     place = F.xxhash64("d", "t")
     chosen = docs.select("d", "t", place.alias("p")).orderBy("p", "d", "t").limit(SAMPLE_DOCS).select(F.col("d").alias("d0"), F.col("t").alias("t0"))
     sample = docs.join(F.broadcast(chosen), (F.col("d") == F.col("d0")) & (F.col("t") == F.col("t0"))).select("text").mapInArrow(sampled, "hash long, lead binary")
     counted = written(sample.groupBy("hash").agg(F.count(F.lit(1)).alias("n"), F.min("lead").alias("lead")), "sampled-anchors")
     hot = np.sort(np.array([r["hash"] for r in counted.where(F.col("n") >= HOT_COUNT).select("hash").collect()], np.int64).view(np.uint64))
-    leads = counted.where(F.col("n") < HOT_COUNT).select("lead").orderBy(F.xxhash64("lead")).limit(50_000).collect()
+    leads = counted.where(F.col("n") < HOT_COUNT).select("lead").orderBy(F.xxhash64("lead")).limit(20_000).collect()
     leads = np.sort(np.array([r["lead"] for r in leads], f"S{LEAD}"))
 
     def cold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Anchors of a batch by slot, packed: hash (32 bits of it beside the slot), document, place of the first window."""
+        """Runs of some documents by slot, one row for a slot: the columns of _FIELDS, one after the other."""
         for batch in batches:
-            parts = []
-            for d, t, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
-                hashed, _, begin, _ = spans(np.frombuffer(_bytes(text), np.uint8))
-                keep = ~np.isin(hashed, hot) if len(hot) else np.ones(len(hashed), bool)
-                rows = np.zeros(int(keep.sum()), _PACKED)
-                rows["hash"], rows["slot"] = (hashed[keep] >> np.uint64(16)).astype(np.uint32), (hashed[keep] >> np.uint64(48)) % np.uint64(slots)
-                rows["d"], rows["t"], rows["begin"] = d, t, begin[keep]
-                parts.append(rows)
-            rows = np.concatenate(parts) if parts else np.zeros(0, _PACKED)
-            rows = rows[np.argsort(rows["slot"], kind="stable")]
-            if len(rows):
-                cuts = np.split(rows, np.flatnonzero(np.diff(rows["slot"])) + 1)
-                yield pa.record_batch([pa.array([int(c["slot"][0]) for c in cuts], pa.int32()), pa.array([c.tobytes() for c in cuts], pa.binary())], names=["slot", "rows"])
-
-    def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Anchors that occur again, of one partition of slots, as (d, t, places of first windows)."""
-        held = [np.frombuffer(r, _PACKED) for b in batches for r in b.column(1).to_pylist()]
-        if held:
-            rows = np.concatenate(held)
-            _, number, n = np.unique(rows["slot"].astype(np.uint64) << np.uint64(32) | rows["hash"], return_inverse=True, return_counts=True)
-            rows = rows[n[number] > 1]
-            rows = rows[np.lexsort((rows["begin"], rows["t"], rows["d"]))]
-            cuts = np.split(rows, np.flatnonzero((np.diff(rows["d"]) != 0) | (np.diff(rows["t"]) != 0)) + 1) if len(rows) else []
-            for at in range(0, len(cuts), 10_000):
-                some = cuts[at:at + 10_000]
-                yield pa.record_batch([pa.array([int(c["d"][0]) for c in some], pa.int64()), pa.array([int(c["t"][0]) for c in some], pa.int64()),
-                                       pa.array([c["begin"].astype(np.int64).tobytes() for c in some], pa.binary())], names=["d", "t", "places"])
-
-    parts = docs.select("d", "t", "text").mapInArrow(cold, "slot int, rows binary")
-    places = written(parts.repartition(slots, "slot").mapInArrow(shared, "d long, t long, places binary").groupBy("d", "t").agg(
-        F.collect_list("places").alias("places")), "shared-anchors")
-    stats = places.agg(F.coalesce(F.sum(F.aggregate("places", F.lit(0), lambda s, p: s + F.octet_length(p))), F.lit(0)), F.count(F.lit(1))).first()
-    n_spans, small = stats[0] // 8, stats[0] + 64 * stats[1] <= 32 << 20
-    buckets = max(1, -(-n_spans // BUCKET_SPANS))
+            for at in range(0, batch.num_rows, 2000):
+                parts = []
+                for d, t, text in zip(*(c.to_pylist() for c in batch.slice(at, 2000).columns[:2]), batch.column(2).slice(at, 2000)):
+                    hashed, _, begin, n, whole = spans(np.frombuffer(_bytes(text), np.uint8))
+                    keep = ~np.isin(hashed, hot) if len(hot) else np.ones(len(hashed), bool)
+                    k = int(keep.sum())
+                    parts.append(((hashed[keep] >> np.uint64(48)) % np.uint64(slots), hashed[keep] >> np.uint64(16), whole[keep], np.full(k, d), np.full(k, t), begin[keep], n[keep]))
+                slot, *columns = (np.concatenate(c) for c in zip(*parts))
+                if len(slot):
+                    columns = [(c & np.uint64(0xFFFFFFFF) if name == "hash" else c).astype(kind) for c, (name, kind) in zip(columns, _FIELDS)]
+                    order = np.argsort(slot, kind="stable")
+                    cuts = np.split(order, np.flatnonzero(np.diff(slot[order])) + 1)
+                    yield pa.record_batch([pa.array([int(slot[c[0]]) for c in cuts], pa.int32()), pa.array([len(c) for c in cuts], pa.int32()),
+                                           pa.array([b"".join(x[c].tobytes() for x in columns) for c in cuts], pa.binary())], names=["slot", "n", "runs"])
+
+    def settled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Marks of equal runs, and the first windows of distinct runs whose anchor has several, by document."""
+        slots_, held = [], []
+        for batch in batches:
+            for slot, n, packed in zip(*(batch.column(c).to_pylist() for c in range(3))):
+                at, row = 0, []
+                for _, kind in _FIELDS:
+                    row.append(np.frombuffer(packed, kind, n, at))
+                    at += n * np.dtype(kind).itemsize
+                slots_.append(np.full(n, slot, np.uint64))
+                held.append(row)
+        if not held:
+            return
+        slot = np.concatenate(slots_)
+        hashed, whole, d, t, begin, n = (np.concatenate(c) for c in zip(*held))
+        anchor = slot << np.uint64(32) | hashed
+        order = np.lexsort((begin, t, d, n, whole, anchor))
+        anchor, whole, d, t, begin, n = (c[order] for c in (anchor, whole, d, t, begin, n))
+        new_anchor = np.concatenate(([True], anchor[1:] != anchor[:-1]))
+        first = new_anchor | np.concatenate(([True], (whole[1:] != whole[:-1]) | (n[1:] != n[:-1])))
+        lead = np.flatnonzero(first)[np.cumsum(first) - 1]
+        same = (d == d[lead]) & (t == t[lead]) & (begin == begin[lead])  # a repeated row is no earlier document
+        again = ~first & ~same
+        number = np.cumsum(new_anchor) - 1
+        rival = first & (np.bincount(number, weights=first)[number] > 1)
+        kept: dict[tuple[int, int], list[bytes]] = {}
+        for which, values in ((again, np.stack((begin, n), axis=1)), (rival, begin[:, None])):
+            for d_, t_, packed in _packed(d[which], t[which], values[which]):
+                kept.setdefault((d_, t_), [b"", b""])[which is rival] = packed
+        yield from _batches(((*k, *v) for k, v in kept.items()), "d t MARKS RIVALS")
+
+    parts = docs.select("d", "t", "text").mapInArrow(cold, "slot int, n int, runs binary")
+    found = written(parts.repartition(slots, "slot").mapInArrow(settled, _MARKS + ", rivals binary"), "settled-runs")
+    equal = found.where(F.octet_length("marks") > 0).select("d", "t", "marks")
+    rivals = found.where(F.octet_length("rivals") > 0)
+    buckets = max(1, -(-(rivals.agg(F.coalesce(F.sum(F.octet_length("rivals")), F.lit(0))).first()[0] // 8) // BUCKET_SPANS))
     splitters = leads[np.linspace(0, len(leads), buckets + 1)[1:-1].astype(int)] if len(leads) else leads
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -209,50 +241,65 @@ def repeated_windows(docs: DataFrame) -> DataFrame:
             for batch in batches:
                 for d, t, text, lists in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), batch.column(3).to_pylist()):
                     data = _bytes(text)
-                    _, at, begin, n = spans(np.frombuffer(data, np.uint8))
+                    _, at, begin, n, _ = spans(np.frombuffer(data, np.uint8))
                     keep = np.isin(begin, np.frombuffer(b"".join(lists), np.int64))
                     at, begin, n = at[keep], begin[keep], n[keep]
                     lead = np.array([data[a:a + LEAD] for a in at.tolist()], f"S{LEAD}")
-                    for k, a, b, w in zip(np.searchsorted(splitters, lead, side="right").tolist(), at.tolist(), begin.tolist(), n.tolist()):
-                        yield k, d, t, b, a - b, data[b:b + w + WINDOW - 1]
-        yield from _span_batches(rows(), _NAMES)
-
-    found = places.withColumnsRenamed({"d": "d1", "t": "t1"})
-    joined = docs.join(F.broadcast(found) if small else found, (F.col("d") == F.col("d1")) & (F.col("t") == F.col("t1"))).select("d", "t", "text", "places")
-    cold_marks = joined.mapInArrow(cut, _SPAN).repartition(buckets, "bucket").mapInArrow(_repeats, _EACH)
+                    for k, b, w in zip(np.searchsorted(splitters, lead, side="right").tolist(), begin.tolist(), n.tolist()):
+                        yield k, d, t, b, data[b:b + w + WINDOW - 1]
+        yield from _batches(rows(), "bucket d t begin DATA")
+
+    wanted = rivals.groupBy(F.col("d").alias("d1"), F.col("t").alias("t1")).agg(F.collect_list("rivals").alias("rivals"))
+    joined = docs.join(wanted, (F.col("d") == F.col("d1")) & (F.col("t") == F.col("t1"))).select("d", "t", "text", "rivals")
+    sorted_ = joined.mapInArrow(cut, "bucket long, d long, t long, begin long, data binary").repartition(buckets, "bucket").mapInArrow(_repeats, _MARKS)
+    marks = equal.unionByName(sorted_)
     if not len(hot):
-        return cold_marks
+        return marks
 
     def warm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def rows() -> Iterator[tuple]:
-            for batch in batches:
-                for d, t, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
-                    data = _bytes(text)
-                    hashed, at, begin, n = spans(np.frombuffer(data, np.uint8))
-                    for i in np.flatnonzero(np.isin(hashed, hot)).tolist():
-                        yield 0, d, t, int(begin[i]), int(at[i] - begin[i]), data[begin[i]:begin[i] + n[i] + WINDOW - 1]
-        yield from _span_batches(rows(), _NAMES)
+        """Distinct runs at hot anchors, with their earliest place in this task; the task's other equal runs as marks."""
+        runs: dict[bytes, tuple[int, int, int]] = {}
+        later: list[tuple[int, int, int, int]] = []
+        for batch in batches:
+            for d, t, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+                data = _bytes(text)
+                hashed, _, begin, n, _ = spans(np.frombuffer(data, np.uint8))
+                for i in np.flatnonzero(np.isin(hashed, hot)).tolist():
+                    b, key = int(begin[i]), (d, t, int(begin[i]))
+                    piece = data[b:b + int(n[i]) + WINDOW - 1]
+                    low, high = sorted((runs.get(piece, key), key))
+                    runs[piece] = low
+                    if high != low:
+                        later.append((*high, int(n[i])))
+        made = np.array(later, np.int64).reshape(-1, 4)
+        yield from _batches(((*k, p, b"") for p, k in runs.items()), "d t begin DATA MARKS")
+        yield from _batches(((d, t, 0, b"", m) for d, t, m in _packed(made[:, 0], made[:, 1], made[:, 2:])), "d t begin DATA MARKS")
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            d, t, begin, keys = [], [], [], []
-            for row in zip(*(batch.column(c).to_pylist() for c in ("d", "t", "begin", "data"))):
-                n = len(row[3]) - WINDOW + 1
-                d, t, begin = d + [row[0]] * n, t + [row[1]] * n, begin + list(range(row[2], row[2] + n))
-                keys += [hashlib.blake2b(row[3][i:i + WINDOW], digest_size=16).digest() for i in range(n)]
-            yield pa.record_batch([pa.array(d, pa.int64()), pa.array(t, pa.int64()), pa.array(begin, pa.int64()), pa.array(keys, pa.binary())], names=["d", "t", "begin", "key"])
+        def rows() -> Iterator[tuple]:
+            for batch in batches:
+                for d, t, begin, data in zip(*(batch.column(c).to_pylist() for c in ("d", "t", "begin", "data"))):
+                    for i in range(len(data) - WINDOW + 1):
+                        yield d, t, begin + i, hashlib.blake2b(data[i:i + WINDOW], digest_size=16).digest()
+        yield from _batches(rows(), "d t begin KEY")
+
+    def packed(rows: DataFrame, n: Column) -> DataFrame:
+        """Marks of rows (d, t, begin) with ``n`` windows each, as bytes in the order of the machine's integers."""
+        def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                d, t, begin, n_ = (np.asarray(batch.column(c), np.int64) for c in range(4))
+                yield from _mark_batches(_packed(d, t, np.stack((begin, n_), axis=1)))
+        return rows.select("d", "t", "begin", n.cast("long").alias("n")).mapInArrow(pack, _MARKS)
 
     earliest = F.min(F.struct("d", "t", "begin")).alias("e")
     is_first = (F.col("d") == F.col("e.d")) & (F.col("t") == F.col("e.t")) & (F.col("begin") == F.col("e.begin"))
-    runs = written(docs.select("d", "t", "text").mapInArrow(warm, _SPAN).select("d", "t", "begin", "data"), "hot-runs")
+    warmed = written(docs.select("d", "t", "text").mapInArrow(warm, "d long, t long, begin long, data binary, marks binary"), "hot-runs")
+    runs = warmed.where(F.octet_length("data") > 0).select("d", "t", "begin", "data")
     firsts = written(runs.groupBy("data").agg(earliest), "hot-firsts")
-    whole = runs.join(firsts, "data").where(~is_first).select("d", "t", "begin", (F.octet_length("data") - (WINDOW - 1)).cast("int").alias("windows"))
+    whole = packed(runs.join(firsts, "data").where(~is_first), F.octet_length("data") - (WINDOW - 1))
     single = written(firsts.select("e.d", "e.t", "e.begin", "data").mapInArrow(windows, "d long, t long, begin long, key binary"), "hot-windows")
-    some = single.join(single.groupBy("key").agg(earliest), "key").where(~is_first).select("d", "t", "begin", F.lit(1).alias("windows"))
-    return cold_marks.unionByName(whole).unionByName(some)
-
-
-_PACKED = np.dtype([("hash", "<u4"), ("slot", "<u4"), ("d", "<i8"), ("t", "<i8"), ("begin", "<i4")])
+    some = packed(single.join(single.groupBy("key").agg(earliest), "key").where(~is_first), F.lit(1))
+    return marks.unionByName(warmed.where(F.octet_length("marks") > 0).select("d", "t", "marks")).unionByName(whole).unionByName(some)
 
 
 def cut_repeats(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -271,29 +318,28 @@ def cut_repeats(docs: DataFrame, text: str = "text") -> DataFrame:
         d: F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)), t: F.conv(F.substring(sha, 1, 8), 16, 10).cast("long")})
     ids = written(known.where(F.octet_length(text) >= WINDOW).select(F.col(sha).alias("sha"), F.col(d).alias("d"), F.col(t).alias("t"), F.octet_length(text).alias("n")), "repeat-ids")
     groups = ids.groupBy("sha").agg(F.min("d").alias("first"), F.max("d").alias("last")).where("first < last")
-    copies = written(ids.join(groups, "sha").where("d > first").select("d", "t", F.lit(0).cast("long").alias("begin"), (F.col("n") - (WINDOW - 1)).cast("int").alias("windows")).distinct(), "copies")
+    copies = written(ids.join(groups, "sha").where("d > first").select("d", "t", (F.col("n") - (WINDOW - 1)).cast("long").alias("windows")).distinct(), "copies")
     searched = known.where(F.octet_length(text) >= WINDOW).select(F.col(d).alias("d"), F.col(t).alias("t"), F.col(text).alias("text")).join(
         broadcast_if_small(copies.select("d", "t"), 48), ["d", "t"], "left_anti")
-    marks = repeated_windows(searched).unionByName(copies)
-    spans_of = written(marks.groupBy("d", "t").agg(F.collect_list(F.struct("begin", "windows")).alias("marks")), "repeat-marks")
-    weight = spans_of.agg(F.coalesce(F.sum(F.size("marks") * 24 + 64), F.lit(0))).first()[0]
-    found = spans_of.withColumnsRenamed({"d": "__on_d", "t": "__on_t", "marks": "__marks"})
-    joined = known.join(F.broadcast(found) if weight <= 32 << 20 else found, (F.col(d) == F.col("__on_d")) & (F.col(t) == F.col("__on_t")), "left").select(*kept, "__marks")
+    gone = repeated_windows(searched).withColumn("windows", F.lit(None).cast("long")).unionByName(copies.withColumn("marks", F.lit(None).cast("binary")))
+    found = written(gone.groupBy(F.col("d").alias("__on_d"), F.col("t").alias("__on_t")).agg(
+        F.collect_list("marks").alias("__marks"), F.max("windows").alias("__windows")), "repeat-marks")
+    joined = known.join(found, (F.col(d) == F.col("__on_d")) & (F.col(t) == F.col("__on_t")), "left").select(*kept, "__marks", "__windows")
     place = kept.index(text)
 
     def trimmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             made: list[tuple] = []
-            for value, marks_ in zip(batch.column(place), batch.column(len(kept)).to_pylist()):
+            for value, lists, windows_ in zip(batch.column(place), batch.column(len(kept)).to_pylist(), batch.column(len(kept) + 1).to_pylist()):
                 data = _bytes(value)
                 change = np.zeros(len(data) + 1, np.int32)
-                for m in marks_ or ():
-                    change[m["begin"]] += 1
-                    change[m["begin"] + m["windows"] + WINDOW - 1] -= 1
+                runs = np.frombuffer(b"".join(lists or ()), np.int64).reshape(-1, 2) if not windows_ else np.array([[0, windows_]])
+                np.add.at(change, runs[:, 0], 1)
+                np.add.at(change, runs[:, 0] + runs[:, 1] + WINDOW - 1, -1)
                 gone = np.cumsum(change[:-1]) > 0
                 made.append((np.frombuffer(data, np.uint8)[~gone].tobytes(), len(data), int(gone.sum()), int((np.diff(np.concatenate(([0], gone.view(np.int8)))) == 1).sum())))
             columns = list(zip(*made)) or [()] * 4
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(columns[0], pa.binary()), *[pa.array(c, pa.int64()) for c in columns[1:]]],
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-2], pa.array(columns[0], pa.binary()), *[pa.array(c, pa.int64()) for c in columns[1:]]],
                                              names=[*kept, "kept", "n_bytes", "n_removed", "n_spans"])
 
     fields = [StructField("kept", BinaryType()), *[StructField(n, LongType()) for n in ("n_bytes", "n_removed", "n_spans")]]
