@@ -6,8 +6,7 @@ from pyspark.sql import Column, functions as F
 
 from hybridloom.functions import text as tx
 
-# Citation patterns in the order they are masked, and the length limit.
-MASK_LIMIT = 500_000
+# Citation patterns in the order they are masked.
 BRACKETED = r"\[(?:\d+(?:\s*[-–]\s*\d+)?(?:\s*,\s*\d+(?:\s*[-–]\s*\d+)?)*)\]"
 _AUTHOR = r"[A-Z][A-Za-z'\-]+(?:\s+(?:et\s+al\.|&\s*[A-Z][A-Za-z'\-]+))?,?\s*\d{4}"
 AUTHOR_YEAR = rf"\((?:{_AUTHOR}(?:\s*;\s*{_AUTHOR})*)\)"
@@ -28,8 +27,8 @@ def _placeholder(i: Column) -> Column:
     return F.concat(F.lit("__CITE_"), i.cast("string"), F.lit("__"))
 
 
-def mask(value: Column, limit: int = MASK_LIMIT) -> Column:
-    """struct<masked, spans>: placeholder i stands for spans[i]. Longer texts stay as they are.
+def mask(value: Column) -> Column:
+    """struct<masked, spans>: placeholder i stands for spans[i].
 
     Each pattern is one pass: the pieces between its matches are joined by numbered placeholders.
     """
@@ -46,7 +45,7 @@ def mask(value: Column, limit: int = MASK_LIMIT) -> Column:
     state = _state(value, F.array().cast("array<string>"))
     for pattern in PATTERNS:
         state = tx.bind(state, one_pass(pattern))
-    return F.when(F.length(value) > limit, _state(value, F.array().cast("array<string>"))).otherwise(state)
+    return state
 
 
 def _state(masked: Column, spans: Column) -> Column:

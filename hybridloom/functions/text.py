@@ -96,9 +96,10 @@ def word_windows(value: Column, size: int) -> Column:
     return F.transform(F.regexp_extract_all(value, F.lit(window), F.lit(0)), lambda w: F.regexp_replace(w, BLANK, " "))
 
 
-def fingerprint(value: Column) -> Column:
-    """Comparison key of a passage: its first 200 characters, trimmed and lower-cased."""
-    return F.lower(strip(F.substring(value, 1, 200)))
+def fingerprint(value: Column, opening: int | None = None) -> Column:
+    """Comparison key of a passage: a hash of the whole text, trimmed and lower-cased; of its first ``opening`` characters where given."""
+    part = value if opening is None else F.substring(value, 1, opening)
+    return F.md5(F.lower(strip(part)))
 
 
 def document_url(value: Column) -> Column:
@@ -119,10 +120,9 @@ def metadata_prefix(category: Column, subcategory: Column, date: Column, section
                        part("date", date), part("section", section))
 
 
-def has_line_loop(value: Column, tail: int = 20, shortest: int = 2) -> Column:
-    """True when the last K non-empty lines equal the K lines before them for some K."""
+def has_line_loop(value: Column, shortest: int = 2) -> Column:
+    """True when the last K non-empty lines equal the K non-empty lines before them for some K of ``shortest`` or more."""
     lines = F.split(value, r"\r\n|\r|\n")
-    last = bind(lines, lambda ls: F.slice(ls, F.greatest(F.size(ls) - tail + 1, F.lit(1)), F.lit(tail)))
 
     def repeated(kept: Column) -> Column:
         n = F.size(kept)
@@ -131,4 +131,4 @@ def has_line_loop(value: Column, tail: int = 20, shortest: int = 2) -> Column:
                          == F.slice(kept, F.greatest(n - 2 * k + 1, F.lit(1)), k))
         return (n >= 2 * shortest) & found
 
-    return bind(F.filter(last, lambda s: strip(s) != ""), repeated)
+    return bind(F.filter(lines, lambda s: strip(s) != ""), repeated)

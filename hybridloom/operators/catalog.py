@@ -99,10 +99,7 @@ def pick_one(df: DataFrame, id_col: str = "id", seed: int | str | None = None) -
 
 def representative(df: DataFrame, order: str, batches: int, text: str = "text") -> DataFrame:
     """Rows spread evenly over one source: every n-th by ``order``, blank texts skipped, at most ``batches``."""
-    total = df.count()
-    if total <= batches:
-        return df.withColumn("position", F.lit(0).cast("long"))
-    step = max(1, total // batches)
+    step = max(1, df.count() // batches)
     spaced = dense_position(df, order).filter(F.pmod("position", F.lit(step)) == 0)
     return spaced.filter(F.trim(F.coalesce(F.col(text), F.lit(""))) != "").orderBy("position").limit(batches)
 

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from hybridloom.functions import text as tx
 from hybridloom.schema import as_points, first_present
-from hybridloom.session import broadcast_within
+from hybridloom.session import broadcast_within, cut_lineage
 
 # Section titles that are normalised, or (None) answered by semantic search instead.
 SECTION_TITLES = {
@@ -78,16 +78,27 @@ def radius_sweep(seeds: DataFrame, points: DataFrame, radii: list[int], query_co
 
 
 def budget_expand(seeds: DataFrame, points: DataFrame, budget: int, query_col: str = "query_id",
-                  position: str = "chunk_index", tokens: str = "token_count") -> DataFrame:
-    """Grow outwards from each seed until its passage reaches the token budget.
+                  position: str = "chunk_index", tokens: str = "token_count", first_reach: int = 20) -> DataFrame:
+    """Grow outwards from each seed until its passage reaches the token budget or its file ends.
 
-    Neighbours are taken before and after alternately; a chunk joins while the passage is still
-    below the budget. The reach is bounded by the budget, so every seed ranks a short list.
+    Neighbours are taken before and after alternately; a chunk joins while the passage is still below the budget. The reach is
+    doubled for the seeds that are still short, so a seed looks at no more than twice the positions that it needs.
     """
-    reach = F.greatest(F.lit(20), F.floor((F.lit(budget) - F.col(tokens)) / 200)).cast("int")
-    lists = seeds.select(query_col, "source_file", position, reach.alias("reach"))
-    near = around(lists.withColumn("_r", F.col("reach")), points, F.col("_r"), [query_col, "reach"], position)
-    near = near.filter(F.col(position) >= F.greatest(F.lit(0), F.col("seed_position") - F.col("reach")))
+    files = seeds.select("source_file").distinct()
+    ends = points.join(files, "source_file", "left_semi").groupBy("source_file").agg(F.min(position).alias("_low"), F.max(position).alias("_high"))
+    short = cut_lineage(seeds.select(query_col, "source_file", position).join(ends, "source_file").withColumn("_r", F.lit(first_reach)))
+    settled: DataFrame | None = None
+    while True:
+        held = around(short, points, F.col("_r"), [query_col], position).groupBy(query_col).agg(F.sum(tokens).alias("_held"))
+        measured = cut_lineage(short.join(held, query_col, "left"))
+        enough = ((F.coalesce("_held", F.lit(0)) >= budget)
+                  | ((F.col(position) - F.col("_r") <= F.col("_low")) & (F.col(position) + F.col("_r") >= F.col("_high"))))
+        done = measured.filter(enough)
+        settled = done if settled is None else settled.unionByName(done)
+        short = measured.filter(~enough).withColumn("_r", F.col("_r") * 2).drop("_held")
+        if short.isEmpty():
+            break
+    near = around(settled, points, F.col("_r"), [query_col], position)
     order = Window.partitionBy(query_col).orderBy(F.abs("offset"), "offset").rowsBetween(Window.unboundedPreceding, -1)
     before = F.coalesce(F.sum(tokens).over(order), F.lit(0))
     return near.withColumn("_before", before).filter((F.col("offset") == 0) | (F.col("_before") < budget)).drop("_before")
@@ -204,7 +215,8 @@ def passages_block(hits: DataFrame, query_col: str = "query_id", place: str = "r
         F.struct(F.col(place).alias("p"), block.alias("b")))), lambda x: x["b"]), "\n\n").alias("passages"))
 
 
-def exact_section(points: DataFrame, source_file: str, section_title: str, limit: int = 100) -> DataFrame:
-    """Chunks of one titled section of one file in reading order, the first ``limit`` of them."""
-    return (as_points(points).filter((F.col("source_file") == source_file) & (F.col("section_title") == section_title))
-            .orderBy("section_index", "chunk_index").limit(limit))
+def exact_section(points: DataFrame, source_file: str, section_title: str, limit: int | None = None) -> DataFrame:
+    """Chunks of one titled section of one file in reading order; the first ``limit`` of them where one is given."""
+    found = (as_points(points).filter((F.col("source_file") == source_file) & (F.col("section_title") == section_title))
+             .orderBy("section_index", "chunk_index"))
+    return found if limit is None else found.limit(limit)

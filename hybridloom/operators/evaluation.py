@@ -39,10 +39,10 @@ def hit_metrics(hits: DataFrame, keys: list[str], query: str = "query") -> DataF
 
 def document_key(arxiv_id: Column, book_title: Column, text: Column) -> Column:
     """Stable document id with a type prefix."""
-    title = F.substring(F.lower(tx.strip(book_title)), 1, 80)
+    title = F.lower(tx.strip(book_title))
     return F.coalesce(F.concat(F.lit("paper:"), F.nullif(arxiv_id, F.lit(""))),
                       F.when(F.coalesce(book_title, F.lit("")) != "", F.concat(F.lit("book:"), title)),
-                      F.concat(F.lit("chunk:"), F.md5(F.substring(text, 1, 100))))
+                      F.concat(F.lit("chunk:"), F.md5(text)))
 
 
 def jaccard(a: Column, b: Column, both_empty: float = 1.0) -> Column:
@@ -72,12 +72,12 @@ def hit_rank(hits: DataFrame, keys: list[str]) -> DataFrame:
     """Rank of the source passage in every result list.
 
     ``hits`` carry the source chunk (seed_file, range_low, range_high, seed_text). The first hit of
-    the file inside the chunk range counts; failing that the first whose opening 200 characters
-    share more than half of the passage's words.
+    the file inside the chunk range counts; failing that the first whose text holds
+    more than half of the passage's words.
     """
-    opening = lambda c: F.array_distinct(tx.words(F.lower(F.substring(c, 1, 200))))
-    source = opening(F.col("seed_text"))
-    shared = F.size(F.array_intersect(source, opening(F.col("text")))) / F.greatest(F.size(source), F.lit(1))
+    distinct_words = lambda c: F.array_distinct(tx.words(F.lower(c)))
+    source = distinct_words(F.col("seed_text"))
+    shared = F.size(F.array_intersect(source, distinct_words(F.col("text")))) / F.greatest(F.size(source), F.lit(1))
     inside = (F.col("source_file") == F.col("seed_file")) & F.col("chunk_index").between(F.col("range_low"), F.col("range_high"))
     found = hits.groupBy(*keys).agg(F.min(F.when(inside, F.col("rn"))).alias("exact"),
                                     F.min(F.when(shared > 0.5, F.col("rn"))).alias("fuzzy"))

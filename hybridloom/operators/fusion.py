@@ -99,7 +99,8 @@ def merge_normalised(dense: DataFrame, sparse: DataFrame, query_col: str = "quer
 def flatten_ranked(df: DataFrame, keys: list[str], id_col: str = "id", score: str = "score") -> DataFrame:
     """Keep the best row of every id, then number the rest by score; rows without text drop out."""
     rows = df.filter(F.coalesce(F.col("text"), F.lit("")) != "") if "text" in df.columns else df
-    best = Window.partitionBy(*keys, id_col).orderBy(F.desc(score))
+    ties = [F.asc(c) for c in ("collection", "rn", "rank") if c in rows.columns]
+    best = Window.partitionBy(*keys, id_col).orderBy(F.desc(score), *ties)
     order = Window.partitionBy(*keys).orderBy(F.desc(score), F.asc(id_col))
     return (rows.withColumn("_n", F.row_number().over(best)).filter(F.col("_n") == 1).drop("_n")
             .withColumn("rank", F.row_number().over(order)))

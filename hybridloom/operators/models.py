@@ -11,8 +11,12 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from hybridloom.functions import replies, text as tx
 
 # Question types of generated queries and the bucket each belongs to.
-BUCKET_OF_TYPE = {"trivia": "trivia", "conceptual": "conceptual", "operational": "operational"}
-FALLBACK_BUCKET = "operational"
+BUCKET_OF_TYPE = {
+    "numeric_fact_lookup": "trivia", "named_entity_lookup": "trivia", "conceptual_explanation": "conceptual", "comparison_tradeoff": "conceptual",
+    "paper_or_method_discovery": "conceptual", "implementation_guidance": "operational", "architecture_design": "operational",
+    "failure_mode_debugging": "operational", "evaluation_method": "operational", "security_or_governance": "operational",
+    "operational_monitoring": "operational"}
+FALLBACK_BUCKET, UNKNOWN_TYPE = "operational", "unknown"
 
 
 def call_model(df: DataFrame, inputs: list[str], model: Callable[..., str], out: str, retries: int = 2, pause: float = 1.0) -> DataFrame:
@@ -57,13 +61,14 @@ def lexical_rerank(hits: DataFrame, keys: list[str], query: str = "query", id_co
 
 
 def generated_query(reply: Column) -> Column:
-    """struct<query, query_type, query_bucket> of a generator's JSON; plain text is the query itself."""
+    """struct<query, query_type, query_bucket> of a generator's JSON; of plain text the first line is the query, its type unknown."""
     bare = replies.strip_wrappers(reply)
-    kind = F.lower(F.coalesce(F.get_json_object(bare, "$.query_type"), F.lit("")))
+    kind = F.coalesce(F.get_json_object(bare, "$.query_type"), F.lit(UNKNOWN_TYPE))
+    spoken = F.trim(tx.strip(F.substring_index(tx.strip(bare), "\n", 1)), F.lit('"'))
     bucket = F.lit(FALLBACK_BUCKET)
     for name, group in BUCKET_OF_TYPE.items():
         bucket = F.when(kind == name, group).otherwise(bucket)
-    return F.struct(F.coalesce(F.get_json_object(bare, "$.query"), bare).alias("query"), kind.alias("query_type"), bucket.alias("query_bucket"))
+    return F.struct(F.coalesce(tx.strip(F.get_json_object(bare, "$.query")), spoken).alias("query"), kind.alias("query_type"), bucket.alias("query_bucket"))
 
 
 def distinct_queries(replies_: DataFrame, column: str = "query", shortest: int = 10) -> DataFrame:

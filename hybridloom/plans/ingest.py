@@ -41,7 +41,7 @@ def chunks_of(sections: DataFrame, settings: ChunkSettings, splitter: Callable[[
     if "chapter_index" not in made.columns:
         made = made.withColumn("chapter_index", F.lit(0))
     made = running_sequence(made)
-    key = dml.point_id(F.col("source_file"), F.col("chapter_index"), F.col("section_index"), F.col("chunk_index"))
+    key = dml.point_id(F.col("source_file"), F.col("chapter_index"), F.col("section_index"), F.col("chunk_index"), F.md5("text"))
     return as_points(made.withColumn("id", key)).select("id", *PAYLOAD)
 
 
@@ -73,9 +73,15 @@ def sparse_component(points: DataFrame, encoder=encoders.sparse_terms, window: i
 
 def ingest(store: CollectionStore, collection: str, sections: DataFrame, settings: ChunkSettings = ChunkSettings.for_service(),
            dense=encoders.dense_terms, sparse=encoders.sparse_terms, prefixed: bool = False) -> dict:
-    """Create, append new chunks, then encode what has no vector yet. Running it again adds nothing."""
+    """Create, append new chunks, then encode what has no vector yet.
+
+    Ids hold a hash of the text: running it again adds nothing, and a file whose text has changed loses its old chunks and their vectors.
+    """
     name = store.create(collection)
-    store.append(name, chunks_of(sections, settings))
+    chunks = chunks_of(sections, settings)
+    if store.has(name, "payload"):
+        store.retire(name, chunks)
+    store.append(name, chunks)
     if dense is not None:
         fill_vectors(store, name, "dense", lambda p: dense_component(p, dense, prefixed))
     if sparse is not None:

@@ -81,7 +81,7 @@ class SearchEngine:
                expand: bool | None = None) -> dict:
         """One collection: hybrid where it has sparse vectors, else dense with the surrounding sections."""
         name = safe_name(collection or self.settings.default_collection)
-        k = top_k or self.settings.top_k
+        k = self.settings.top_k if top_k is None else top_k
         asked = self.queries([query])
         hybrid = self.store.has(name, "sparse")
         hits = (self.hybrid_hits(asked, name, k, filter_by, sparse_weight, dense_weight) if hybrid
@@ -142,7 +142,7 @@ class SearchEngine:
             group = groups.setdefault(r["group_key"], {
                 "group_key": r["group_key"], "group_label": r["group_label"], "title": r["title"] or r["book_title"] or "", "source_file": r["source_file"],
                 "best_score": round(r["best_score"], 4), "avg_score": round(r["avg_score"], 4), "chunk_count": r["chunk_count"], "chunks": []})
-            group["chunks"].append({"score": round(r["score"], 4), "text": (r["text"] or "")[:500], "point_id": r["id"], **{c: r[c] for c in (
+            group["chunks"].append({"score": round(r["score"], 4), "text": r["text"] or "", "point_id": r["id"], **{c: r[c] for c in (
                 "doc_type", "title", "section", "source_file", "chunk_index", "token_count", "arxiv_id", "category", "book_title", "section_title", "authors", "year")}})
         prompt = context.prompt_context(hits, by).select("prompt_context").first() if rows else None
         sources = context.bibliography(hits).orderBy("source_id").withColumn("formatted", context.format_source()).collect() if rows else []
@@ -154,7 +154,7 @@ class SearchEngine:
     def get_context(self, source_file: str, section_title: str | None = None, query: str | None = None, radius: int | None = None,
                     collection: str | None = None) -> dict:
         """The chunks around a section: exact title, else the best matching chunk of the file as anchor."""
-        name, r = safe_name(collection or self.settings.default_collection), radius or self.settings.context_radius
+        name, r = safe_name(collection or self.settings.default_collection), self.settings.context_radius if radius is None else radius
         anchor = section_title or query
         label = f"context for {source_file}"
         if not anchor:

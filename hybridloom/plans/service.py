@@ -59,7 +59,7 @@ class Service:
             said = self.answer(query, found["prompt_context"])
         except Exception as problem:  # a failing model is an answer, not a crash
             said = f"[error: {problem}]"
-        groups = [{k: g[k] for k in ("group_label", "title", "chunk_count")} for g in found["groups"][:5]]
+        groups = [{k: g[k] for k in ("group_label", "title", "chunk_count")} for g in found["groups"]]
         return {"query": query, "mode": "answer", "answer": said, "total_chunks": found["total_chunks"], "groups": groups, "sources": found["sources"]}
 
     def get_context(self, source_file: str = "", radius: int = 2, **rest) -> dict:

@@ -7,12 +7,14 @@ read, so a job that dies half-way leaves the collection as it was.
 
 from __future__ import annotations
 
+import hashlib
 import re
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from hybridloom.operators import dml
 from hybridloom.schema import as_points
+from hybridloom.session import cut_lineage
 
 COMPONENTS = ("payload", "dense", "sparse")
 
@@ -69,10 +71,23 @@ class CollectionStore:
     def create(self, name: str) -> str:
         """Make the collection folder unless it is there."""
         safe = self._guard(name)
+        self._own(safe, name)
         path = self._path(safe, "payload")
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).mkdirs(path)
         return safe
 
+    def _own(self, safe: str, name: str) -> None:
+        """Refuse a folder that another name owns: its first owner's name is kept beside the data. The folder's own name, which
+        is what listings and reports show, always means the collection that is there."""
+        plain = name.strip().lower()
+        owners = [c[len("owner="):] for c in self._children(safe) if c.startswith("owner=")]
+        mine = hashlib.md5(plain.encode()).hexdigest()
+        if not owners:
+            path = self._path(safe, f"owner={mine}")
+            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).mkdirs(path)
+        elif mine not in owners and plain != safe:
+            raise ValueError(f"{name!r} would share folder {safe} with another collection; choose a name of letters, digits and -_. with at most 63 characters")
+
     def drop(self, name: str) -> None:
         path = self._path(self._guard(name))
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
@@ -125,6 +140,19 @@ class CollectionStore:
         numbers = self._numbers(self._children(safe, component), "snapshot")
         self._write(safe, component, numbers[-1] + 1, 0, merged)
 
+    def retire(self, name: str, chunks: DataFrame) -> None:
+        """Drop the stored points, and their vectors, of files in ``chunks`` that ``chunks`` no longer holds."""
+        safe = self._guard(name)
+        stored = self.read(safe, "payload")
+        files = chunks.select("source_file").distinct()
+        gone = stored.join(files, "source_file", "left_semi").select("id").join(chunks.select("id"), "id", "left_anti")
+        if gone.limit(1).count():
+            gone = cut_lineage(gone)
+            for component in COMPONENTS:
+                if self.has(safe, component):
+                    numbers = self._numbers(self._children(safe, component), "snapshot")
+                    self._write(safe, component, numbers[-1] + 1, 0, self.read(safe, component).join(gone, "id", "left_anti"))
+
     def patch(self, name: str, metadata: DataFrame, keys: list[str], fields: list[str], dry_run: bool = False) -> DataFrame:
         """Fill blank payload fields from a metadata table; reports rows and changes."""
         patched = dml.patch_blanks(self.read(name, "payload"), metadata, keys, fields)

@@ -24,24 +24,28 @@ def run_available(stream: DataFrame, checkpoint: str, handle: Callable[[DataFram
 def append_once(target: str, keys: list[str]) -> Callable[[DataFrame, int], None]:
     """Batch handler: anti-join with what is stored and append.
 
-    Each micro-batch owns one subfolder that it overwrites, so a batch that is run again after a
-    failure replaces its own rows instead of adding them twice.
+    Each micro-batch owns one subfolder, named after the stream (the id kept in its checkpoint) and its number, so a batch that
+    is run again after a failure replaces its own rows, and another stream, or one with a fresh checkpoint, never does.
     """
     def handle(batch: DataFrame, number: int) -> None:
+        stream = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "batch"
         fresh = batch.dropDuplicates(keys)
-        stored = _read_before(batch.sparkSession, target, number)
+        stored = _read_before(batch.sparkSession, target, stream, number)
         if stored is not None:
             fresh = dml.new_rows(fresh, stored, keys)
-        fresh.write.mode("overwrite").parquet(f"{target}/batch={number}")
+        fresh.write.mode("overwrite").parquet(f"{target}/stream={stream}/batch={number}")
 
     return handle
 
 
-def _read_before(spark: SparkSession, target: str, number: int) -> DataFrame | None:
-    """Rows of earlier batches."""
-    if number == 0:
-        return None
-    return spark.read.option("basePath", target).parquet(*[f"{target}/batch={n}" for n in range(number)]).drop("batch")
+def _read_before(spark: SparkSession, target: str, stream: str, number: int) -> DataFrame | None:
+    """Rows of other streams and of earlier batches of this one."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(target)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    done = [str(f.getPath().getParent()) for f in files.globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{target}/stream=*/batch=*/_SUCCESS")) or []]
+    own = f"/stream={stream}/batch="
+    earlier = [d for d in done if own not in d or int(d.rsplit("=", 1)[1]) < number]
+    return spark.read.option("basePath", target).parquet(*earlier).drop("stream", "batch") if earlier else None
 
 
 def snapshot(target: str) -> Callable[[DataFrame, int], None]:

@@ -55,7 +55,7 @@ def radius_sweep(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("budget_expand", f"""{_HITS}, near AS (SELECT h.query_id, t.id, t.chunk_index, t.token_count, t.text, t.chunk_index - h.chunk_index AS d FROM hits h JOIN turns t
-   ON t.source_file = h.source_file WHERE h.rn = 1 AND abs(t.chunk_index - h.chunk_index) <= greatest(20, (600 - h.token_count) // 200)),
+   ON t.source_file = h.source_file WHERE h.rn = 1),
  run AS (SELECT *, coalesce(sum(token_count) OVER (PARTITION BY query_id ORDER BY abs(d), d ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM near)
 SELECT query_id, md5(string_agg(text, chr(10) || chr(10) ORDER BY chunk_index)) AS text_md5, min(chunk_index) AS first_chunk, max(chunk_index) AS last_chunk,
  count(*) AS chunks_used, sum(token_count)::BIGINT AS total_tokens FROM run WHERE d = 0 OR before < 600 GROUP BY 1""")
@@ -68,8 +68,7 @@ def budget_expand(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("pick_random_chunk", f"""WITH {_TURNS}, seed AS (SELECT * FROM turns WHERE token_count >= 50 ORDER BY md5('7:' || id), id LIMIT 1),
- near AS (SELECT t.*, t.chunk_index - s.chunk_index AS d FROM seed s JOIN turns t ON t.source_file = s.source_file
-   AND abs(t.chunk_index - s.chunk_index) <= greatest(20, (4000 - s.token_count) // 200)),
+ near AS (SELECT t.*, t.chunk_index - s.chunk_index AS d FROM seed s JOIN turns t ON t.source_file = s.source_file),
  run AS (SELECT *, coalesce(sum(token_count) OVER (ORDER BY abs(d), d ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM near)
 SELECT (SELECT id FROM seed) AS query_id, md5(string_agg(text, chr(10) || chr(10) ORDER BY chunk_index)) AS text_md5, count(*) AS chunks_used,
  sum(token_count)::BIGINT AS total_tokens FROM run WHERE d = 0 OR before < 4000""")
@@ -150,7 +149,7 @@ def passage_blocks(spark: SparkSession, sf: str) -> DataFrame:
     return context.passages_block(turn_hits(spark, sf)).select("query_id", F.md5("passages").alias("passages_md5"))
 
 
-@query("exact_section", f"""WITH {_TURNS} SELECT id, section_index, token_count FROM turns WHERE source_file = 'conv-3' AND section_title = 'assistant' ORDER BY section_index LIMIT 100""")
+@query("exact_section", f"""WITH {_TURNS} SELECT id, section_index, token_count FROM turns WHERE source_file = 'conv-3' AND section_title = 'assistant' ORDER BY section_index""")
 def exact_section(spark: SparkSession, sf: str) -> DataFrame:
     found = context.exact_section(tb.turns(spark, sf), "conv-3", "assistant")
     return found.select("id", F.col("section_index").cast("long").alias("section_index"), "token_count")

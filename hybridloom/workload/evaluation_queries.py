@@ -45,13 +45,10 @@ def six_metrics(spark: SparkSession, sf: str) -> DataFrame:
 def keyword_hit_rate(spark: SparkSession, sf: str) -> DataFrame:
     """Share of documents per language that hold any term of any prompt."""
     from hybridloom.functions import text as tx
-    # The prompts are a user's list; their vocabulary travels as a literal behind a size check.
-    rows = tb.table(spark, sf, "benchmark").select(F.explode(tx.query_terms(F.col("text"))).alias("t")).distinct().limit(200_001).collect()
-    if len(rows) > 200_000:
-        raise ValueError("prompt vocabulary beyond 200000 terms")
-    terms = F.array(*[F.lit(r["t"]) for r in rows])
-    docs = tb.documents(spark, sf)
-    return docs.groupBy(F.col("language").alias("lang")).agg(F.round(F.avg(ev.contains_any(F.col("text"), terms).cast("int")), 6).alias("hit_rate"))
+    # The prompts are a user's list; their vocabulary is a value of the plan, computed once, not part of its text.
+    terms = tb.table(spark, sf, "benchmark").select(F.explode(tx.query_terms(F.col("text"))).alias("t")).agg(F.collect_set("t")).scalar()
+    docs = tb.documents(spark, sf).withColumn("terms", terms)
+    return docs.groupBy(F.col("language").alias("lang")).agg(F.round(F.avg(ev.contains_any(F.col("text"), F.col("terms")).cast("int")), 6).alias("hit_rate"))
 
 
 @query("jaccard_docs", f"""WITH {sql_signals(10)}, a AS (SELECT query_id, list(DISTINCT source) AS l FROM d JOIN documents ON doc_id = id GROUP BY 1),
@@ -68,7 +65,7 @@ def _overlaps(spark: SparkSession, sf: str, item, both_empty: float) -> DataFram
     return out.select("query_id", *[F.col(c).cast("long").alias(c) for c in ("common", "only_left", "only_right")], F.round("jaccard", 6).alias("jaccard"))
 
 
-@query("fingerprint_overlap", f"""WITH {sql_signals(10)}, f AS (SELECT doc_id, lower({_trim('substr(text, 1, 200)')}) AS fp FROM documents),
+@query("fingerprint_overlap", f"""WITH {sql_signals(10)}, f AS (SELECT doc_id, lower({_trim('text')}) AS fp FROM documents),
  a AS (SELECT query_id, list(DISTINCT fp) AS l FROM d JOIN f ON doc_id = id GROUP BY 1), b AS (SELECT query_id, list(DISTINCT fp) AS l FROM s JOIN f ON doc_id = id GROUP BY 1)
 SELECT query_id, len(list_intersect(a.l, b.l)) AS common, len(a.l) - len(list_intersect(a.l, b.l)) AS only_left, len(b.l) - len(list_intersect(a.l, b.l)) AS only_right,
  round(len(list_intersect(a.l, b.l)) / len(list_distinct(list_concat(a.l, b.l))), 6) AS jaccard FROM a JOIN b USING (query_id)""")
@@ -87,7 +84,7 @@ def overlap_bands(spark: SparkSession, sf: str) -> DataFrame:
     return bands.withColumn("mean_jaccard", F.round("mean_jaccard", 6))
 
 
-_OPEN = "list_distinct(list_filter(string_split_regex(lower(substr({0}, 1, 200)), '\\s+'), lambda w: w <> ''))"
+_OPEN = "list_distinct(list_filter(string_split_regex(lower({0}), '\\s+'), lambda w: w <> ''))"
 
 
 @query("hit_rank", f"""WITH {sql_signals(10)}, seed AS (SELECT query_id, source AS seed_file, id - 1 AS lo, id + 1 AS hi, b.text AS seed_text

@@ -121,8 +121,10 @@ def _by_language(spark: SparkSession, sf: str, k: int) -> DataFrame:
     """Dense hits of every collection; here a collection is a language."""
     points = tb.encoded_documents(spark, sf, "dense")
     asked = tb.prompts(spark, sf)
-    parts = [topk.dense_topk(points.filter(F.col("language") == lang), asked, k).withColumn("collection", F.lit(lang))
-             for lang in ("de", "en", "es", "fr")]
+    # The collections that there are; a document without a language is in a collection of its own.
+    languages = sorted((r[0] for r in tb.table(spark, sf, "documents").select("lang").distinct().collect()), key=lambda v: (v is None, v))
+    parts = [topk.dense_topk(points.filter(F.col("language").eqNullSafe(F.lit(lang))), asked, k).withColumn("collection", F.lit(lang).cast("string"))
+             for lang in languages]
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)

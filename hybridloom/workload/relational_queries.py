@@ -86,9 +86,11 @@ def rollup_totals(spark: SparkSession, sf: str) -> DataFrame:
     return out.select(F.coalesce("l_returnflag", F.lit("all")).alias("flag"), F.coalesce("l_linestatus", F.lit("all")).alias("status"), "n", "quantity")
 
 
-@query("pivot_counts", """SELECT o_orderpriority, count(*) FILTER (o_orderstatus = 'F') AS "F", count(*) FILTER (o_orderstatus = 'O') AS "O", count(*) FILTER (o_orderstatus = 'P') AS "P" FROM orders GROUP BY 1""")
+@query("pivot_counts", """SELECT o_orderpriority, count(*) FILTER (o_orderstatus = 'F') AS "F", count(*) FILTER (o_orderstatus = 'O') AS "O", count(*) FILTER (o_orderstatus = 'P') AS "P",
+ count(*) FILTER (o_orderstatus IS NULL OR o_orderstatus NOT IN ('F', 'O', 'P')) AS other FROM orders GROUP BY 1""")
 def pivot_counts(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "orders").groupBy("o_orderpriority").pivot("o_orderstatus", ["F", "O", "P"]).agg(F.count("o_orderkey")).na.fill(0)
+    state = F.when(F.col("o_orderstatus").isin("F", "O", "P"), F.col("o_orderstatus")).otherwise("other")
+    return table(spark, sf, "orders").withColumn("state", state).groupBy("o_orderpriority").pivot("state", ["F", "O", "P", "other"]).agg(F.count(F.lit(1))).na.fill(0)
 
 
 @query("distinct_counts", "SELECT o_orderstatus, count(DISTINCT o_custkey) AS customers, count(DISTINCT o_orderpriority) AS priorities FROM orders GROUP BY 1")

@@ -130,7 +130,7 @@ def query_terms(spark: SparkSession, sf: str) -> DataFrame:
     return tb.table(spark, sf, "benchmark").select(F.col("item_id").alias("query_id"), F.array_join(tx.query_terms(F.col("text")), " ").alias("terms"))
 
 
-@query("fingerprints", f"SELECT doc_id, lower({_trim('substr(text, 1, 200)')}) AS fingerprint FROM documents")
+@query("fingerprints", f"SELECT doc_id, md5(lower({_trim('text')})) AS fingerprint FROM documents")
 def fingerprints(spark: SparkSession, sf: str) -> DataFrame:
     return docs(spark, sf).select("doc_id", tx.fingerprint(F.col("text")).alias("fingerprint"))
 

@@ -169,3 +169,27 @@ def test_multi_hop_never_repeats(engine):
     found = engine.multi_hop("fusion", "plain", 2, 3, lambda q, texts: texts[0])
     ids = [r["id"] for r in found.collect()]
     assert len(ids) == len(set(ids)) == 6
+
+
+def test_changed_files_replace_their_chunks_and_vectors(spark, tmp_path):
+    from hybridloom.plans.ingest import ingest
+    from hybridloom.sources.store import CollectionStore
+    store = CollectionStore(spark, str(tmp_path / "c"))
+    section = lambda file, text: (file, "T", text, 0)
+    frame = lambda rows: spark.createDataFrame(rows, "source_file string, title string, content string, section_index int")
+    ingest(store, "books", frame([section("a.epub", "The old words of a. " * 5), section("b.epub", "The words of b stay. " * 5)]))
+    ingest(store, "books", frame([section("a.epub", "Entirely new words. " * 5)]))
+    texts = {r["source_file"]: r["text"] for r in store.read("books").collect()}
+    assert "new words" in texts["a.epub"] and "of b stay" in texts["b.epub"] and store.read("books").filter("text LIKE '%old words%'").isEmpty()
+    ids = {r["id"] for r in store.read("books").collect()}
+    assert {r["id"] for r in store.read("books", "dense").collect()} == {r["id"] for r in store.read("books", "sparse").collect()} == ids
+
+
+def test_names_that_would_share_a_folder_are_refused(spark, tmp_path):
+    from hybridloom.sources.store import CollectionStore
+    store = CollectionStore(spark, str(tmp_path / "c"))
+    assert store.create("my docs") == store.create("My Docs ") == store.create("mydocs") == "mydocs"
+    store.create("plain")
+    for other in ("my/docs", "pl ain", "PLAIN!"):
+        with pytest.raises(ValueError):
+            store.create(other)

@@ -170,8 +170,7 @@ def test_bibliography_fold(spark):
 
 
 def brute_budget(tokens, seed, budget):
-    reach = max(20, (budget - tokens[seed]) // 200)
-    lo, hi, total, kept = max(0, seed - reach), seed + reach, tokens[seed], {seed}
+    lo, hi, total, kept = 0, max(tokens), tokens[seed], {seed}
     below, above = seed - 1, seed + 1
     while total < budget and (below >= lo or above <= hi):
         for at, ok in ((below, below >= lo), (above, above <= hi)):
@@ -193,6 +192,13 @@ def test_budget_expansion(spark):
     assert got == {s: brute_budget(tokens, s, 700) for s in tokens}
 
 
+def test_budget_expansion_has_no_reach(spark):
+    points = spark.range(300).selectExpr("'f' AS source_file", "CAST(id AS INT) AS chunk_index", "30L AS token_count", "'x' AS text")
+    seeds = points.filter("chunk_index IN (0, 150)").withColumn("query_id", F.col("chunk_index"))
+    counts = {r["query_id"]: r["count"] for r in context.budget_expand(seeds, points, 4000).groupBy("query_id").count().collect()}
+    assert counts == {0: 134, 150: 134}
+
+
 def test_list_books_takes_attributes_together(spark):
     rows = [(1, "f", "", "p0"), (2, "f", "T", "p1"), (3, "f", "U", "p2"), (4, "g", "", "q0"), (5, "g", "", "q1")]
     got = {r["source_file"]: (r["book_title"], r["publisher"], r["chunk_count"]) for r in catalog.list_books(

@@ -72,9 +72,9 @@ def test_model_calls_keep_going(spark):
     rows = spark.createDataFrame([("ok",), ("bad",)], "t string")
     got = {r["t"]: r["m"] for r in models.call_model(rows, ["t"], model, "m", retries=1, pause=0.0).collect()}
     assert got["ok"]["reply"] == "OK" and got["bad"]["reply"] is None and got["bad"]["error"] == "down"
-    parsed = spark.createDataFrame([('{"query": "Why?", "query_type": "conceptual"}',), ('{"query": "Why?", "query_type": "odd"}',), ("plain words",)], "r string")
+    parsed = spark.createDataFrame([('{"query": "Why?", "query_type": "numeric_fact_lookup"}',), ('{"query": "Why?", "query_type": "odd"}',), ('\n"plain words"\nmore',)], "r string")
     out = [tuple(r["q"]) for r in parsed.select(models.generated_query(F.col("r")).alias("q")).collect()]
-    assert out == [("Why?", "conceptual", "conceptual"), ("Why?", "odd", "operational"), ("plain words", "", "operational")]
+    assert out == [("Why?", "numeric_fact_lookup", "trivia"), ("Why?", "odd", "operational"), ("plain words", "unknown", "operational")]
 
 
 def test_a_repeated_batch_replaces_itself(spark, tmp_path):
@@ -84,3 +84,13 @@ def test_a_repeated_batch_replaces_itself(spark, tmp_path):
     handle(frame([2, 3]), 1)
     handle(frame([2, 3]), 1)
     assert sorted(r["id"] for r in spark.read.parquet(str(tmp_path / "t")).collect()) == [1, 2, 3]
+
+
+def test_streams_do_not_erase_each_other(spark, tmp_path):
+    """Two streams into one target, each numbering its batches from 0."""
+    target = str(tmp_path / "t")
+    for name, ids in (("a", range(0, 5)), ("b", range(3, 9))):
+        spark.createDataFrame([(i,) for i in ids], "id long").write.parquet(str(tmp_path / name))
+        stream = incremental.file_stream(spark, str(tmp_path / name), "id long")
+        incremental.run_available(stream, str(tmp_path / f"state-{name}"), incremental.append_once(target, ["id"]))
+    assert sorted(r["id"] for r in spark.read.parquet(target).collect()) == list(range(9))
