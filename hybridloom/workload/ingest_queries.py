@@ -60,11 +60,18 @@ def chunk_coverage(spark: SparkSession, sf: str) -> DataFrame:
     return out.groupBy("doc_id").agg(F.sum(F.length(F.regexp_replace("text", r"(?U)\s+", ""))).cast("long").alias("chars"))
 
 
-@query("runt_merge")
+@query("runt_merge", """WITH l AS (SELECT doc_id, list_filter(string_split(text, chr(10)), lambda s: s <> '') AS l FROM documents),
+ p AS (SELECT doc_id, unnest(l) AS t, unnest(range(len(l))) AS i FROM l),
+ g AS (SELECT *, sum(CASE WHEN i = 0 OR length(t) // 4 >= 10 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY i) AS g FROM p),
+ m AS (SELECT doc_id, g, string_agg(t, ' ' ORDER BY i) AS t FROM g GROUP BY 1, 2),
+ f AS (SELECT doc_id, length(t) // 4 < 10 AS short FROM m WHERE g = 1),
+ j AS (SELECT m.doc_id, CASE WHEN short AND g = 2 THEN 1 ELSE g END AS g2, g, t FROM m JOIN f USING (doc_id))
+SELECT doc_id, (row_number() OVER (PARTITION BY doc_id ORDER BY g2) - 1)::INT AS pos, md5(t) AS text_md5
+FROM (SELECT doc_id, g2, string_agg(t, ' ' ORDER BY g) AS t FROM j GROUP BY 1, 2)""")
 def runt_merge(spark: SparkSession, sf: str) -> DataFrame:
     """Lines of a text merged until none is shorter than ten tokens."""
     lines = docs(spark, sf).select("doc_id", F.filter(F.split("text", "\n"), lambda s: s != "").alias("l"))
-    merged = chunking.recursive_udf(ChunkSettings(chunk_size=10_000_000, min_chunk_tokens=10))(F.col("l"))
+    merged = chunking.merged_runts(F.col("l"), 10)
     return lines.select("doc_id", merged.alias("m")).select("doc_id", F.posexplode_outer("m").alias("pos", "t")).filter("pos IS NOT NULL").select("doc_id", "pos", F.md5("t").alias("text_md5"))
 
 
@@ -83,11 +90,13 @@ def paper_chunks(spark: SparkSession, sf: str) -> DataFrame:
     return chunking.paper_chunks(papers).select("id", "arxiv_id", "chunk_index", "chunk_count", "token_count", "abstract")
 
 
-@query("sparse_from_dense", "SELECT doc_id AS id, count(*) FILTER (true) > 0 AS pointed FROM documents WHERE trim(text) <> '' GROUP BY 1")
+@query("sparse_from_dense", r"""SELECT doc_id AS id, length(regexp_replace(text, '[\s\x{0b}\x{1c}-\x{1f}\x{85}\p{Z}]+', '', 'g')) AS chars
+ FROM documents WHERE regexp_replace(text, '[\s\x{0b}\x{1c}-\x{1f}\x{85}\p{Z}]+', '', 'g') <> ''""")
 def sparse_from_dense(spark: SparkSession, sf: str) -> DataFrame:
-    """Every dense chunk is pointed at by at least one of the sparse chunks made from it."""
-    made = chunking.sparse_chunks(tb.documents(spark, sf).select("id", "text", F.col("source_file").alias("section_title")))
-    return made.select(F.explode("dense_chunk_ids").alias("id")).groupBy("id").agg((F.count("*") > 0).alias("pointed"))
+    """The sparse chunks that point at a dense chunk hold all its characters, apart from white space."""
+    made = chunking.sparse_chunks(tb.documents(spark, sf).select("id", "text", F.lit("").alias("section_title")), ChunkSettings(chunk_size=256, overlap_ratio=0.0, enable_semantic=False))
+    held = made.select(F.explode("dense_chunk_ids").alias("id"), F.length(F.regexp_replace("text", r"(?U)\s+", "")).alias("n"))
+    return held.groupBy("id").agg(F.sum("n").cast("long").alias("chars"))
 
 
 @query("idempotent_append", """SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderstatus <> 'F'""")

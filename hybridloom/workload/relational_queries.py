@@ -41,9 +41,9 @@ def join_semi(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "part").join(wanted, "p_partkey", "left_semi").select("p_partkey", "p_name")
 
 
-@query("join_anti", "SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)")
+@query("join_anti", "SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'P')")
 def join_anti(spark: SparkSession, sf: str) -> DataFrame:
-    seen = table(spark, sf, "orders").select(F.col("o_custkey").alias("c_custkey"))
+    seen = table(spark, sf, "orders").filter("o_orderstatus = 'P'").select(F.col("o_custkey").alias("c_custkey"))
     return table(spark, sf, "customer").join(seen, "c_custkey", "left_anti").select("c_custkey", "c_name")
 
 

@@ -151,7 +151,8 @@ def cjk_exclusion(spark: SparkSession, sf: str) -> DataFrame:
     return docs(spark, sf).filter(~tx.has_cjk(F.col("text"))).select("doc_id")
 
 
-@query("line_loops")
+@query("line_loops", r"""WITH l AS (SELECT doc_id, list_filter(string_split_regex(text, '\r\n|\r|\n'), lambda s: regexp_replace(s, '[\s\x{0b}\x{1c}-\x{1f}\x{85}\p{Z}]+', '', 'g') <> '') AS l FROM documents)
+SELECT doc_id, len(list_filter(range(2, len(l) // 2 + 1), lambda k: l[len(l) - k + 1:len(l)] = l[len(l) - 2 * k + 1:len(l) - k])) > 0 AS looping FROM l""")
 def line_loops(spark: SparkSession, sf: str) -> DataFrame:
     """Texts whose last block of lines repeats the block before it."""
     return docs(spark, sf).select("doc_id", tx.has_line_loop(F.col("text")).alias("looping"))

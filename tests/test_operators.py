@@ -255,11 +255,12 @@ def test_zero_overlap_repeats_nothing():
     assert "".join("".join(parts).split()) == "Is." + "word" * 40
 
 
-def test_runts():
-    count = len
-    assert chunking.merge_runts(["aaaa", "b", "cccc", "d"], 3, count) == ["aaaa b", "cccc d"]
-    assert chunking.merge_runts(["a", "bbbb", "cccc"], 3, count) == ["a bbbb", "cccc"]
-    assert chunking.merge_runts(["a"], 3, count) == ["a"]
+@pytest.mark.parametrize("pieces, merged", [
+    (["aaaa", "b", "cccc", "d"], ["aaaa b", "cccc d"]), (["a", "bbbb", "cccc"], ["a bbbb", "cccc"]), (["a"], ["a"]), ([], []),
+    (["a", "b", "cccc"], ["a b", "cccc"]), (["a", "b"], ["a b"]), (["a", "bbb", "c", "d", "eee"], ["a bbb c d", "eee"])])
+def test_runts(spark, pieces, merged):
+    rows = spark.createDataFrame([(pieces,)], "p array<string>")
+    assert rows.select(chunking.merged_runts(F.col("p"), 3, F.length).alias("m")).first()["m"] == merged
 
 
 def test_paragraph_packing():

@@ -47,8 +47,8 @@ def test_query_terms_and_flags(spark):
     assert one(spark, "2603_07444", tx.document_url) == "https://arxiv.org/abs/2603.07444"
 
 
-CITED = ["See [1, 2, 3]. Next.", "Known (Smith et al., 2023; Jones, 2022). Yes.", "In Fig. 1. The curve.", "That is, i.e. This one. Next.", "plain",
-         "Eq. 4. holds, cf. Sec. 2 and Vol. 3. End.", "[1-5] and [1, 5-8] (O'Neil & Lee, 2020)"]
+CITED = ["Rivers move sand [7, 12]. Lakes do not.", "Bees dance (Olsen et al., 1998; Marek, 2004). Others watch.", "Tab. 6. lists the ships.", "Two tools, e.g. Saws and files. Both cut.", "nothing to mask",
+         "Ref. 9. says so, vs. Fig. 8 in No. 5. Done.", "[2-4, 9] with (McKay & Ode, 1987)"]
 
 
 def test_mask_restores_every_text(spark):
@@ -90,15 +90,15 @@ def test_tables(spark):
     assert one(spark, [markup, None, " "], html.tables_to_tsv, "array<string>") == ["Method\tScore\nAb\t<1", "", ""]
 
 
-PAPER = "Front\nAbstract\nabs text\nIntroduction\nintro text\n3. Methodology\nm text\nResults\n\nConclusion\nc text\nReferences\n[1] x"
-MARKDOWN = "lost\n# Introduction\nint\n## Related Work\nrel\n### Data Collection\ndat\n## Empty\n\n## 5. References\nr\n# A. Appendix\na"
+PAPER = "Tidal mills\nAbstract\nmills turn\nIntroduction\nold mills\n4. Experiments\nwe turned one\nDiscussion\n\nConclusion\nit turned\nReferences\n[1] a mill"
+MARKDOWN = "gone\n# Harvest\nwheat\n## Storage\nbarns\n### Losses\nmice\n## Nothing\n\n## 7. References\nr\n# B. Appendix\nz"
 
 
 def test_paper_and_markdown_sections(spark):
     found = one(spark, PAPER, headings.paper_sections)
-    assert [s["title"] for s in found] == ["Abstract", "Introduction", "3. Methodology", "Conclusion"]
+    assert [s["title"] for s in found] == ["Abstract", "Introduction", "4. Experiments", "Conclusion"]
     assert [s["section_index"] for s in found] == [0, 1, 2, 3]
-    assert titles(one(spark, MARKDOWN, headings.markdown_sections)) == [("Introduction", 1), ("Related Work", 2), ("Data Collection", 3)]
+    assert titles(one(spark, MARKDOWN, headings.markdown_sections)) == [("Harvest", 1), ("Storage", 2), ("Losses", 3)]
     for split in (headings.paper_sections, headings.markdown_sections):
         assert titles(one(spark, "just text", split))[0][0] == "Full Text"
     assert titles(one(spark, "# References\na\n# Bibliography\nb", headings.markdown_sections)) == [("Full Text", 1)]
