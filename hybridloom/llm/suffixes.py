@@ -15,7 +15,7 @@ from hybridloom.llm.minhash import _mixed
 
 WINDOW, LEAD = 100, 32
 SAMPLE_DOCS, HOT_COUNT = 10_000, 64
-BUCKET_BYTES, BUCKET_SPANS = 16 << 20, 60_000
+BUCKET_BYTES, BUCKET_SPANS = 16 << 20, 8_000
 _PIECE, _PLACE = (1 << 20) - 512, np.uint64((1 << 20) - 1)
 _LAST = (1 << 63) - 1
 _BASE = 0x100000001B3
@@ -64,6 +64,13 @@ def spans(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndar
     return tuple(np.concatenate(c) for c in zip(*found))
 
 
+def _member(values: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Which ``values`` are in the sorted ``known``."""
+    if not len(known):
+        return np.zeros(len(values), bool)
+    return known[np.minimum(np.searchsorted(known, values), len(known) - 1)] == values
+
+
 def _bytes(scalar: pa.Scalar) -> bytes:
     return (scalar.as_py() or "").encode("utf-8", "replace")
 
@@ -107,15 +114,22 @@ def _mark_batches(rows: Iterator[tuple[int, int, bytes]]) -> Iterator[pa.RecordB
 
 
 def _repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Marks of one bucket: of the windows of spans that share an anchor, the runs that equal an earlier one."""
-    rows = sorted((r for b in batches for r in zip(*(b.column(c).to_pylist() for c in ("d", "t", "begin", "data")))), key=lambda r: r[:3])
-    if not rows:
-        return
+    """Marks of the buckets of one partition, one bucket after the other."""
+    buckets: dict[int, list[tuple]] = {}
+    for batch in batches:
+        for k, *row in zip(*(batch.column(c).to_pylist() for c in ("bucket", "d", "t", "begin", "data"))):
+            buckets.setdefault(k, []).append(tuple(row))
+    while buckets:
+        yield from _bucket_repeats(sorted(buckets.popitem()[1], key=lambda r: r[:3]))
+
+
+def _bucket_repeats(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
+    """Of the windows of spans (d, t, begin, data) that share anchors, in order, the runs that equal an earlier one."""
     data = np.frombuffer(b"".join(r[3] for r in rows), np.uint8)
     sizes = np.array([len(r[3]) for r in rows])
     counts = sizes - WINDOW + 1
-    owner = np.repeat(np.arange(len(rows)), counts)
-    inner = np.arange(int(counts.sum())) - np.repeat(np.cumsum(counts) - counts, counts)
+    owner = np.repeat(np.arange(len(rows), dtype=np.int32), counts)
+    inner = (np.arange(int(counts.sum())) - np.repeat(np.cumsum(counts) - counts, counts)).astype(np.int32)
     group = equal_windows(data, np.repeat(np.cumsum(sizes) - sizes, counts) + inner)
     again = group >= 0
     known = np.flatnonzero(again)
@@ -187,7 +201,7 @@ def repeated_windows(docs: DataFrame) -> DataFrame:
                 parts = []
                 for d, t, text in zip(*(c.to_pylist() for c in batch.slice(at, 2000).columns[:2]), batch.column(2).slice(at, 2000)):
                     hashed, _, begin, n, whole = spans(np.frombuffer(_bytes(text), np.uint8))
-                    keep = ~np.isin(hashed, hot) if len(hot) else np.ones(len(hashed), bool)
+                    keep = ~_member(hashed, hot)
                     k = int(keep.sum())
                     parts.append(((hashed[keep] >> np.uint64(48)) % np.uint64(slots), hashed[keep] >> np.uint64(16), whole[keep], np.full(k, d), np.full(k, t), begin[keep], n[keep]))
                 slot, *columns = (np.concatenate(c) for c in zip(*parts))
@@ -264,7 +278,7 @@ def repeated_windows(docs: DataFrame) -> DataFrame:
             for d, t, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
                 data = _bytes(text)
                 hashed, _, begin, n, _ = spans(np.frombuffer(data, np.uint8))
-                for i in np.flatnonzero(np.isin(hashed, hot)).tolist():
+                for i in np.flatnonzero(_member(hashed, hot)).tolist():
                     b, key = int(begin[i]), (d, t, int(begin[i]))
                     piece = data[b:b + int(n[i]) + WINDOW - 1]
                     low, high = sorted((runs.get(piece, key), key))
