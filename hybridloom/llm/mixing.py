@@ -131,6 +131,8 @@ def mix(rows: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHAR
     started = each.withColumns({"start": F.coalesce(F.sum("n").over(before), F.lit(0)), "slot": F.coalesce(F.sum("n").over(inside), F.lit(0))})
     keyed = started.join(broadcast_if_small(sources.select("sid", "n_blocks", "keys"), 4096), "sid")
     kept = keyed.withColumn("n", F.least(F.col("n"), F.col("n_blocks") * most - F.col("start"))).where("n > 0")
+    # The rows are few but each stands for many slots: keep them from being put into one task.
+    kept = kept.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "shard", "sid")
     drawn = kept.select("shard", "sid", "slot", "start", "n_blocks", "keys", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)).alias("i"))
     at = F.col("start") + F.col("i")
     epoch = F.floor(at / F.col("n_blocks"))
