@@ -114,6 +114,24 @@ def map_verdict(won: Column, a: Column, b: Column) -> Column:
     return F.when(won == "A", a).when(won == "B", b).otherwise(F.lit("tie"))
 
 
+def knowledge_base_reply(raw: Column, k: int) -> Column:
+    """struct<content array<struct<type, text>>, total_results, source> of a knowledge base's flat JSON list of hits.
+
+    A hit's content is an object with text and type or a plain string; absent texts are empty, absent types TEXT. The first ``k``
+    hits are listed, all are counted. No list at all is an empty one.
+    """
+    hits = F.coalesce(F.from_json(raw, "array<string>"), F.array().cast("array<string>"))
+
+    def item(hit: Column) -> Column:
+        content = F.get_json_object(hit, "$.content")
+        is_object = F.substring(F.ltrim(F.coalesce(content, F.lit("{}"))), 1, 1) == "{"
+        text = F.when(is_object, F.coalesce(F.get_json_object(hit, "$.content.text"), F.lit(""))).otherwise(content)
+        kind = F.when(is_object, F.coalesce(F.get_json_object(hit, "$.content.type"), F.lit("TEXT"))).otherwise("TEXT")
+        return F.struct(kind.alias("type"), text.alias("text"))
+
+    return F.struct(F.transform(F.slice(hits, 1, k), item).alias("content"), F.size(hits).cast("long").alias("total_results"), F.lit("bedrock").alias("source"))
+
+
 def trimmed_pair(a: Column, b: Column) -> tuple[Column, Column]:
     """Both answers cut to 1.2 times the shorter one."""
     limit = (F.least(F.length(a), F.length(b)) * 1.2).cast("int")

@@ -23,6 +23,15 @@ def maxpool_sparse(windows: DataFrame, id_col: str = "id", vector: str = "sparse
             .agg(F.max("p.values").alias("weight")))
 
 
+def pool_logits(tokens: DataFrame, id_col: str = "id", logits: str = "logits") -> DataFrame:
+    """(id, term, weight): the largest log1p(relu(logit)) of every dimension over the tokens of an id, zeros left out.
+
+    One row per token goes in; the maximum is combined before the shuffle, so a long text costs a row per dimension and task.
+    """
+    each = tokens.select(id_col, F.posexplode(logits).alias("term", "logit")).filter("logit > 0")
+    return each.groupBy(id_col, "term").agg(F.max(F.log1p(F.col("logit").cast("double"))).alias("weight"))
+
+
 def maxpool_windows(df: DataFrame, id_col: str, text: str, size: int = SPARSE_WINDOW_WORDS,
                     encoder=encoders.sparse_terms) -> DataFrame:
     """Window a text, encode every window, pool per term."""

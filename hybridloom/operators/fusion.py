@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from hybridloom.config import BOOST_WEIGHTS, RRF_K, ZSCORE_EPSILON
+from hybridloom.operators import topk
 
 
 def reciprocal_rank(rank: Column, weight: Column | float = 1.0, k: int = RRF_K) -> Column:
@@ -128,6 +129,16 @@ def slot_split(total: int, sparse_fraction: float) -> tuple[int, int]:
     return total - sparse, sparse
 
 
+def halves(points: DataFrame, queries: DataFrame, k: int, idf: DataFrame | None = None) -> DataFrame:
+    """The best k // 2 (one at least) dense hits and as many sparse ones of every query, as two lists under ``signal``.
+
+    ``points`` may be a filtered part of a collection; ``idf`` is then the statistic of the whole of it.
+    """
+    half = max(1, k // 2)
+    dense, sparse = topk.dense_topk(points, queries, half), topk.sparse_topk(points, queries, half, idf=idf)
+    return dense.withColumn("signal", F.lit("dense")).unionByName(sparse.withColumn("signal", F.lit("sparse")))
+
+
 def resolve_sparse(hits: DataFrame, dense: DataFrame, query_col: str = "query_id") -> DataFrame:
     """Turn sparse hits into the dense chunks they point at.
 

@@ -62,7 +62,21 @@ def unify_fields(df: DataFrame) -> DataFrame:
 
 
 def equality_filter(df: DataFrame, filter_by: dict | None) -> DataFrame:
-    """Conjunction of equalities, applied below the ranking so that it reaches the scan."""
+    """Conjunction of conditions, applied below the ranking so that it reaches the scan.
+
+    A value is an equality, a list any of its values, and a dictionary a range with gt, gte, lt or lte. An empty list holds for no row.
+    """
+    tests = {"gt": lambda c, v: c > v, "gte": lambda c, v: c >= v, "lt": lambda c, v: c < v, "lte": lambda c, v: c <= v}
     for name, value in (filter_by or {}).items():
-        df = df.filter(F.col(name) == F.lit(value))
+        column = F.col(name)
+        if isinstance(value, dict):
+            unknown = set(value) - set(tests)
+            if unknown:
+                raise ValueError(f"filter on {name}: {sorted(unknown)} are no range bounds")
+            for bound, limit in value.items():
+                df = df.filter(tests[bound](column, F.lit(limit)))
+        elif isinstance(value, (list, tuple, set)):
+            df = df.filter(column.isin(*value) if value else F.lit(False))
+        else:
+            df = df.filter(column == F.lit(value))
     return df

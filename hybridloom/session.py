@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 # A side of at most this many rows may be broadcast; larger sides shuffle.
 BROADCAST_ROW_LIMIT = 200_000
+# ... and of at most this many bytes.
+BROADCAST_BYTE_LIMIT = 64 << 20
 # A table of at most this many bytes may be spread over the cores by a shuffle.
 SPREAD_BYTES = 1 << 30
 
@@ -31,9 +35,16 @@ def build_session(app: str = "hybridloom", master: str | None = None, **conf: st
     return builder.getOrCreate()
 
 
+def own_folder(spark: SparkSession) -> str:
+    """A temporary folder where driver and tasks share one machine; elsewhere the cluster has to name a shared one."""
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return tempfile.mkdtemp(prefix="hybridloom-")
+
+
 def work_folder(spark: SparkSession, name: str) -> str:
     """A fresh folder for written tables, inside the shared folder the cluster names."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="hybridloom-")
+    base = spark.conf.get("spark.checkpoint.dir", None) or own_folder(spark)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
@@ -42,13 +53,23 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
         named = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="hybridloom-ckpt-"))
+        context.setCheckpointDir(named or own_folder(df.sparkSession))
     return df.checkpoint(eager=True)
 
 
-def fits(df: DataFrame, rows: int = BROADCAST_ROW_LIMIT) -> bool:
-    """True when ``df`` has at most ``rows`` rows; reads no more than ``rows + 1`` of them."""
-    return df.limit(rows + 1).count() <= rows
+def row_bytes(df: DataFrame) -> Column:
+    """Size of a row: its strings as they are, nested values as JSON, eight bytes for the rest."""
+    sizes = {"string": F.octet_length, "binary": F.octet_length}
+    each = [F.coalesce(sizes[kind](F.col(f"`{c}`")), F.lit(0)) if kind in sizes
+            else F.coalesce(F.octet_length(F.to_json(F.struct(F.col(f"`{c}`")))), F.lit(0)) if kind.startswith(("array", "struct", "map")) else F.lit(8)
+            for c, kind in df.dtypes]
+    return reduce(lambda a, b: a + b, each, F.lit(0)).cast("long")
+
+
+def fits(df: DataFrame, rows: int = BROADCAST_ROW_LIMIT, size: int = BROADCAST_BYTE_LIMIT) -> bool:
+    """True when ``df`` has at most ``rows`` rows and ``size`` bytes; reads no more than ``rows + 1`` of them."""
+    found = df.limit(rows + 1).agg(F.count("*").alias("n"), F.coalesce(F.sum(row_bytes(df)), F.lit(0)).alias("b")).first()
+    return found["n"] <= rows and found["b"] <= size
 
 
 def checked_broadcast(df: DataFrame, rows: int = BROADCAST_ROW_LIMIT) -> DataFrame:

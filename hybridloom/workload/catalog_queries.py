@@ -88,6 +88,14 @@ def scroll_filtered(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select("id", "language", "source_file", "n_chars")
 
 
+@query("scroll_any_and_range", "SELECT doc_id AS id, lang AS language, source AS source_file, n_chars FROM documents WHERE source IN ('src3', 'src5') AND n_chars >= 500 AND n_chars < 5000")
+def scroll_any_and_range(spark: SparkSession, sf: str) -> DataFrame:
+    """Any of several sources and a range of lengths."""
+    from hybridloom.schema import equality_filter
+    rows = equality_filter(tb.documents(spark, sf), {"source_file": ["src3", "src5"], "n_chars": {"gte": 500, "lt": 5000}})
+    return rows.select("id", "language", "source_file", "n_chars")
+
+
 @query("collection_stats", """SELECT lang AS collection, count(*) AS points, sum(n_chars // 4)::BIGINT AS tokens FROM documents GROUP BY 1""")
 def collection_stats(spark: SparkSession, sf: str) -> DataFrame:
     return tb.documents(spark, sf).groupBy(F.col("language").alias("collection")).agg(

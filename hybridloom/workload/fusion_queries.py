@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from hybridloom.config import DEFAULT_DENSE_WEIGHT, DEFAULT_SPARSE_WEIGHT
 from hybridloom.operators import fusion, topk
+from hybridloom.schema import equality_filter
 from hybridloom.session import broadcast_within, checked_broadcast
 from hybridloom.workload import tables as tb
 from hybridloom.workload.registry import query
@@ -187,6 +188,18 @@ def union_dedupe_priority(spark: SparkSession, sf: str) -> DataFrame:
     return both.select("query_id", "id", "side", F.col("rn").cast("long").alias("rn"))
 
 
+@query("filtered_halves", f"""WITH {tb.sql_dense()}, {tb.sql_sparse()}, f AS (SELECT doc_id AS id FROM documents WHERE source IN ('src1', 'src2', 'src4')),
+ df_ AS (SELECT * FROM dense_scores SEMI JOIN f USING (id)), sf_ AS (SELECT * FROM sparse_scores SEMI JOIN f USING (id)), {tb.sql_ranked('df_', 'dh', 3)}, {tb.sql_ranked('sf_', 'sh', 3)}
+SELECT query_id, id, rn, round(score, 6) AS score, 'dense' AS signal FROM dh UNION ALL SELECT query_id, id, rn, round(score, 6), 'sparse' FROM sh""")
+def filtered_halves(spark: SparkSession, sf: str) -> DataFrame:
+    """Six hits among three files: half of them dense, half sparse, with the term statistics of the whole collection."""
+    points = tb.encoded_documents(spark, sf, "dense", "sparse")
+    asked = tb.prompts(spark, sf)
+    chosen = equality_filter(points, {"source_file": ["src1", "src2", "src4"]})
+    hits = fusion.halves(chosen, asked, 6, topk.inverse_document_frequency(points))
+    return hits.select("query_id", "id", F.col("rn").cast("long").alias("rn"), F.round("score", 6).alias("score"), "signal")
+
+
 @query("exclusion_search", f"""WITH {sql_signals(10)}, first AS (SELECT query_id, id FROM d WHERE rn <= 3),
  second AS (SELECT query_id, id, score, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS rn FROM dense_scores x
    WHERE NOT EXISTS (FROM first f WHERE f.query_id = x.query_id AND f.id = x.id))

@@ -358,6 +358,19 @@ def converter_responses(spark: SparkSession, sf: str) -> DataFrame:
     return docs(spark, sf).select("doc_id", F.md5(replies.markdown_of(shaped)).alias("text_md5"))
 
 
+@query("knowledge_base_replies", """SELECT conv_id, count(*) AS total_results, md5(string_agg(text, '|' ORDER BY turn) FILTER (turn < 3)) AS texts_md5,
+ string_agg(CASE WHEN turn % 2 = 1 THEN 'TEXT' ELSE upper(role) END, ',' ORDER BY turn) FILTER (turn < 3) AS types FROM conversations GROUP BY 1""")
+def knowledge_base_replies(spark: SparkSession, sf: str) -> DataFrame:
+    """Flat hit lists of a knowledge base in the common shape; turns play hits, every second one has a plain string as content."""
+    turn = F.when(F.col("turn") % 2 == 1, F.to_json(F.struct(F.col("text").alias("content"), F.lit(0.5).alias("score")))).otherwise(
+        F.to_json(F.struct(F.struct("text", F.upper("role").alias("type")).alias("content"), F.lit(0.5).alias("score"))))
+    listed = F.transform(F.array_sort(F.collect_list(F.struct("turn", turn.alias("j")))), lambda x: x["j"])
+    raw = tb.table(spark, sf, "conversations").groupBy("conv_id").agg(F.concat(F.lit("["), F.array_join(listed, ","), F.lit("]")).alias("raw"))
+    got = raw.select("conv_id", replies.knowledge_base_reply(F.col("raw"), 3).alias("r"))
+    return got.select("conv_id", "r.total_results", F.md5(F.array_join(F.transform("r.content", lambda c: c["text"]), "|")).alias("texts_md5"),
+                      F.array_join(F.transform("r.content", lambda c: c["type"]), ",").alias("types"))
+
+
 @query("json_properties", """SELECT event_type, count(*) AS n, sum((props ->> '$.k')::BIGINT)::BIGINT AS k_total FROM events GROUP BY 1""")
 def json_properties(spark: SparkSession, sf: str) -> DataFrame:
     parsed = spread(tb.table(spark, sf, "events")).select("event_type", F.from_json("props", "k long").alias("p"))

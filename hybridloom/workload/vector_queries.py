@@ -21,6 +21,14 @@ def dense_topk_batch(spark: SparkSession, sf: str) -> DataFrame:
     return shown(topk.dense_topk(tb.encoded_documents(spark, sf, "dense"), tb.prompts(spark, sf), 10))
 
 
+@query("pooled_logits", """SELECT label AS id, (pos - 1)::INT AS term, round(max(ln(1 + v)), 9) AS weight FROM
+  (SELECT label, unnest(embedding)::DOUBLE AS v, generate_subscripts(embedding, 1) AS pos FROM embeddings) WHERE v > 0 GROUP BY 1, 2""")
+def pooled_logits(spark: SparkSession, sf: str) -> DataFrame:
+    """Sparse pooling over token rows; vectors play the logits of tokens, labels the texts."""
+    rows = tb.table(spark, sf, "embeddings").select(F.col("label").alias("id"), F.col("embedding").alias("logits"))
+    return autoencoder.pool_logits(rows).withColumn("weight", F.round("weight", 9))
+
+
 @query("dense_topk_filtered", f"""WITH {tb.sql_dense(where="lang = 'fr'")}, {tb.sql_ranked('dense_scores', 'r', 10)}
 SELECT {HIT_COLUMNS} FROM r""")
 def dense_topk_filtered(spark: SparkSession, sf: str) -> DataFrame:

@@ -4,18 +4,17 @@ import pytest
 
 import __spark_entry__ as entry_point
 from compare_queries import compare, connect
+from hybridloom.workload import registry
 
 QUERIES, SQL = entry_point.queries(), entry_point.oracle_sql()
-# One query of every family; compare_queries.py runs them all.
-SAMPLE = ["rrf_hybrid_topk", "sparse_idf_topk", "full_outer_minmax", "list_sources_page", "sentence_split", "html_sections", "layout_sections",
-          "context_expansion", "bibliography", "critique_metrics", "boundary_detect", "latest_wins_upsert", "join_range", "events_session", "incremental_ingest"]
+OWN_SQL = sorted(registry.load()[1])
 
 
 def test_names_match():
     assert set(SQL) <= set(QUERIES) and len(QUERIES) > 100
 
 
-@pytest.mark.parametrize("name", SAMPLE)
+@pytest.mark.parametrize("name", OWN_SQL)
 def test_query_equals_sql(spark, sf, name):
     assert compare(QUERIES[name](spark, sf), connect(sf), SQL[name]).startswith("ok")
 
