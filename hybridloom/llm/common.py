@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from hybridloom.session import own_folder
+
 # Words of the contracts: runs of anything but blanks and the controls 9 to 13.
 WORD = r"[^\x20\x09-\x0D]+"
 # A frame of at most this many bytes (rows times a documented row width) may be broadcast.
@@ -51,11 +52,7 @@ def free_name(df: DataFrame, base: str) -> str:
 
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A fresh folder under ``spark.checkpoint.dir``; an own one only where that is unset, as in tests."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-        base = tempfile.mkdtemp(prefix="hybridloom-llm-")
+    base = spark.conf.get("spark.checkpoint.dir", None) or own_folder(spark)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 

@@ -191,9 +191,6 @@ def repeated_windows(docs: DataFrame) -> DataFrame:
     sample = docs.join(F.broadcast(chosen), (F.col("d") == F.col("d0")) & (F.col("t") == F.col("t0"))).select("text").mapInArrow(sampled, "hash long, lead binary")
     counted = written(sample.groupBy("hash").agg(F.count(F.lit(1)).alias("n"), F.min("lead").alias("lead")), "sampled-anchors")
     hot = np.sort(np.array([r["hash"] for r in counted.where(F.col("n") >= HOT_COUNT).select("hash").collect()], np.int64).view(np.uint64))
-    leads = counted.where(F.col("n") < HOT_COUNT).select("lead").orderBy(F.xxhash64("lead")).limit(20_000).collect()
-    leads = np.sort(np.array([r["lead"] for r in leads], f"S{LEAD}"))
-
     def cold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Runs of some documents by slot, one row for a slot: the columns of _FIELDS, one after the other."""
         for batch in batches:
@@ -248,6 +245,8 @@ def repeated_windows(docs: DataFrame) -> DataFrame:
     equal = found.where(F.octet_length("marks") > 0).select("d", "t", "marks")
     rivals = found.where(F.octet_length("rivals") > 0)
     buckets = max(1, -(-(rivals.agg(F.coalesce(F.sum(F.octet_length("rivals")), F.lit(0))).first()[0] // 8) // BUCKET_SPANS))
+    leads = counted.where(F.col("n") < HOT_COUNT).select("lead").orderBy(F.xxhash64("lead")).limit(max(20_000, 16 * buckets)).collect()
+    leads = np.sort(np.array([r["lead"] for r in leads], f"S{LEAD}"))
     splitters = leads[np.linspace(0, len(leads), buckets + 1)[1:-1].astype(int)] if len(leads) else leads
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
