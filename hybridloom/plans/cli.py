@@ -5,7 +5,7 @@ from __future__ import annotations
 import argparse
 import json
 
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from hybridloom.config import SearchSettings
 from hybridloom.plans import ingest as ing
@@ -61,16 +61,39 @@ def run(args: argparse.Namespace, spark=None):
             papers = papers.join(meta, "arxiv_id", "left").withColumns({"book_title": F.lit(""), "category": given("category"), "subcategory": given("subcategory"),
                                                                         "publish_date": given("publish_date")}).drop("meta")
         return ing.ingest_papers(store, args.collection, papers)
-    found = books.read_epubs(files.list_files(spark, args.folder, ["epub"]))
-    sections = books.book_sections(sidecar.override(found, sidecar.read_sidecars(spark, args.folder)) if _has_sidecars(spark, args.folder) else found)
-    rows = sections.withColumn("source_file", F.col("name")).withColumn("doc_type", F.lit("book")).withColumnRenamed("publication_date", "publish_date")
+    rows, unreadable = library_sections(spark, args.folder)
     dense = {} if args.command != "ingest-sparse" else {"dense": None}
     sparse = {} if args.command != "ingest-dense" else {"sparse": None}
-    return ing.ingest(store, args.collection, rows, **dense, **sparse)
+    return {**ing.ingest(store, args.collection, rows, **dense, **sparse), "unreadable_files": unreadable.count()}
+
+
+def library_sections(spark, folder: str) -> tuple[DataFrame, DataFrame]:
+    """Sections of the EPUB and PDF files of a folder, by extension, and the files that no loader could read (name, error).
+
+    A PDF is taken from its layout document where the folder has one, else from its own text.
+    """
+    listed = files.list_files(spark, folder, ["epub", "pdf"])
+    found = books.read_epubs(listed.filter("ext = 'epub'"))
+    sections = books.book_sections(sidecar.override(found, sidecar.read_sidecars(spark, folder)) if _matches(spark, folder, "*.metadata.json") else found)
+    rows = sections.withColumn("source_file", F.col("name")).withColumn("doc_type", F.lit("book")).withColumnRenamed("publication_date", "publish_date")
+    pdfs = listed.filter("ext = 'pdf'")
+    if not _matches(spark, folder, "*.[pP][dD][fF]"):
+        return rows, found.filter("error IS NOT NULL").select("name", "error")
+    read = books.read_pdfs(pdfs)
+    plain = books.text_sections(read.filter("error IS NULL").select(F.col("name").alias("source_file"), "text"))
+    unreadable = read.filter("error IS NOT NULL").select("name", "error")
+    if _matches(spark, folder, f"*{layouts.LAYOUT_FILE}") or _matches(spark, folder, f"*/{layouts.LAYOUT_FILE}"):
+        named = pdfs.select(F.col("name").alias("source_file"), layouts.dotted(F.regexp_replace("name", r"(?i)\.pdf$", "")).alias("arxiv_id"))
+        laid = layouts.sections(layouts.discover(spark, folder)).join(named, "arxiv_id").drop("arxiv_id")
+        done = laid.select("source_file").distinct()
+        plain = laid.unionByName(plain.join(done, "source_file", "left_anti"), allowMissingColumns=True)
+        unreadable = unreadable.join(done.withColumnRenamed("source_file", "name"), "name", "left_anti")
+    papers = plain.withColumn("doc_type", F.lit("paper"))
+    return rows.unionByName(papers, allowMissingColumns=True), found.filter("error IS NOT NULL").select("name", "error").unionByName(unreadable)
 
 
-def _has_sidecars(spark, folder: str) -> bool:
-    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{folder.rstrip('/')}/*.metadata.json")
+def _matches(spark, folder: str, glob: str) -> bool:
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{folder.rstrip('/')}/{glob}")
     found = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern)
     return found is not None and len(found) > 0
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from hybridloom.functions import layout
-from hybridloom.sources.files import whole_texts
+from hybridloom.session import checked_broadcast
 
 # Fixed value: file name of a layout document.
 LAYOUT_FILE = "content_list_v2.json"
@@ -17,13 +17,15 @@ def dotted(arxiv_id):
 
 def discover(spark: SparkSession, base: str, suffix: str = LAYOUT_FILE) -> DataFrame:
     """arxiv_id, path, value: ``<id>/…/content_list_v2.json`` wins over ``<id>_content_list_v2.json``."""
-    found = whole_texts_recursive(spark, base, f"*{suffix}")
+    # Paths are chosen before any document is read.
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", f"*{suffix}").load(base).select("path")
     relative = F.element_at(F.split("path", base.rstrip("/").rsplit("/", 1)[-1] + "/"), -1)
     flat = ~relative.contains("/")
     name = F.when(flat, F.regexp_replace(relative, f"_?{suffix}$", "")).otherwise(F.substring_index(relative, "/", 1))
-    listed = found.select(dotted(name).alias("arxiv_id"), "path", "value", flat.cast("int").alias("rank"))
-    best = listed.groupBy("arxiv_id").agg(F.min_by(F.struct("path", "value"), F.struct("rank", "path")).alias("f"))
-    return best.select("arxiv_id", "f.path", "f.value")
+    listed = found.select(dotted(name).alias("arxiv_id"), F.struct(flat.cast("int").alias("rank"), "path").alias("choice"))
+    best = listed.groupBy("arxiv_id").agg(F.min("choice").alias("c")).select("arxiv_id", F.regexp_replace("c.path", "^file:/+", "/").alias("_plain"))
+    texts = whole_texts_recursive(spark, base, f"*{suffix}").withColumn("_plain", F.regexp_replace("path", "^file:/+", "/"))
+    return texts.join(checked_broadcast(best), "_plain").select("arxiv_id", "path", "value")
 
 
 def whole_texts_recursive(spark: SparkSession, base: str, pattern: str) -> DataFrame:

@@ -193,3 +193,18 @@ def test_names_that_would_share_a_folder_are_refused(spark, tmp_path):
     for other in ("my/docs", "pl ain", "PLAIN!"):
         with pytest.raises(ValueError):
             store.create(other)
+
+
+def test_ingest_takes_books_and_papers_by_extension(spark, tmp_path):
+    folder = tmp_path / "mixed"
+    folder.mkdir()
+    (folder / "2401.00001.pdf").write_bytes(b"no pdf at all")
+    (folder / "2401.00002.pdf").write_bytes(b"scanned pages")
+    (folder / "notes.txt").write_text("ignored")
+    block = {"type": "paragraph", "content": {"paragraph_content": [{"type": "text", "content": "Tides move the mill wheel twice a day. " * 6}]}}
+    title = {"type": "title", "content": {"title_content": [{"type": "text", "content": "Tides"}], "level": 1}}
+    (folder / "2401.00002_content_list_v2.json").write_text(json.dumps([[title, block]]))
+    report = cli.run(cli.parser().parse_args(["--root", str(tmp_path / "c"), "ingest", "mixed", str(folder)]), spark)
+    from hybridloom.sources.store import CollectionStore
+    rows = CollectionStore(spark, str(tmp_path / "c")).read("mixed").collect()
+    assert report["unreadable_files"] == 1 and {r["source_file"] for r in rows} == {"2401.00002.pdf"} and "mill wheel" in rows[0]["text"]
