@@ -15,7 +15,7 @@ from hybridloom.llm.minhash import _mixed
 
 WINDOW, LEAD = 100, 32
 SAMPLE_DOCS, HOT_COUNT = 10_000, 64
-BUCKET_BYTES, BUCKET_SPANS = 16 << 20, 8_000
+BUCKET_BYTES, BUCKET_SPANS, MOST_RIVALS = 16 << 20, 8_000, 30_000
 _PIECE, _PLACE = (1 << 20) - 512, np.uint64((1 << 20) - 1)
 _LAST = (1 << 63) - 1
 _BASE = 0x100000001B3
@@ -170,8 +170,9 @@ def repeated_windows(docs: DataFrame) -> DataFrame:
     1. Runs are dealt out by the hash of their anchor, without their bytes. Of equal runs all but the first are marked; an anchor
        with one distinct run ends there. 2. The distinct runs of the other anchors are range-partitioned, with their bytes, by the
        leading bytes of the anchor; a bucket holds all that could equal what it holds, so nothing is left to compare across
-       its boundaries. It sorts their windows. 3. Anchors that many documents hold go another way, without a bucket: a task marks
-       its own equal runs, then runs and then windows are grouped for the earliest, which Spark combines before the shuffle.
+       its boundaries. It sorts their windows. 3. Of the runs at anchors that many documents hold a task
+       marks its own equal ones, and the others are grouped for the earliest, which Spark combines before the shuffle. The distinct
+       runs of such an anchor get a bucket of their own up to MOST_RIVALS; above that their windows are grouped for the earliest too.
     """
     size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     slots = max(1, -(-size // BUCKET_BYTES))
@@ -271,22 +272,22 @@ def repeated_windows(docs: DataFrame) -> DataFrame:
 
     def warm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Distinct runs at hot anchors, with their earliest place in this task; the task's other equal runs as marks."""
-        runs: dict[bytes, tuple[int, int, int]] = {}
+        runs: dict[bytes, tuple[int, int, int, int]] = {}
         later: list[tuple[int, int, int, int]] = []
         for batch in batches:
             for d, t, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
                 data = _bytes(text)
-                hashed, _, begin, n, _ = spans(np.frombuffer(data, np.uint8))
+                hashed, at, begin, n, _ = spans(np.frombuffer(data, np.uint8))
                 for i in np.flatnonzero(_member(hashed, hot)).tolist():
-                    b, key = int(begin[i]), (d, t, int(begin[i]))
+                    b, key = int(begin[i]), (d, t, int(begin[i]), int(at[i] - begin[i]))
                     piece = data[b:b + int(n[i]) + WINDOW - 1]
-                    low, high = sorted((runs.get(piece, key), key))
+                    low, high = sorted((runs.get(piece, key), key), key=lambda k: k[:3])
                     runs[piece] = low
-                    if high != low:
-                        later.append((*high, int(n[i])))
+                    if high[:3] != low[:3]:
+                        later.append((*high[:3], int(n[i])))
         made = np.array(later, np.int64).reshape(-1, 4)
-        yield from _batches(((*k, p, b"") for p, k in runs.items()), "d t begin DATA MARKS")
-        yield from _batches(((d, t, 0, b"", m) for d, t, m in _packed(made[:, 0], made[:, 1], made[:, 2:])), "d t begin DATA MARKS")
+        yield from _batches(((d, t, b, p[a:a + LEAD], p, b"") for p, (d, t, b, a) in runs.items()), "d t begin LEAD DATA MARKS")
+        yield from _batches(((d, t, 0, b"", b"", m) for d, t, m in _packed(made[:, 0], made[:, 1], made[:, 2:])), "d t begin LEAD DATA MARKS")
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows() -> Iterator[tuple]:
@@ -306,12 +307,16 @@ def repeated_windows(docs: DataFrame) -> DataFrame:
 
     earliest = F.min(F.struct("d", "t", "begin")).alias("e")
     is_first = (F.col("d") == F.col("e.d")) & (F.col("t") == F.col("e.t")) & (F.col("begin") == F.col("e.begin"))
-    warmed = written(docs.select("d", "t", "text").mapInArrow(warm, "d long, t long, begin long, data binary, marks binary"), "hot-runs")
-    runs = warmed.where(F.octet_length("data") > 0).select("d", "t", "begin", "data")
-    firsts = written(runs.groupBy("data").agg(earliest), "hot-firsts")
-    whole = packed(runs.join(firsts, "data").where(~is_first), F.octet_length("data") - (WINDOW - 1))
-    single = written(firsts.select("e.d", "e.t", "e.begin", "data").mapInArrow(windows, "d long, t long, begin long, key binary"), "hot-windows")
-    some = packed(single.join(single.groupBy("key").agg(earliest), "key").where(~is_first), F.lit(1))
+    warmed = written(docs.select("d", "t", "text").mapInArrow(warm, "d long, t long, begin long, lead binary, data binary, marks binary"), "hot-runs")
+    runs = warmed.where(F.octet_length("data") > 0).select("d", "t", "begin", "lead", "data")
+    firsts = written(runs.groupBy("data").agg(earliest, F.min("lead").alias("lead")), "hot-firsts")
+    whole = packed(runs.drop("lead").join(firsts.drop("lead"), "data").where(~is_first), F.octet_length("data") - (WINDOW - 1))
+    # One row for each hot anchor, of which the sample has a bounded number.
+    crowded = F.broadcast(firsts.groupBy("lead").agg((F.count(F.lit(1)) > MOST_RIVALS).alias("crowded")))
+    rivals_ = firsts.join(crowded, "lead").select("lead", "e.d", "e.t", "e.begin", "data", "crowded")
+    near = rivals_.where("NOT crowded").select(F.xxhash64("lead").alias("bucket"), "d", "t", "begin", "data").repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "bucket")
+    single = written(rivals_.where("crowded").select("d", "t", "begin", "data").mapInArrow(windows, "d long, t long, begin long, key binary"), "hot-windows")
+    some = packed(single.join(single.groupBy("key").agg(earliest), "key").where(~is_first), F.lit(1)).unionByName(near.mapInArrow(_repeats, _MARKS))
     return marks.unionByName(warmed.where(F.octet_length("marks") > 0).select("d", "t", "marks")).unionByName(whole).unionByName(some)
 
 

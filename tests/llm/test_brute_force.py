@@ -52,9 +52,10 @@ def _repeats(rows: list[tuple[int | None, str | None]]) -> dict:
     return out
 
 
-@pytest.mark.parametrize("hot", [64, 2])
-def test_repeated_bytes(spark, odd, monkeypatch, hot):
+@pytest.mark.parametrize("hot, rivals", [(64, 30_000), (2, 30_000), (2, 1)])
+def test_repeated_bytes(spark, odd, monkeypatch, hot, rivals):
     monkeypatch.setattr(suffixes, "HOT_COUNT", hot)
+    monkeypatch.setattr(suffixes, "MOST_RIVALS", rivals)
     monkeypatch.setattr(suffixes, "BUCKET_SPANS", 20)
     monkeypatch.setattr(suffixes, "BUCKET_BYTES", 4000)
     want = _repeats([(r[0], r[1]) for r in _odd_rows()])
