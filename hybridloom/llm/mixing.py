@@ -154,7 +154,7 @@ def mixed_documents(docs: DataFrame, text: str = "text", **options) -> DataFrame
     # Rows are told apart by id, source, size and a number among those that agree in all three.
     same = Window.partitionBy("doc_id", "source", "size")
     left = lists.join(mixture.rows.withColumn("__k", F.row_number().over(same.orderBy("row"))), ["sid", "row", "size"]).select(
-        F.col("doc_id").alias("__d"), F.col("source").alias("__s"), F.col("size").alias("__z"), "__k", "epoch", "__parts", "__n")
+        F.col("doc_id").alias("__d"), F.col("source").alias("__s"), F.col("size").alias("__z"), "__k", "__parts", "__n")
     right = docs.withColumn("__size", word_count(F.col(text))).withColumn(
         "__number", F.row_number().over(Window.partitionBy("doc_id", "source", "__size").orderBy(text)))
     joined = right.join(left, F.col("doc_id").eqNullSafe(F.col("__d")) & F.col("source").eqNullSafe(F.col("__s"))

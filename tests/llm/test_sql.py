@@ -91,7 +91,7 @@ def test_mix_holds_caps_and_targets(spark):
 
 
 def test_mixed_documents_hold_the_taken_words(spark):
-    docs = spark.sql("SELECT id AS doc_id, IF(id % 9 = 0, NULL, array_join(transform(sequence(0, 20 + cast(id * 7 % 150 AS INT)), i -> concat(id, '_', i)), '  ')) AS text, concat('s', id % 4) AS source, 0L AS n_chars FROM range(80)")
+    docs = spark.sql("SELECT id AS doc_id, IF(id % 9 = 0, NULL, array_join(transform(sequence(0, 20 + cast(id * 7 % 150 AS INT)), i -> concat(id, '_', i)), '  ')) AS text, concat('s', id % 4) AS source, 0L AS n_chars, id AS epoch, id AS sid, id AS block, id AS words FROM range(80)")
     docs = docs.unionByName(docs.where("doc_id < 8"))
     mixture = mixing.mix(docs.select("doc_id", "source", mixing.word_count(F.col("text")).alias("size")))
     want = {r["doc_id"]: r["t"] for r in mixture.rows.join(mixture.taken(), ["sid", "row"]).groupBy("doc_id").agg(F.sum("taken").alias("t")).collect()}
