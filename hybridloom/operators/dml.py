@@ -18,9 +18,11 @@ def new_rows(incoming: DataFrame, existing: DataFrame, keys: list[str]) -> DataF
 
 
 def latest_wins(rows: DataFrame, keys: list[str], version: str) -> DataFrame:
-    """The row with the highest version of every key. Combined on the map side, so copies of one key do not pile up."""
+    """The row with the highest version of every key, of equal versions the greatest row in column order. Combined on the map
+    side, so copies of one key do not pile up."""
     others = [c for c in rows.columns if c not in keys]
-    best = rows.groupBy(*keys).agg(F.max_by(F.struct(*others), F.col(version)).alias("_row"))
+    ties = [c for c, kind in rows.dtypes if c in others and c != version and not kind.startswith(("map", "variant"))]
+    best = rows.groupBy(*keys).agg(F.max_by(F.struct(*others), F.struct(version, *ties)).alias("_row"))
     return best.select(*keys, *[F.col("_row")[c].alias(c) for c in others])
 
 
