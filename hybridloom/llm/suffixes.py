@@ -175,7 +175,8 @@ def repeated_windows(docs: DataFrame) -> DataFrame:
        runs of such an anchor get a bucket of their own up to MOST_RIVALS; above that their windows are grouped for the earliest too.
     """
     size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    slots = max(1, -(-size // BUCKET_BYTES))
+    dealt = max(1, -(-size // BUCKET_BYTES))
+    slots = 16 * dealt  # several for each partition, so that partitions come out alike
 
     def sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows() -> Iterator[tuple]:
@@ -242,7 +243,7 @@ def repeated_windows(docs: DataFrame) -> DataFrame:
         yield from _batches(((*k, *v) for k, v in kept.items()), "d t MARKS RIVALS")
 
     parts = docs.select("d", "t", "text").mapInArrow(cold, "slot int, n int, runs binary")
-    found = written(parts.repartition(slots, "slot").mapInArrow(settled, _MARKS + ", rivals binary"), "settled-runs")
+    found = written(parts.repartition(dealt, "slot").mapInArrow(settled, _MARKS + ", rivals binary"), "settled-runs")
     equal = found.where(F.octet_length("marks") > 0).select("d", "t", "marks")
     rivals = found.where(F.octet_length("rivals") > 0)
     buckets = max(1, -(-(rivals.agg(F.coalesce(F.sum(F.octet_length("rivals")), F.lit(0))).first()[0] // 8) // BUCKET_SPANS))
