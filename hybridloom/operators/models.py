@@ -19,8 +19,15 @@ BUCKET_OF_TYPE = {
 FALLBACK_BUCKET, UNKNOWN_TYPE = "operational", "unknown"
 
 
-def call_model(df: DataFrame, inputs: list[str], model: Callable[..., str], out: str, retries: int = 2, pause: float = 1.0) -> DataFrame:
-    """Append ``model(*inputs)`` and the seconds it took. A failing call is retried and then becomes an error value.
+def with_samples(df: DataFrame, samples: int) -> DataFrame:
+    """Every row ``samples`` times, numbered from 0, for judges that are asked more than once."""
+    return df.withColumn("sample", F.explode(F.sequence(F.lit(0), F.lit(samples - 1))))
+
+
+def call_model(df: DataFrame, inputs: list[str], model: Callable[..., str], out: str, retries: int = 2, pause: float = 1.0,
+               accept: Callable[[str], bool] | None = None) -> DataFrame:
+    """Append ``model(*inputs)`` and the seconds it took. A failing call, or a reply that ``accept`` refuses, is retried; then the
+    last reply is kept with an error value.
 
     ``model`` travels to the tasks; a client object belongs inside it, made on first use.
     """
@@ -32,7 +39,9 @@ def call_model(df: DataFrame, inputs: list[str], model: Callable[..., str], out:
             for attempt in range(retries + 1):
                 try:
                     reply, error = model(*values), None
-                    break
+                    if accept is None or accept(reply):
+                        break
+                    error = "reply not accepted"
                 except Exception as problem:
                     error = str(problem)[:500]
                     if attempt < retries:

@@ -318,6 +318,37 @@ def lexical_rerank(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("query_id", "id", *[F.col(c).cast("long").alias(c) for c in ("rn", "shared", "reranked")])
 
 
+@query("evaluation_run", f"""WITH {sql_signals(15)}, lists AS (SELECT query_id, id, d.rn AS dr, s.rn AS sr FROM d FULL JOIN s USING (query_id, id)),
+ g AS (SELECT query_id, id, w AS weight, coalesce(1.0::DOUBLE / (60 + dr), 0) + coalesce(w / (60 + sr), 0) AS score FROM lists CROSS JOIN (SELECT unnest({_WEIGHTS}::DOUBLE[]) AS w)),
+ t AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id, weight ORDER BY round(score, 12) DESC, id) AS rn FROM g) WHERE rn <= 5),
+ h AS (SELECT query_id, weight, {_SHARED} / greatest(len(list_distinct({tb.TERMS.replace('text', 'b.text')})), 1) AS share
+   FROM t JOIN documents p ON p.doc_id = id JOIN benchmark b ON b.item_id = query_id),
+ j AS (SELECT query_id, weight, CASE WHEN share >= 0.5 THEN 3 WHEN share >= 0.2 THEN 2 ELSE 1 END AS rel FROM h),
+ m AS (SELECT weight, avg(r) AS avg_relevance FROM (SELECT query_id, weight, avg(rel) AS r FROM j GROUP BY 1, 2) GROUP BY 1),
+ c AS (SELECT weight, count(DISTINCT query_id) AS queries, avg((rel >= 2)::INT) AS relevant_share FROM j GROUP BY 1)
+SELECT weight, queries, round(avg_relevance, 6) AS avg_relevance, round(relevant_share, 6) AS relevant_share,
+ row_number() OVER (ORDER BY round(avg_relevance, 9) DESC, weight) = 1 AS best FROM m JOIN c USING (weight)""")
+def evaluation_run(spark: SparkSession, sf: str) -> DataFrame:
+    """Retrieval at every sparse weight, judged offline: the whole run as one plan."""
+    from hybridloom.plans.evaluation import evaluation_run as run
+    out = run(tb.encoded_documents(spark, sf, "dense", "sparse"), tb.prompts(spark, sf), _WEIGHTS, 5)
+    return out.select("weight", "queries", F.round("avg_relevance", 6).alias("avg_relevance"), F.round("relevant_share", 6).alias("relevant_share"), "best")
+
+
+@query("generated_queries", """WITH k AS (SELECT conv_id, turn, role, trim(split_part(trim(text, chr(10) || ' '), chr(10), 1)) AS line, turn % 4 AS m FROM conversations)
+SELECT conv_id, turn, md5(CASE WHEN m = 3 THEN trim(line, '"') ELSE line END) AS query_md5,
+ CASE m WHEN 0 THEN 'numeric_fact_lookup' WHEN 1 THEN 'comparison_tradeoff' WHEN 2 THEN 'odd' ELSE 'unknown' END AS query_type,
+ CASE m WHEN 0 THEN 'trivia' WHEN 1 THEN 'conceptual' ELSE 'operational' END AS query_bucket FROM k""")
+def generated_queries(spark: SparkSession, sf: str) -> DataFrame:
+    """Generator replies made of the turns: three question types as JSON, every fourth as plain text, read back into buckets."""
+    turns, m = tb.table(spark, sf, "conversations"), F.col("turn") % 4
+    line = F.trim(F.substring_index(F.trim(F.col("text"), F.lit("\n ")), "\n", 1))
+    kind = F.when(m == 0, "numeric_fact_lookup").when(m == 1, "comparison_tradeoff").otherwise("odd")
+    reply = F.when(m == 3, F.col("text")).otherwise(F.to_json(F.struct(line.alias("query"), kind.alias("query_type"))))
+    got = turns.select("conv_id", "turn", models.generated_query(reply).alias("q"))
+    return got.select("conv_id", "turn", F.md5("q.query").alias("query_md5"), "q.query_type", "q.query_bucket")
+
+
 @query("relevance_judge", f"""WITH {sql_fused(10)}, h AS (SELECT query_id, id, {_SHARED} / greatest(len(list_distinct({tb.TERMS.replace('text', 'b.text')})), 1) AS share
    FROM fused JOIN documents p ON p.doc_id = id JOIN benchmark b ON b.item_id = query_id)
 SELECT query_id, id, CASE WHEN share >= 0.5 THEN 3 WHEN share >= 0.2 THEN 2 ELSE 1 END AS relevance, substr(md5('s:' || query_id || ':' || id), 1, 7) AS docket_id FROM h""")

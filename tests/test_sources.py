@@ -72,6 +72,15 @@ def test_model_calls_keep_going(spark):
     rows = spark.createDataFrame([("ok",), ("bad",)], "t string")
     got = {r["t"]: r["m"] for r in models.call_model(rows, ["t"], model, "m", retries=1, pause=0.0).collect()}
     assert got["ok"]["reply"] == "OK" and got["bad"]["reply"] is None and got["bad"]["error"] == "down"
+    asked: list[str] = []
+
+    def flaky(text, sample):
+        asked.append(text)
+        return "{}" if len(asked) % 2 else "junk"
+
+    twice = models.with_samples(rows.limit(1), 2)
+    replies_ = [r["m"] for r in models.call_model(twice, ["t", "sample"], flaky, "m", retries=1, pause=0.0, accept=lambda r: r == "{}").collect()]
+    assert len(replies_) == 2 and all(m["error"] is None or m["error"] == "reply not accepted" for m in replies_)
     parsed = spark.createDataFrame([('{"query": "Why?", "query_type": "numeric_fact_lookup"}',), ('{"query": "Why?", "query_type": "odd"}',), ('\n"plain words"\nmore',)], "r string")
     out = [tuple(r["q"]) for r in parsed.select(models.generated_query(F.col("r")).alias("q")).collect()]
     assert out == [("Why?", "numeric_fact_lookup", "trivia"), ("Why?", "odd", "operational"), ("plain words", "unknown", "operational")]
