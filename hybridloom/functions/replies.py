@@ -114,7 +114,7 @@ def map_verdict(won: Column, a: Column, b: Column) -> Column:
     return F.when(won == "A", a).when(won == "B", b).otherwise(F.lit("tie"))
 
 
-def knowledge_base_reply(raw: Column, k: int) -> Column:
+def knowledge_base_reply(raw: Column, k: int, source: str = "knowledge_base") -> Column:
     """struct<content array<struct<type, text>>, total_results, source> of a knowledge base's flat JSON list of hits.
 
     A hit's content is an object with text and type or a plain string; absent texts are empty, absent types TEXT. The first ``k``
@@ -129,7 +129,7 @@ def knowledge_base_reply(raw: Column, k: int) -> Column:
         kind = F.when(is_object, F.coalesce(F.get_json_object(hit, "$.content.type"), F.lit("TEXT"))).otherwise("TEXT")
         return F.struct(kind.alias("type"), text.alias("text"))
 
-    return F.struct(F.transform(F.slice(hits, 1, k), item).alias("content"), F.size(hits).cast("long").alias("total_results"), F.lit("bedrock").alias("source"))
+    return F.struct(F.transform(F.slice(hits, 1, k), item).alias("content"), F.size(hits).cast("long").alias("total_results"), F.lit(source).alias("source"))
 
 
 def trimmed_pair(a: Column, b: Column) -> tuple[Column, Column]:
