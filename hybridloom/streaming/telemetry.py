@@ -25,19 +25,19 @@ def sessions(events: DataFrame, gap: str, key: str = "user_id") -> DataFrame:
             .select(key, F.col("w.start").alias("session_start"), F.col("w.end").alias("session_end"), "n"))
 
 
-def gaps(events: DataFrame, key: str, time: str, tie: str) -> DataFrame:
+def gaps(events: DataFrame, key: str, time: str, tie: str, part_seconds: int = 600) -> DataFrame:
     """Seconds since the previous event of the key, without sorting a whole busy key in one task.
 
-    Events are ranked inside (key, day); the first of a day continues from the last event of the
-    key's previous day, found in a summary of one row per key and day.
+    Events are ranked inside (key, part of ``part_seconds``); the first of a part continues from the last event of the key's
+    previous part, found in a summary of one row per key and part that is combined before the shuffle.
     """
     stamp = F.unix_micros(F.col(time).cast("timestamp"))
-    rows = events.withColumns({"_us": stamp, "_day": F.col(time).cast("date")})
-    days = rows.groupBy(key, "_day").agg(F.max("_us").alias("_last"))
-    before = days.withColumn("_before", F.lag("_last").over(Window.partitionBy(key).orderBy("_day"))).select(key, "_day", "_before")
-    inside = F.lag("_us").over(Window.partitionBy(key, "_day").orderBy("_us", tie))
-    joined = rows.withColumn("_previous", inside).join(before, [key, "_day"])
-    return joined.withColumn("gap", (F.col("_us") - F.coalesce("_previous", "_before")) / 1e6).drop("_us", "_day", "_previous", "_before")
+    rows = events.withColumn("_us", stamp).withColumn("_part", F.floor(F.col("_us") / (part_seconds * 1_000_000)))
+    parts = rows.groupBy(key, "_part").agg(F.max("_us").alias("_last"))
+    before = parts.withColumn("_before", F.lag("_last").over(Window.partitionBy(key).orderBy("_part"))).select(key, "_part", "_before")
+    inside = F.lag("_us").over(Window.partitionBy(key, "_part").orderBy("_us", tie))
+    joined = rows.withColumn("_previous", inside).join(before, [key, "_part"])
+    return joined.withColumn("gap", (F.col("_us") - F.coalesce("_previous", "_before")) / 1e6).drop("_us", "_part", "_previous", "_before")
 
 
 def deduplicated(events: DataFrame, keys: list[str]) -> DataFrame:
