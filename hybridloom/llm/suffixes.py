@@ -176,7 +176,7 @@ def repeated_windows(docs: DataFrame) -> DataFrame:
     """
     size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     dealt = max(1, -(-size // BUCKET_BYTES))
-    slots = 16 * dealt  # several for each partition, so that partitions come out alike
+    slots = 4 * dealt  # several for each partition, so that partitions come out alike
 
     def sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows() -> Iterator[tuple]:
