@@ -69,10 +69,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMI
 
     A window has as many words as the item and starts anywhere (the last ones are cut by the end of the text). Its similarity
     is the sum of the smaller over the sum of the larger counts of five-word shingles; ``similarity`` or more is a hit, the most
-    similar window and then the first is reported. Such a window shares at least 2s / (1 + s) of its shingles with items of its
-    size, so windows below that are not fingerprinted. The others are looked up by SimHash: fingerprints within RADIUS
-    bits of an item's agree with it, up to FLIPS bits, in one of the blocks, and all values a block can so have are in the index.
-    Candidates are verified on their whole shingle multisets.
+    similar window and then the first is reported. A window of m shingles that is so similar to an item of n shares at least
+    s (n + m) / (1 + s) shingles with items of its size, so windows below that are not fingerprinted. The others are looked up by SimHash:
+    fingerprints within RADIUS bits of an item's agree with it, up to FLIPS bits, in one of the blocks, and all values a block can
+    so have are in the index. Candidates are verified on their whole shingle multisets.
 
     Null texts, empty texts and items under five words have no shingles and match nothing. Rows that agree in doc_id and text
     are reported once; text_key is a hash of the text. Items with equal texts are all reported. Only ids and word positions are shuffled.
@@ -83,14 +83,20 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMI
     hashed = lambda words: _shingled(words, lambda w: F.xxhash64(w))
     known = items.select("n_words", F.explode(hashed(F.col("words"))).alias("shingle")).distinct()
     keyed = docs.select("doc_id", "text", F.xxhash64("text").alias("text_key"))
-    shingles = keyed.select("doc_id", "text_key", F.posexplode(hashed(bench_words(F.col("text")))).alias("pos", "shingle"))
+    whole = keyed.withColumn("all", hashed(bench_words(F.col("text")))).withColumn("total", F.size("all"))
+    shingles = whole.select("doc_id", "text_key", "total", F.posexplode("all").alias("pos", "shingle"))
     # A word position is kept with each item size it can count for; positions of a document meet in one row, which its text bounds.
-    hits = shingles.join(broadcast_if_small(known, 32), "shingle").groupBy("doc_id", "text_key", "n_words").agg(F.sort_array(F.collect_set("pos")).alias("at"))
+    hits = shingles.join(broadcast_if_small(known, 32), "shingle").groupBy("doc_id", "text_key", "n_words").agg(F.sort_array(F.collect_set("pos")).alias("at"), F.max("total").alias("total"))
     n, need = F.col("n_words") - (SHINGLE - 1), F.ceil((F.col("n_words") - (SHINGLE - 1)) * share - 1e-9).cast("int")
     # From hit j on, need hits end at hit j + need - 1; get() is null past the last one.
     runs = F.filter(F.transform("at", lambda p, j: F.struct((F.get(F.col("at"), j + need - 1) - n + 1).alias("lo"), p.alias("hi"))),
                     lambda r: r["lo"].isNotNull() & (r["lo"] <= r["hi"]))
-    starts = F.array_distinct(F.flatten(F.transform(runs, lambda r: F.sequence(F.greatest(r["lo"], F.lit(0)), r["hi"]))))
+    full = F.flatten(F.transform(runs, lambda r: F.sequence(F.greatest(r["lo"], F.lit(0)), r["hi"])))
+    # Windows that the end of the text cuts have total - start shingles, at least ``least``; where the end holds fewer hits than that, none is tried.
+    least, before = F.ceil(n * similarity - 1e-9).cast("int"), F.greatest(F.col("total") - n + 1, F.lit(0))
+    ends = F.when(F.get(F.col("at"), F.size("at") - least) >= before, F.filter(F.sequence(before, F.col("total") - least), lambda s: F.size(
+        F.filter("at", lambda p: p >= s)) >= F.ceil((n + F.col("total") - s) * (share / 2) - 1e-9)))
+    starts = F.array_distinct(F.concat(full, F.coalesce(ends, F.array().cast("array<int>"))))
     places = F.flatten(F.collect_list(F.transform(starts, lambda s: F.struct(F.col("n_words"), s.alias("first_word")))))
     windows = written(hits.groupBy("doc_id", "text_key").agg(places.alias("places")).where(F.size("places") > 0), "bench-windows")
     near = windows.withColumnRenamed("doc_id", "__doc")

@@ -160,6 +160,38 @@ def test_decontamination_finds_edited_passages_and_leaves_others(spark):
     assert decontamination.decontaminate(frame.limit(0), bench).count() == 0 and decontamination.decontaminate(frame, bench.limit(0)).count() == len(docs)
 
 
+def _best_windows(text: str, item: str) -> tuple[float, int] | None:
+    """(similarity, first word) of the best window as decontamination.contaminated promises it, over all starts."""
+    words, wanted = ([w.lower() for w in re.findall(r"[^\W_]+", t)] for t in (text, item))
+    count = lambda w: Counter(tuple(w[k:k + 5]) for k in range(len(w) - 4))
+    b, best = count(wanted), (0.0, 0)
+    for s in range(max(1, len(words) - 4)):
+        a = count(words[s:s + len(wanted)])
+        best = max(best, ((a & b).total() / max(1, (a | b).total()), -s))
+    return (best[0], -best[1]) if best[0] >= 0.75 else None
+
+
+def _compare_windows(spark, docs: dict[int, str], items: dict[int, str]) -> dict:
+    frame = spark.createDataFrame([(d, t) for d, t in docs.items()], "doc_id long, text string")
+    bench = spark.createDataFrame([(i, t) for i, t in items.items()], "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]): (r["similarity"], r["first_word"]) for r in decontamination.contaminated(frame, bench).collect()}
+    want = {(d, i): b for d, t in docs.items() for i, x in items.items() if (b := _best_windows(t, x))}
+    return {"missed": want.keys() - got.keys(), "more": got.keys() - want.keys(), "other": [k for k in want.keys() & got.keys() if got[k][1] != want[k][1] or abs(got[k][0] - want[k][0]) > 1e-9], "want": want}
+
+
+def test_decontamination_of_passages_that_the_text_cuts(spark):
+    items = {i: " ".join(f"w{i}_{k}" for k in range(n)) for i, n in enumerate((5, 6, 11, 24, 54, 104))}
+    docs = {}
+    for i, item in items.items():
+        words = item.split()
+        for j, share in enumerate((0.7, 0.75, 0.8, 0.85, 0.9)):
+            part = " ".join(words[: 4 + round(share * (len(words) - 4))])
+            docs |= {100 * i + 2 * j: part, 100 * i + 2 * j + 1: "some words come before it here " + part}
+    found = _compare_windows(spark, docs, items)
+    assert not found["missed"] and not found["more"] and not found["other"]
+    assert {(504, 5), (505, 5), (404, 4), (405, 4)} <= set(found["want"])
+
+
 def test_toxicity_on_held_out_rows(spark):
     found = toxicity.op4_toxicity_scores(spark, "/root/testdata/sf0.1").where("held_out").join(spark.read.parquet("/root/testdata/sf0.1/labels.parquet"), "doc_id").toPandas()
     flagged = found[found.predicted == 1]
