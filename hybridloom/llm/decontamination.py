@@ -1,4 +1,4 @@
-"""Benchmark decontamination: SimHash of item-sized windows, Hamming blocks, exact verification."""
+"""Benchmark decontamination: SimHash of item-sized windows, Hamming blocks, rare shingles for windows further off, exact verification."""
 
 from __future__ import annotations
 
@@ -13,6 +13,8 @@ SHINGLE, SIMILARITY = 5, 0.75
 # 64 bits in five blocks: at a distance of at most 14 one block differs in at most two bits.
 BLOCKS, FLIPS = (13, 13, 13, 13, 12), 2
 RADIUS = len(BLOCKS) * (FLIPS + 1) - 1
+# The number under which shingles stand beside the blocks.
+RARE = len(BLOCKS)
 
 
 def bench_words(text: Column) -> Column:
@@ -64,6 +66,24 @@ def hamming_index(items: DataFrame) -> DataFrame:
     return items.select("n_words", "item_id", F.col("fingerprint").alias("item_print"), F.explode(F.concat(*rows)).alias("e")).select("n_words", "item_id", "item_print", "e.block", "e.value")
 
 
+def _marks(shingles: Column) -> Column:
+    return F.transform(shingles, lambda x: F.xxhash64(x))
+
+
+def rare_shingles(items: DataFrame, similarity: float) -> DataFrame:
+    """(item_id, n_words, fingerprint, shingles, rare): with hashes of so many counted shingles of an item, those that the fewest items
+    of its size have, that every window of ``similarity`` or more has one of them.
+
+    Such a window has at least s n of an item's n shingles, so it can't miss n - ceil(s n) + 1 of them.
+    """
+    marked = items.select("item_id", "n_words", "fingerprint", "shingles", F.explode(_marks(F.col("shingles"))).alias("mark"))
+    counts = marked.groupBy("n_words", "mark").agg(F.count(F.lit(1)).alias("c"))
+    ranked = marked.join(counts, ["n_words", "mark"]).groupBy("item_id", "n_words", "fingerprint", "shingles").agg(F.sort_array(F.collect_set(F.struct("c", "mark"))).alias("by"))
+    n = F.size("shingles")
+    rare = F.transform(F.slice("by", F.lit(1), n - F.ceil(n * similarity - 1e-9).cast("int") + 1), lambda r: r["mark"])
+    return ranked.select("item_id", "n_words", "fingerprint", "shingles", rare.alias("rare"))
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """(doc_id, text_key, item_id, similarity, first_word, n_words): the best window of a document for every benchmark item it holds.
 
@@ -72,7 +92,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMI
     similar window and then the first is reported. A window of m shingles that is so similar to an item of n shares at least
     s (n + m) / (1 + s) shingles with items of its size, so windows below that are not fingerprinted. The others are looked up by SimHash:
     fingerprints within RADIUS bits of an item's agree with it, up to FLIPS bits, in one of the blocks, and all values a block can
-    so have are in the index. Candidates are verified on their whole shingle multisets.
+    so have are in the index. Windows may be that similar and further off; these meet the item at one of its rare shingles.
+    Candidates are verified on their whole shingle multisets.
 
     Null texts, empty texts and items under five words have no shingles and match nothing. Rows that agree in doc_id and text
     are reported once; text_key is a hash of the text. Items with equal texts are all reported. Only ids and word positions are shuffled.
@@ -105,13 +126,19 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMI
     cut = found.select("doc_id", "text_key", F.explode(F.transform("places", lambda p: F.struct(
         p["n_words"].alias("n_words"), p["first_word"].alias("first_word"), F.slice("words", p["first_word"] + 1, p["n_words"]).alias("window")))).alias("w"))
     marked = cut.select("doc_id", "text_key", "w.*").withColumn("print", simhash(F.col("window")))
-    probes = marked.withColumn("probe", F.explode(F.array(*[F.struct(F.lit(k).alias("block"), _block(F.col("print"), k).alias("value")) for k in range(len(BLOCKS))])))
-    index = hamming_index(items)
+    blocks = F.array(*[F.struct(F.lit(k).alias("block"), _block(F.col("print"), k).alias("value")) for k in range(len(BLOCKS))])
+    probes = marked.withColumn("marks", _marks(counted_shingles(F.col("window")))).withColumn("probe", F.explode(F.concat(
+        blocks, F.transform("marks", lambda m: F.struct(F.lit(RARE).alias("block"), m.alias("value"))))))
+    rare = written(rare_shingles(items, similarity), "bench-rare")
+    index = hamming_index(items).unionByName(rare.select("n_words", "item_id", F.col("fingerprint").alias("item_print"), F.lit(RARE).alias("block"), F.explode("rare").alias("value")))
     joined = probes.select("*", "probe.*").join(broadcast_if_small(index, 64), ["n_words", "block", "value"])
     apart = F.col("print").bitwiseXOR(F.col("item_print"))
     first = F.coalesce(*[F.when(F.bit_count(_block(apart, k)) <= FLIPS, F.lit(k)) for k in range(len(BLOCKS))])
-    pairs = joined.where((F.bit_count(apart) <= RADIUS) & (F.col("block") == first))
-    verified = pairs.join(broadcast_if_small(items.select("item_id", "shingles"), 8192), "item_id").withColumn("mine", counted_shingles(F.col("window")))
+    near = F.bit_count(apart) <= RADIUS
+    pairs = joined.where(F.when(near, F.col("block") == first).otherwise(F.col("block") == RARE))
+    paired = pairs.join(broadcast_if_small(rare.select("item_id", "shingles", "rare"), 8192), "item_id")
+    once = (F.col("block") < RARE) | (F.get(F.array_intersect("marks", "rare"), F.lit(0)) == F.col("value"))  # a pair may share several rare shingles
+    verified = paired.where(once).withColumn("mine", counted_shingles(F.col("window")))
     both = F.size(F.array_intersect("mine", "shingles"))
     scored = verified.withColumn("similarity", let(both, lambda b: b / (F.size("mine") + F.size("shingles") - b)))
     best = scored.groupBy("doc_id", "text_key", "item_id").agg(F.max(F.struct("similarity", -F.col("first_word"), "n_words")).alias("b")).where(F.col("b.similarity") >= similarity)

@@ -192,6 +192,20 @@ def test_decontamination_of_passages_that_the_text_cuts(spark):
     assert {(504, 5), (505, 5), (404, 4), (405, 4)} <= set(found["want"])
 
 
+def test_decontamination_of_windows_that_simhash_puts_far_off(spark):
+    rng = random.Random(12)
+    vocabulary = ["".join(rng.choices("abcdefgh", k=5)) for _ in range(3000)]
+    items = {i: " ".join(rng.choices(vocabulary, k=n)) for i, n in enumerate([11, 32, 74, 300] * 15)}
+    items |= {100: "all " * 40, 101: " ".join(items[2].split()[:40] + items[6].split()[40:74])}
+    docs = {}
+    for i, item in items.items():
+        words = item.split()
+        kept = 4 + -(-6 * (len(words) - 4) // 7)
+        docs[i] = " ".join(["before", "it", *words[:kept], *rng.choices(vocabulary, k=len(words) - kept), "and", "after"])
+    found = _compare_windows(spark, docs, items)
+    assert not found["missed"] and not found["more"] and not found["other"] and len(found["want"]) >= len(items)
+
+
 def test_toxicity_on_held_out_rows(spark):
     found = toxicity.op4_toxicity_scores(spark, "/root/testdata/sf0.1").where("held_out").join(spark.read.parquet("/root/testdata/sf0.1/labels.parquet"), "doc_id").toPandas()
     flagged = found[found.predicted == 1]
