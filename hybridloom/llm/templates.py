@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from hybridloom.llm.common import broadcast_if_small, free_name, table
+from hybridloom.llm.common import broadcast_if_small, free_name, table, written
 from hybridloom.llm.urls import host_and_path
 
 LEAST_PAGES, LEAST_SHARE = 3, 0.1
@@ -139,7 +139,10 @@ def _removable(node: Node) -> bool:
 
 def main_text(html: str | None, template: frozenset[int] | set[int]) -> str:
     """Text of the page without template and noise; where articles or main elements are left, of these alone."""
-    nodes, events = parse(html)
+    return _text(*parse(html), template)
+
+
+def _text(nodes: list[Node], events: list[tuple[int, str | None]], template: frozenset[int] | set[int]) -> str:
     gone = [False] * len(nodes)
     for i, node in enumerate(nodes):
         gone[i] = (node.parent >= 0 and gone[node.parent]) or node.noise or (node.mark in template and _removable(node))
@@ -149,24 +152,28 @@ def main_text(html: str | None, template: frozenset[int] | set[int]) -> str:
 
 
 def _marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(host, mark, page): the subtrees of each page, and null for the page itself; page is a hash of its text without noise."""
     for batch in batches:
-        hosts, marks = [], []
-        for host, page in zip(batch.column(0).to_pylist(), batch.column(1)):
-            found = {n.mark for n in parse(page.as_py())[0] if _removable(n)}
-            hosts += [host] * len(found)
-            marks += found
-        yield pa.record_batch([pa.array(hosts, pa.string()), pa.array(marks, pa.int64())], names=["host", "mark"])
+        rows: set[tuple] = set()
+        for host, html in zip(batch.column(0).to_pylist(), batch.column(1)):
+            nodes, events = parse(html.as_py())
+            page = int.from_bytes(hashlib.blake2b(_text(nodes, events, frozenset()).encode("utf-8", "replace"), digest_size=8).digest(), "big", signed=True)
+            rows.update((host, mark, page) for mark in {None, *(n.mark for n in nodes if _removable(n))})
+        hosts, marks, pages = zip(*rows) if rows else ((), (), ())
+        yield pa.record_batch([pa.array(hosts, pa.string()), pa.array(marks, pa.int64()), pa.array(pages, pa.int64())], names=["host", "mark", "page"])
 
 
 def host_templates(pages: DataFrame, least_pages: int = LEAST_PAGES, least_share: float = LEAST_SHARE) -> DataFrame:
-    """(host, marks): hashes of the subtrees that at least ``least_pages`` and ``least_share`` of a host's pages hold.
+    """(host, marks): hashes of the subtrees that at least ``least_pages`` and ``least_share`` of a host's different pages hold.
 
-    ``pages`` has host and html. A page counts once for a subtree. Both counts are combined before the shuffle, so a host with a
-    third of all pages sends a row for each subtree and task. At most 1 / least_share subtrees per subtree of a page can recur so often.
+    ``pages`` has host and html. Pages of a host with equal texts (without noise; where there are articles or main elements, of these
+    alone) are copies of one page, which counts once for a subtree however often it is there. Copies are combined before the
+    shuffle, and the rows of a host are spread over its pages. At most 1 / least_share subtrees per subtree of a page can recur so often.
     """
-    totals = pages.groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
-    counts = pages.select("host", "html").mapInArrow(_marks, "host string, mark long").groupBy("host", "mark").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least_pages)
-    frequent = counts.join(broadcast_if_small(totals, 128), "host").where(F.col("n") >= least_share * F.col("pages"))
+    held = pages.select("host", "html").mapInArrow(_marks, "host string, mark long, page long").distinct()
+    counts = written(held.groupBy("host", "mark").agg(F.count(F.lit(1)).alias("n")).where(F.col("mark").isNull() | (F.col("n") >= least_pages)), "page-subtrees")
+    totals = counts.where("mark IS NULL").select("host", F.col("n").alias("pages"))
+    frequent = counts.where("mark IS NOT NULL").join(broadcast_if_small(totals, 128), "host").where(F.col("n") >= least_share * F.col("pages"))
     return frequent.groupBy("host").agg(F.collect_list("mark").alias("marks"))
 
 
@@ -174,7 +181,7 @@ def extract_text(pages: DataFrame, url: str = "url", html: str = "html", **optio
     """``pages`` with text, the main text of the whole ``html``.
 
     Null and empty pages give an empty text. Pages without a host belong to no site and lose no template, nor do those of hosts
-    with fewer than ``least_pages`` pages; menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and comments are also
+    with fewer than ``least_pages`` different pages; menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and comments are also
     told by element, role, class and id, so these pages are cleaned too. Repeated pages give a row each. A column named text is replaced.
     """
     kept = [c for c in pages.columns if c.lower() != "text"]

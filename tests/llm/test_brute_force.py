@@ -249,6 +249,19 @@ def test_templates_of_a_host_go(spark):
     assert templates.extract_text(pages.limit(0)).count() == 0
 
 
+def test_copies_of_a_page_are_no_template(spark):
+    plain = "<html><body><div class=top>Welcome here</div><div><p>{}</p><ul><li>own list</ul></div></body></html>"
+    inside = "<html><body><article><p>{0}</p><section><p>Section of {0}</p></section></article><div class=links>More {1}</div></body></html>"
+    rows = [(i, f"http://a.example/{i}", plain.format("The one page")) for i in range(5)]
+    rows += [(10 + i, f"http://b.example/{i}", inside.format("The article", i)) for i in range(4)]
+    rows += [(20, "http://c.example/", plain.format("Row"))] * 4
+    rows += [(100 + i, f"http://d.example/{i}", plain.format("Hot page" if i < 12 else f"Page {i}").replace("own list", f"list {max(i, 11)}")) for i in range(40)]
+    got = {r["page_id"]: r["text"] for r in templates.extract_text(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)).collect()}
+    assert all(got[i] == "Welcome here The one page own list" for i in range(5))
+    assert all(got[10 + i] == "The article Section of The article" for i in range(4)) and got[20] == "Welcome here Row own list"
+    assert all(got[100 + i] == ("Hot page list 11" if i < 12 else f"Page {i} list {i}") for i in range(40))
+
+
 def test_nearest_vectors(spark):
     rng = np.random.default_rng(5)
     hot = rng.normal(size=9).round(2).tolist()
