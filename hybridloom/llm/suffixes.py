@@ -338,8 +338,15 @@ def cut_repeats(docs: DataFrame, text: str = "text") -> DataFrame:
     ids = written(known.where(F.octet_length(text) >= WINDOW).select(F.col(sha).alias("sha"), F.col(d).alias("d"), F.col(t).alias("t"), F.octet_length(text).alias("n")), "repeat-ids")
     groups = ids.groupBy("sha").agg(F.min("d").alias("first"), F.max("d").alias("last")).where("first < last")
     copies = written(ids.join(groups, "sha").where("d > first").select("d", "t", (F.col("n") - (WINDOW - 1)).cast("long").alias("windows")).distinct(), "copies")
-    searched = known.where(F.octet_length(text) >= WINDOW).select(F.col(d).alias("d"), F.col(t).alias("t"), F.col(text).alias("text")).join(
-        broadcast_if_small(copies.select("d", "t"), 48), ["d", "t"], "left_anti")
+    plain_docs = known.where(F.octet_length(text) >= WINDOW).select(F.col(d).alias("d"), F.col(t).alias("t"), F.col(text).alias("text"), F.col(sha).alias("sha"))
+    searched = plain_docs.join(broadcast_if_small(copies.select("d", "t"), 48), ["d", "t"], "left_anti")
+    again = written(ids.groupBy("sha", "d", "t").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").select("d", "t").distinct().join(
+        copies.select("d", "t"), ["d", "t"], "left_anti"), "repeated-rows")
+    if not again.isEmpty():  # repeated rows are searched once; only their texts are shuffled
+        again = broadcast_if_small(again, 48)
+        once = written(searched.join(again, ["d", "t"], "left_semi").dropDuplicates(["d", "t", "sha"]), "repeated-once")
+        searched = searched.join(again, ["d", "t"], "left_anti").unionByName(once)
+    searched = searched.drop("sha")
     gone = repeated_windows(searched).withColumn("windows", F.lit(None).cast("long")).unionByName(copies.withColumn("marks", F.lit(None).cast("binary")))
     found = written(gone.groupBy(F.col("d").alias("__on_d"), F.col("t").alias("__on_t")).agg(
         F.collect_list("marks").alias("__marks"), F.max("windows").alias("__windows")), "repeat-marks")

@@ -66,6 +66,23 @@ def test_repeated_bytes(spark, odd, monkeypatch, hot, rivals):
         assert (r["n_bytes"], r["n_removed"], bytes(r["kept"])) == want[key]
 
 
+@pytest.mark.parametrize("hot", [64, 2])
+def test_repeated_rows_with_near_copies(spark, monkeypatch, hot):
+    """Repeated originals, with and without an id, that edited copies elsewhere give anchors of several runs."""
+    monkeypatch.setattr(suffixes, "HOT_COUNT", hot)
+    rows = []
+    for i, text in enumerate(t for t in _texts(11, 30, 150) if len(t) > 400):
+        near = text[:len(text) // 2] + "#" + text[len(text) // 2 + 1:]
+        d = None if i % 3 == 0 else i
+        rows += [(d, text)] * 3 + [(1000 + i, near)] * (1 + i % 2)
+    want = _repeats(rows)
+    got = suffixes.cut_repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        key = ((2 ** 63 - 1) if r["doc_id"] is None else r["doc_id"], int(hashlib.sha256(r["text"].encode()).hexdigest()[:8], 16))
+        assert (r["n_bytes"], r["n_removed"], bytes(r["kept"])) == want[key]
+
+
 def test_repeated_bytes_over_pieces(monkeypatch):
     data = np.frombuffer(" ".join(_texts(5, 40, 100)).encode(), np.uint8)
     whole = suffixes.spans(data)
