@@ -64,6 +64,12 @@ def spans(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndar
     return tuple(np.concatenate(c) for c in zip(*found))
 
 
+def _dealt(hashed: np.ndarray, slots: int) -> tuple[np.ndarray, np.ndarray]:
+    """Slot and 32-bit key of anchors. An anchor is the least of many hashes, so its leading bits crowd near zero; it is hashed once more."""
+    again = _mixed(hashed ^ np.uint64(_BASE))
+    return (again >> np.uint64(32)) % np.uint64(slots), again & np.uint64(0xFFFFFFFF)
+
+
 def _member(values: np.ndarray, known: np.ndarray) -> np.ndarray:
     """Which ``values`` are in the sorted ``known``."""
     if not len(known):
@@ -202,10 +208,10 @@ def repeated_windows(docs: DataFrame) -> DataFrame:
                     hashed, _, begin, n, whole = spans(np.frombuffer(_bytes(text), np.uint8))
                     keep = ~_member(hashed, hot)
                     k = int(keep.sum())
-                    parts.append(((hashed[keep] >> np.uint64(48)) % np.uint64(slots), hashed[keep] >> np.uint64(16), whole[keep], np.full(k, d), np.full(k, t), begin[keep], n[keep]))
+                    parts.append((*_dealt(hashed[keep], slots), whole[keep], np.full(k, d), np.full(k, t), begin[keep], n[keep]))
                 slot, *columns = (np.concatenate(c) for c in zip(*parts))
                 if len(slot):
-                    columns = [(c & np.uint64(0xFFFFFFFF) if name == "hash" else c).astype(kind) for c, (name, kind) in zip(columns, _FIELDS)]
+                    columns = [c.astype(kind) for c, (_, kind) in zip(columns, _FIELDS)]
                     order = np.argsort(slot, kind="stable")
                     cuts = np.split(order, np.flatnonzero(np.diff(slot[order])) + 1)
                     yield pa.record_batch([pa.array([int(slot[c[0]]) for c in cuts], pa.int32()), pa.array([len(c) for c in cuts], pa.int32()),

@@ -92,6 +92,13 @@ def test_repeated_bytes_over_pieces(monkeypatch):
     assert np.array_equal(np.repeat(whole[1], whole[3]), np.repeat(pieces[1], pieces[3]))
 
 
+def test_slots_of_runs_are_even():
+    hashed = suffixes.spans(np.random.default_rng(7).integers(0, 256, 4 << 20).astype(np.uint8))[0]
+    slot, key = suffixes._dealt(hashed, 20_000)
+    assert len(hashed) > 100_000 and np.bincount(slot.astype(np.int64)).max() < 8 * len(hashed) / 20_000
+    assert len(np.unique(slot << np.uint64(32) | key)) == len(np.unique(hashed))
+
+
 def test_repeated_bytes_of_the_table(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()
     want = {d: (n, gone, hashlib.sha256(kept).hexdigest()) for (d, _), (n, gone, kept) in _repeats([(r[0], r[1]) for r in docs]).items()}
