@@ -131,3 +131,10 @@ def test_rival_pairs_cover_odd_tables(spark):
     rows = {r["conv_id"]: r for r in preferences.rival_pairs(turns).collect()}
     assert set(rows) == {0, 1, 2} and len(rows[0]["chosen"]) == 2 and len(rows[0]["rejected"]) == 1 and rows[1]["chosen"] == rows[1]["rejected"]
     assert preferences.rival_pairs(turns.limit(0)).count() == 0
+
+
+def test_keyword_hit_rate_in_blocks_of_terms(spark, sf, monkeypatch):
+    from hybridloom.workload import evaluation_queries
+    whole = sorted(map(tuple, evaluation_queries.keyword_hit_rate(spark, sf).collect()))
+    monkeypatch.setattr(evaluation_queries, "TERMS_BYTES", 300)
+    assert sorted(map(tuple, evaluation_queries.keyword_hit_rate(spark, sf).collect())) == whole != []
