@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from hybridloom.session import own_folder
@@ -50,6 +52,21 @@ def free_name(df: DataFrame, base: str) -> str:
     return name
 
 
+def by_bytes(batches: Iterator[pa.RecordBatch], place: int, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """Batches cut so that the values of column ``place`` hold about ``limit`` bytes each; a longer value comes alone."""
+    for batch in batches:
+        column = batch.column(place)
+        width = 1 if pa.types.is_string(column.type) or pa.types.is_binary(column.type) else 4
+        ends = np.frombuffer(column.buffers()[1], np.int32)[column.offset + 1:column.offset + len(column) + 1] if len(column) else np.zeros(0, np.int32)
+        first = np.frombuffer(column.buffers()[1], np.int32)[column.offset] if len(column) else 0
+        start = 0
+        while start < batch.num_rows:
+            stop = max(start + 1, int(np.searchsorted(ends, first + limit // width, "right")))
+            yield batch.slice(start, stop - start)
+            first = ends[stop - 1]
+            start = stop
+
+
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A fresh folder under ``spark.checkpoint.dir``; an own one only where that is unset, as in tests."""
     base = spark.conf.get("spark.checkpoint.dir", None) or own_folder(spark)
