@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from hybridloom.llm import bpe, decontamination, minhash, mixing, neighbours, preferences, sharding, suffixes, templates, toxicity, urls
+from hybridloom.llm import bpe, decontamination, minhash, mixing, neighbours, periodic, preferences, sharding, suffixes, templates, toxicity, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_jump_shards": sharding.op1_jump_shards,
@@ -21,6 +21,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_nearest_vectors": neighbours.op9_nearest_vectors,
     "op10_preference_pairs": preferences.op10_preference_pairs,
     "op11_bpe_round_trip": bpe.op11_bpe_round_trip,
+    "op12_periodic_runs": periodic.op12_periodic_runs,
     "pipeline": corpus_pipeline.run,
 }
 SQL: dict[str, str] = {
