@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from hybridloom.llm import bpe, decontamination, minhash, mixing, neighbours, periodic, preferences, sharding, suffixes, templates, toxicity, urls
+from hybridloom.llm import bpe, decontamination, minhash, mixing, neighbours, periodic, preferences, sharding, spelling, suffixes, templates, toxicity, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_jump_shards": sharding.op1_jump_shards,
@@ -22,6 +22,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_preference_pairs": preferences.op10_preference_pairs,
     "op11_bpe_round_trip": bpe.op11_bpe_round_trip,
     "op12_periodic_runs": periodic.op12_periodic_runs,
+    "op13_spelling_variants": spelling.op13_spelling_variants,
     "pipeline": corpus_pipeline.run,
 }
 SQL: dict[str, str] = {
@@ -31,4 +32,5 @@ SQL: dict[str, str] = {
     "op6_near_duplicates": minhash.NEAR_DUPLICATES_SQL,
     "op7_source_mix": mixing.SOURCE_MIX_SQL,
     "op10_preference_pairs": preferences.PREFERENCE_PAIRS_SQL,
+    "op13_spelling_variants": spelling.SPELLING_VARIANTS_SQL,
 }
