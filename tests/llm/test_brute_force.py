@@ -282,10 +282,95 @@ def test_copies_of_a_page_are_no_template(spark):
     rows += [(100 + i, f"http://d.example/{i}", plain.format("Hot page" if i < 12 else f"Page {i}").replace("own list", f"list {max(i, 11)}")) for i in range(40)]
     got = {r["page_id"]: r["text"] for r in templates.extract_text(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)).collect()}
     assert all(got[i] == "Welcome here The one page own list" for i in range(5))
-    assert all(got[10 + i] == "The article Section of The article" for i in range(4)) and got[20] == "Welcome here Row own list"
+    assert all(got[10 + i] == f"The article Section of The article More {i}" for i in range(4)) and got[20] == "Welcome here Row own list"
     assert all(got[100 + i] == ("Hot page list 11" if i < 12 else f"Page {i} list {i}") for i in range(40))
 
 
+def test_text_outside_of_articles_stays(spark):
+    page = "<html><body><nav><a>home</a> {0}</nav><article><p>Paragraph {0}</p><ol><li>one<li>two</ol></article><div class=content>Own text {0}</div><p>Terms apply</p><aside>teaser {0}</aside></body></html>"
+    bare = "<html><body><div id=menu-{0}>go {0}</div><p>Only paragraphs {0}</p><footer>Bye {0}</footer></body></html>"
+    rows = [(i, f"http://a.example/{i}", page.format(i)) for i in range(5)] + [(10 + i, f"http://b.example/{i}", bare.format(i)) for i in range(5)]
+    rows += [(20, "http://a.example/once", page.format("x").replace("<p>Terms", "<p>planted outside</p><p>Terms"))]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("__marks", F.lit(1)).withColumn("__host", F.lit(2))
+    out = templates.extract_text(frame)
+    got = {r["page_id"]: r["text"] for r in out.collect()}
+    assert out.columns == ["page_id", "url", "html", "__marks", "__host", "text"]
+    assert all(got[i] == f"Paragraph {i} one two Own text {i}" and got[10 + i] == f"Only paragraphs {i}" for i in range(5))
+    assert got[20] == "Paragraph x one two Own text x planted outside"
+
+
+def _subtrees(html: str) -> tuple[set[str], set[str], str]:
+    """Of well-formed pages: the blocks outside of article and main, the roots that hint at chrome, and the page without the latter; by recursion over the text."""
+    from html.parser import HTMLParser
+
+    class Tree(HTMLParser):
+        def __init__(self):
+            super().__init__()
+            self.root = self.at = ["", {}, [], None]
+
+        def handle_starttag(self, tag, attrs):
+            node = [tag, dict(attrs), [], self.at]
+            self.at[2].append(node)
+            if tag not in templates.VOID:
+                self.at = node
+
+        def handle_endtag(self, tag):
+            node = self.at
+            while node is not None and node[0] != tag:
+                node = node[3]
+            if node is not None:
+                self.at = node[3]
+
+        def handle_data(self, data):
+            self.at[2].append(data)
+
+    tree = Tree()
+    tree.feed(re.sub(r"<b>|</b>|<!--.*?-->|<(script|style|head).*?</\1>", "", html, flags=re.S))
+    blocks, hints = set(), set()
+
+    def walk(node, inside):
+        if isinstance(node, str):
+            return node
+        tag, attrs, children, _ = node
+        inside = inside or tag in ("article", "main")
+        text = "".join(walk(c, inside) for c in children)
+        shown = f"<{tag} {attrs.get('class', '')}>{text}"
+        if tag in ("nav", "footer", "aside") or "ad" in (attrs.get("class") or "").split():
+            hints.add(f"{tag} {attrs.get('class', '')}")
+            return ""
+        if tag in templates.BLOCK and not inside and tag not in ("html", "body"):
+            blocks.add(shown)
+        return shown
+    return blocks, hints, walk(tree.root, False)
+
+
+def test_page_texts_come_from_the_counts(spark, sf):
+    pages = spark.read.parquet(f"{sf}/pages.parquet").select("page_id", "url", "html")
+    got = {r["page_id"]: r["text"] for r in templates.extract_text(pages).collect()}
+    off = {r["page_id"]: r["text"] for r in templates.extract_text(pages, least_share=2.0).collect()}
+    rows = pages.collect()
+    hosts, texts = {}, {}
+    for page_id, url, html in rows:
+        host = url.split("://")[1].split("/")[0] if url and "://" in url else ""
+        hosts.setdefault(host, {})[page_id] = _subtrees(html or "")
+        texts[page_id] = host
+    counted = {h for h, held in hosts.items() if h and len({x[2] for x in held.values()}) >= templates.LEAST_PAGES}
+    kinds = {h: Counter(k for k, _ in {(k, x[2]) for x in hosts[h].values() for k in x[1]}) for h in counted}
+    marks = {r["host"]: set(r["marks"]) for r in templates.host_templates(pages.select(templates.host_and_path(F.col("url"))[0].alias("host"), "html").where("host <> ''")).collect()}
+    assert set(marks) == counted and counted
+    for h in counted:
+        assert sum(n >= templates.LEAST_PAGES for n in kinds[h].values()) <= len(marks[h])
+    assert set(got) == set(off) == set(texts)
+    without = {p: templates.main_text(html, frozenset(), True) for p, _, html in rows}
+    assert all(got[p] != without[p] for p in got if texts[p] in counted)
+
+
+def test_deep_and_broken_pages_take_linear_time():
+    assert templates.main_text("<div>" * 200_000 + "deep") == "deep"
+    assert templates.main_text("<b>" * 100_000 + "</i>" * 100_000 + "x") == "x"
+    assert templates.main_text("<p>a<li>b" * 50_000).count("a") == 50_000
+
+
 def test_nearest_vectors(spark):
     rng = np.random.default_rng(5)
     hot = rng.normal(size=9).round(2).tolist()
