@@ -15,6 +15,8 @@ from hybridloom.llm.common import WORD, by_bytes, free_name, let, table, written
 LEAST_WORDS, LEAST_PERIODS = 24, 3
 # Octave 3 holds the periods below 16, octave k those from 2^k on; boundaries are 2^k words apart, a tile owns this many of them.
 FIRST_OCTAVE, TILE_BOUNDARIES, LEAST_TILE = 3, 16, 1024
+# Tiles are dealt to tasks of this many bytes of words, and to this many tasks at most.
+TASK_BYTES, MOST_TASKS = 4 << 20, 20_000
 
 _RUN = StructType([StructField(n, LongType(), False) for n in ("start", "length", "period")])
 _TILE = StructType([StructField("octave", IntegerType()), StructField("low", LongType()), StructField("own", IntegerType()), StructField("words", BinaryType())])
@@ -220,7 +222,8 @@ def periodic_runs(df: DataFrame, text: str = "text", runs: str = "runs") -> Data
     # Runs depend on the text alone, so equal texts are one key.
     held = held.withColumn(key, F.sha2(F.col(f"`{text}`"), 256))
     each = held.select(F.col(key).alias("key"), F.explode(tiles).alias("t")).select("key", "t.octave", "t.low", "t.own", "t.words")
-    dealt = each.repartition("key", "octave", "low")
+    size = each.agg(F.coalesce(F.sum(F.octet_length("words")), F.lit(0))).first()[0]
+    dealt = each.repartition(max(1, min(MOST_TASKS, -(-size // TASK_BYTES))), "key", "octave", "low")
     found = stitched(dealt.mapInArrow(_fragments, "key string, period long, start long, end long"))
     listed = found.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("start", "period", "length"))).alias("found"))
     listed = listed.select(F.col("key").alias("__k"), F.transform("found", lambda r: F.struct(r["start"], r["length"], r["period"])).alias("__f"))
