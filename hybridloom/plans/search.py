@@ -12,10 +12,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from hybridloom.config import MIN_TOTAL_TOKENS, SearchSettings
 from hybridloom.functions import encoders
-from hybridloom.operators import catalog, context, fusion, topk
-from hybridloom.schema import PAYLOAD, equality_filter, unify_fields
+from hybridloom.operators import catalog, context, fusion, postings, topk
+from hybridloom.schema import PAYLOAD, unify_fields
 from hybridloom.session import broadcast_within, checked_broadcast
-from hybridloom.sources.store import CollectionStore, safe_name
+from hybridloom.sources.store import CollectionStore
 
 HIT_SCHEMA = "query_id long, id string, score double, rn long, collection string, " + ", ".join(f"{n} {t}" for n, t in PAYLOAD.items())
 
@@ -38,15 +38,24 @@ class SearchEngine:
         vectors = self.store.read(collection, component)
         if not filter_by:
             return vectors
-        return vectors.join(equality_filter(self.store.read(collection), filter_by).select("id"), "id", "left_semi")
+        return vectors.join(self._allowed(collection, filter_by), "id", "left_semi")
+
+    def _allowed(self, collection: str, filter_by: dict) -> DataFrame:
+        """Ids of the filtered payload; files that can't hold one are not opened."""
+        return self.store.read(collection, filter_by=filter_by).select("id")
 
     def dense_hits(self, queries: DataFrame, collection: str, k: int, filter_by: dict | None = None) -> DataFrame:
         return topk.dense_topk(self._component(collection, "dense", filter_by), queries, k)
 
     def sparse_hits(self, queries: DataFrame, collection: str, k: int, filter_by: dict | None = None) -> DataFrame:
-        """Term statistics are those of the whole collection, filtered or not."""
+        """Term statistics are those of the whole collection, filtered or not, as the store keeps them. Where the collection has posting lists, only the
+        blocks that can reach the result are read."""
+        at = self.store.snapshot(collection)
         wanted = queries.select(F.explode("sparse.indices").alias("term")).distinct()
-        idf = topk.inverse_document_frequency(self.store.read(collection, "sparse"), "sparse", wanted)
+        idf = postings.idf_of(self.store.term_statistics(collection, at), wanted)
+        lists = self.store.sparse_postings(collection, at)
+        if lists is not None:
+            return postings.postings_topk(lists, queries, k, idf, allowed=self._allowed(collection, filter_by) if filter_by else None)
         return topk.sparse_topk(self._component(collection, "sparse", filter_by), queries, k, idf=idf)
 
     def hybrid_hits(self, queries: DataFrame, collection: str, k: int, filter_by: dict | None = None,
@@ -80,7 +89,7 @@ class SearchEngine:
                filter_by: dict | None = None, sparse_weight: float | None = None, dense_weight: float | None = None,
                expand: bool | None = None) -> dict:
         """One collection: hybrid where it has sparse vectors, else dense with the surrounding sections."""
-        name = safe_name(collection or self.settings.default_collection)
+        name = self.store.resolve(collection or self.settings.default_collection)
         k = self.settings.top_k if top_k is None else top_k
         asked = self.queries([query])
         hybrid = self.store.has(name, "sparse")
@@ -97,11 +106,11 @@ class SearchEngine:
 
         Hybrid collections contribute 2k rows, dense ones k, and the merged list is not cut again.
         """
-        names = [safe_name(c) for c in (collections or self.settings.collections)]
+        names = [self.store.resolve(c) for c in (collections or self.settings.collections)]
         unknown = [n for n in names if not self.store.has(n, "dense")]
         if unknown:
             raise LookupError(f"collections without vectors: {', '.join(unknown)}")
-        k, asked, parts = top_k or self.settings.top_k, self.queries([query]), []
+        k, asked, parts = self.settings.top_k if top_k is None else top_k, self.queries([query]), []
         for name in names:
             if self.store.has(name, "sparse"):
                 hits = self.hybrid_hits(asked, name, 2 * k, filter_by, sparse_weight, dense_weight)
@@ -118,8 +127,8 @@ class SearchEngine:
         return self.bundle(query, order, group_by, names)
 
     def search_raw(self, query: str, top_k: int | None = None, collection: str | None = None) -> list[dict]:
-        name = safe_name(collection or self.settings.default_collection)
-        k = top_k or self.settings.top_k
+        name = self.store.resolve(collection or self.settings.default_collection)
+        k = self.settings.top_k if top_k is None else top_k
         rows = self._collected(self.with_payload(self.dense_hits(self.queries([query]), name, k), name, k))
         return [r.asDict() for r in rows.orderBy("rn").select(F.round("score", 4).alias("score"), "text", "doc_type", "title", "section",
                                                              "source_file", "chunk_index").collect()]
@@ -154,7 +163,7 @@ class SearchEngine:
     def get_context(self, source_file: str, section_title: str | None = None, query: str | None = None, radius: int | None = None,
                     collection: str | None = None) -> dict:
         """The chunks around a section: exact title, else the best matching chunk of the file as anchor."""
-        name, r = safe_name(collection or self.settings.default_collection), self.settings.context_radius if radius is None else radius
+        name, r = self.store.resolve(collection or self.settings.default_collection), self.settings.context_radius if radius is None else radius
         anchor = section_title or query
         label = f"context for {source_file}"
         if not anchor:
@@ -180,7 +189,7 @@ class SearchEngine:
     def pick_random_chunk(self, collection: str | None = None, min_tokens: int = 200, min_total_tokens: int = MIN_TOTAL_TOKENS,
                           source_file: str | None = None, seed: int | None = None) -> dict:
         """A substantive chunk grown outwards in its file to the token budget."""
-        name = safe_name(collection or self.settings.default_collection)
+        name = self.store.resolve(collection or self.settings.default_collection)
         points = self.store.read(name)
         chosen = catalog.pick_one(catalog.substantive(points, min_tokens, source_file), "id", seed).collect()
         if not chosen:
@@ -216,7 +225,7 @@ class SearchEngine:
 
         Every hop asks for k rows beyond the number seen, so the best k unseen ones are exact.
         """
-        name, found, text = safe_name(collection), None, query
+        name, found, text = self.store.resolve(collection), None, query
         for hop in range(depth):
             asked = self.queries([text])
             seen = [r["id"] for r in found.select("id").collect()] if found is not None else []

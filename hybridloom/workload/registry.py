@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 Query = Callable[[SparkSession, str], DataFrame]
 
 _MODULES = ["vector_queries", "fusion_queries", "catalog_queries", "text_queries", "context_queries",
-            "evaluation_queries", "ingest_queries", "relational_queries", "stream_queries"]
+            "evaluation_queries", "ingest_queries", "store_queries", "relational_queries", "stream_queries"]
 _QUERIES: dict[str, Query] = {}
 _SQL: dict[str, str] = {}
 
