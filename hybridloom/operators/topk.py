@@ -60,14 +60,14 @@ class _Best:
             pairs = pairs[:k]
             self.held[q] = (np.array([p[0] for p in pairs]), [p[1] for p in pairs])
 
-    def batch(self, query_ids: list, schema: pa.Schema) -> pa.RecordBatch:
+    def batch(self, query_ids: list, schema: pa.Schema, more: tuple = ()) -> pa.RecordBatch:
         qs, ids, scores = [], [], []
         for qid, (held_scores, held_ids) in zip(query_ids, self.held):
             qs.extend([qid] * len(held_ids))
             ids.extend(held_ids)
             scores.extend(held_scores.tolist())
         return pa.RecordBatch.from_arrays(
-            [pa.array(v, type=f.type) for v, f in zip((qs, ids, scores), schema)], schema=schema)
+            [pa.array(v, type=f.type) for v, f in zip((qs, ids, scores, *([m] * len(qs) for m in more)), schema)], schema=schema)
 
 
 def _output(points: DataFrame, queries: DataFrame, id_col: str, query_col: str) -> T.StructType:
@@ -105,20 +105,24 @@ def _unit(dots: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return np.divide(dots, length, out=np.zeros_like(dots), where=length > 0)
 
 
-def _rank(scored: DataFrame, query_col: str, id_col: str, k: int, rank: str) -> DataFrame:
-    return topk_per_group(scored, [query_col], [F.desc("score"), F.asc(id_col)], k, rank)
+def _rank(scored: DataFrame, query_col: str, id_col: str, k: int, rank: str, more: list[str] | tuple = ()) -> DataFrame:
+    return topk_per_group(scored, [query_col, *more], [F.desc("score"), F.asc(id_col)], k, rank)
 
 
 def dense_topk(points: DataFrame, queries: DataFrame, k: int, id_col: str = "id", vector: str = "dense",
                query_col: str = "query_id", query_vector: str = "dense", rank: str = "rn",
-               decimals: int | None = None, block_bytes: int = QUERY_BLOCK_BYTES) -> DataFrame:
+               decimals: int | None = None, block_bytes: int = QUERY_BLOCK_BYTES, group: str | None = None) -> DataFrame:
     """Cosine top-k of every query. Ties go to the smaller id.
 
-    ``decimals`` rounds the score before ranking, for vectors whose dot product is not exact.
+    ``decimals`` rounds the score before ranking, for vectors whose dot product is not exact. With ``group``, a column of the points such as their
+    collection, every query has a top-k in each group, null being one, and all are found in the same pass: a task keeps k rows for each query
+    and group it meets.
     """
     schema = _output(points, queries, id_col, query_col)
+    if group:
+        schema = T.StructType([*schema.fields, points.schema[group]])
     arrow = _arrow_schema(schema)
-    source = points.select(id_col, vector)
+    source = points.select(id_col, vector, *[group][:group is not None])
     parts = []
     row_bytes = lambda rows: 8 * max((len(r[1]) for r in rows), default=1)
     for rows in _blocks(queries.select(query_col, query_vector), query_col, lambda rows: len(rows) * row_bytes(rows),
@@ -131,7 +135,7 @@ def dense_topk(points: DataFrame, queries: DataFrame, k: int, id_col: str = "id"
 
         def score(batches: Iterator[pa.RecordBatch], shared=shared, width=width) -> Iterator[pa.RecordBatch]:
             ids, lookup = shared.value
-            best = _Best(len(ids), k)
+            best: dict = {}
             for batch in batches:
                 # Missing vectors are dropped here: a filter would make the plan encode twice.
                 batch = batch.filter(pc.is_valid(batch.column(1)))
@@ -142,11 +146,81 @@ def dense_topk(points: DataFrame, queries: DataFrame, k: int, id_col: str = "id"
                     scores = _unit(lookup @ found.T, lookup, found)
                     if decimals is not None:
                         scores = np.round(scores, decimals)
-                    best.offer(scores, piece.column(0).to_pylist())
-            yield best.batch(ids, arrow)
+                    keys = piece.column(0).to_pylist()
+                    if group is None:
+                        best.setdefault(None, _Best(len(ids), k)).offer(scores, keys)
+                        continue
+                    places: dict = {}
+                    for at, value in enumerate(piece.column(2).to_pylist()):
+                        places.setdefault(value, []).append(at)
+                    for value, at in places.items():
+                        best.setdefault(value, _Best(len(ids), k)).offer(scores[:, at], [keys[i] for i in at])
+            for value, held in best.items():
+                yield held.batch(ids, arrow, () if group is None else (value,))
 
         parts.append(source.mapInArrow(score, schema))
-    return _rank(_union(parts, points.sparkSession, schema), query_col, id_col, k, rank)
+    return _rank(_union(parts, points.sparkSession, schema), query_col, id_col, k, rank, [group] if group else [])
+
+
+def signal_topk(texts: DataFrame, queries: DataFrame, k: int, idf: DataFrame, id_col: str = "id", terms: str = "terms", query_col: str = "query_id",
+                rank: str = "rn", decimals: int = 9, block_bytes: int = QUERY_BLOCK_BYTES) -> DataFrame:
+    """(signal, query, id, score, rn): the dense and the sparse top-k of the default encoders for texts given as lists of terms, in one pass.
+
+    ``queries`` has both vectors; ``idf`` (term, idf) is the statistic of the collection, limited to the queries' terms. Terms become vectors where they are
+    scored, so a text is read and cut into terms once and no vector leaves its task. The rows are those of :func:`dense_topk` and
+    :func:`sparse_topk` over the encoded texts.
+    """
+    from hybridloom.functions.encoders import hash_terms
+
+    plain = _output(texts, queries, id_col, query_col)
+    schema = T.StructType([T.StructField("signal", T.StringType()), *plain.fields])
+    arrow = _arrow_schema(plain)
+    source = texts.select(id_col, terms)
+    asked = queries.select(query_col, "dense", F.col("sparse.indices").alias("indices"), F.col("sparse.values").alias("values"))
+    vocabulary_of = lambda rows: sorted({t for r in rows for t in (r[2] or [])})
+    width_of = lambda rows: len(vocabulary_of(rows)) + max((len(r[1]) for r in rows), default=1)
+    mean_terms = lambda rows: max(1.0, sum(len(r[2] or []) for r in rows) / max(len(rows), 1))
+    parts = []
+    for rows in _blocks(asked, query_col, lambda rows: 8 * len(rows) * width_of(rows), lambda rows: int(math.sqrt(block_bytes / 8 / mean_terms(rows))), block_bytes):
+        if not rows:
+            continue
+        vocabulary = vocabulary_of(rows)
+        column = {t: i for i, t in enumerate(vocabulary)}
+        block_terms = F.broadcast(texts.sparkSession.createDataFrame([(t,) for t in vocabulary], "term string"))
+        weight = {r[0]: r[1] for r in idf.join(block_terms, "term", "left_semi").select("term", "idf").collect()} if vocabulary else {}
+        lookup = np.zeros((len(rows), max(len(vocabulary), 1)))
+        for at, row in enumerate(rows):
+            for term, value in zip(row[2] or [], row[3] or []):
+                lookup[at, column[term]] = value * weight.get(term, 0.0)
+        matrix = np.array([r[1] for r in rows], dtype=np.float64).reshape(len(rows), -1)
+        shared = texts.sparkSession.sparkContext.broadcast(([r[0] for r in rows], matrix, vocabulary, lookup))
+
+        def score(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            ids, matrix, words, lookup = shared.value
+            known, touched = pa.array(words, type=pa.string()), (lookup != 0).astype(np.float64)
+            dense, sparse = _Best(len(ids), k), _Best(len(ids), k)
+            step = max(1, SCORE_BLOCK_CELLS // max(len(words), len(ids), matrix.shape[1]))
+            for batch in batches:
+                for start in range(0, batch.num_rows, step):
+                    piece = batch.slice(start, step)
+                    lists, keys = piece.column(1), piece.column(0).to_pylist()
+                    valid = np.asarray(pc.is_valid(lists))
+                    found = hash_terms(lists, matrix.shape[1])
+                    dense.offer(_unit(matrix @ found.T, matrix, found), keys, None if valid.all() else np.broadcast_to(valid, (len(ids), len(keys))))
+                    if not words:
+                        continue
+                    at = pc.index_in(lists.flatten(), value_set=known)
+                    held = np.asarray(pc.is_valid(at))
+                    row = np.repeat(np.arange(len(lists)), np.asarray(lists.value_lengths().fill_null(0)))[held]
+                    cells = row * len(words) + np.asarray(at.filter(pc.is_valid(at)), dtype=np.int64)
+                    counts = np.log1p(np.bincount(cells, minlength=len(lists) * len(words)).reshape(len(lists), len(words)).astype(float))
+                    sparse.offer(np.round(lookup @ counts.T, decimals), keys, (touched @ (counts > 0).astype(np.float64).T) > 0)
+            for signal, held in (("dense", dense), ("sparse", sparse)):
+                made = held.batch(ids, arrow)
+                yield pa.RecordBatch.from_arrays([pa.array([signal] * made.num_rows), *made.columns], names=["signal", *arrow.names])
+
+        parts.append(source.mapInArrow(score, schema))
+    return _rank(_union(parts, texts.sparkSession, schema), query_col, id_col, k, rank, ["signal"])
 
 
 def sparse_topk(points: DataFrame, queries: DataFrame, k: int, id_col: str = "id", vector: str = "sparse",

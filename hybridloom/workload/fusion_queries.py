@@ -5,20 +5,29 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from hybridloom.config import DEFAULT_DENSE_WEIGHT, DEFAULT_SPARSE_WEIGHT
+from hybridloom.functions import text as tx
 from hybridloom.operators import fusion, topk
 from hybridloom.schema import equality_filter
-from hybridloom.session import broadcast_within, checked_broadcast
+from hybridloom.session import broadcast_within, checked_broadcast, cut_lineage
 from hybridloom.workload import tables as tb
 from hybridloom.workload.registry import query
 
 TOP_K = 10
 
 
-def signals(spark: SparkSession, sf: str, k: int, points: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """Dense and sparse rank lists of every prompt."""
-    points = tb.encoded_documents(spark, sf, "dense", "sparse") if points is None else points
+def signals(spark: SparkSession, sf: str, k: int) -> tuple[DataFrame, DataFrame]:
+    """Dense and sparse rank lists of every prompt, from one pass over the texts and one over the prompts' terms for the statistics.
+
+    The lists have at most k rows for each prompt and signal; they are written once, so that whatever reads both does not rank again.
+    """
     asked = tb.prompts(spark, sf)
-    return topk.dense_topk(points, asked, k), topk.sparse_topk(points, asked, k)
+    docs = tb.documents(spark, sf)
+    wanted = asked.select(F.explode("sparse.indices").alias("term")).distinct()
+    found = docs.select(F.explode(F.array_distinct(tx.terms(F.col("text")))).alias("term")).join(checked_broadcast(wanted), "term", "left_semi")
+    total, df = docs.count(), F.col("df")
+    idf = found.groupBy("term").agg(F.count("*").alias("df")).withColumn("idf", F.log(1 + (F.lit(total) - df + 0.5) / (df + 0.5)))
+    ranked = cut_lineage(topk.signal_topk(docs.select("id", tx.terms(F.col("text")).alias("terms")), asked, k, idf))
+    return ranked.filter("signal = 'dense'").drop("signal"), ranked.filter("signal = 'sparse'").drop("signal")
 
 
 def hybrid(spark: SparkSession, sf: str, k: int = TOP_K, sparse_weight: float = DEFAULT_SPARSE_WEIGHT,
@@ -122,14 +131,7 @@ def _by_language(spark: SparkSession, sf: str, k: int) -> DataFrame:
     """Dense hits of every collection; here a collection is a language."""
     points = tb.encoded_documents(spark, sf, "dense")
     asked = tb.prompts(spark, sf)
-    # The collections that there are; a document without a language is in a collection of its own.
-    languages = sorted((r[0] for r in tb.table(spark, sf, "documents").select("lang").distinct().collect()), key=lambda v: (v is None, v))
-    parts = [topk.dense_topk(points.filter(F.col("language").eqNullSafe(F.lit(lang))), asked, k).withColumn("collection", F.lit(lang).cast("string"))
-             for lang in languages]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    return topk.dense_topk(points, asked, k, group="language").withColumnRenamed("language", "collection")
 
 
 def _sql_by_language(k: int) -> str:

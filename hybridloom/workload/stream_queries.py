@@ -75,4 +75,4 @@ def incremental_ingest(spark: SparkSession, sf: str) -> DataFrame:
         handler = incremental.append_once(target, ["id"])
         # The second run has a fresh checkpoint and numbers its batches from 0 again.
         incremental.run_available(stream, f"{folder}/state-{run}", handler)
-    return spark.read.parquet(f"{folder}/points").select("id", "source_file", "n_chars")
+    return incremental.read_once(spark, f"{folder}/points").select("id", "source_file", "n_chars")

@@ -92,7 +92,7 @@ def test_a_repeated_batch_replaces_itself(spark, tmp_path):
     handle(frame([1, 2, 2]), 0)
     handle(frame([2, 3]), 1)
     handle(frame([2, 3]), 1)
-    assert sorted(r["id"] for r in spark.read.parquet(str(tmp_path / "t")).collect()) == [1, 2, 3]
+    assert sorted(r["id"] for r in incremental.read_once(spark, str(tmp_path / "t")).collect()) == [1, 2, 3]
 
 
 def test_streams_do_not_erase_each_other(spark, tmp_path):
@@ -102,4 +102,39 @@ def test_streams_do_not_erase_each_other(spark, tmp_path):
         spark.createDataFrame([(i,) for i in ids], "id long").write.parquet(str(tmp_path / name))
         stream = incremental.file_stream(spark, str(tmp_path / name), "id long")
         incremental.run_available(stream, str(tmp_path / f"state-{name}"), incremental.append_once(target, ["id"]))
-    assert sorted(r["id"] for r in spark.read.parquet(target).collect()) == list(range(9))
+    assert sorted(r["id"] for r in incremental.read_once(spark, target).collect()) == list(range(9))
+
+
+def test_batches_open_no_more_files_as_the_history_grows(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(incremental, "BUCKETS", 4)
+    monkeypatch.setattr(incremental, "MERGED", 3)
+    table = incremental.OnceTable(spark, str(tmp_path / "t"), ["id", "part"])
+    frame = lambda ids: spark.createDataFrame([(i, "p", 2) for i in ids], "id long, part string, value long")
+    opened = []
+    for n in range(11):
+        assert table.append(frame([*range(n * 40, n * 40 + 40), None]), "s", n)
+        opened.append(table.opened)
+    assert not table.append(frame([1, 5000]), "s", 10) and table.append(frame([]), "s", 11)
+    assert max(opened[1:]) <= 4 and len(table.state().segments) <= 5 and max(s["level"] for s in table.state().segments) == 2
+    table.append(frame([0, 39, 200, 439, 440]), "other", 0)
+    rows = table.read().collect()
+    assert sorted(r["id"] for r in rows if r["id"] is not None) == list(range(441)) and len(rows) == 442
+
+
+def test_streams_that_meet_store_an_id_once(spark, tmp_path):
+    target = str(tmp_path / "t")
+    frame = lambda ids: spark.createDataFrame([(i,) for i in ids], "id long")
+    first, put, met = incremental.OnceTable(spark, target, ["id"]), type(incremental.OnceTable(spark, target, ["id"]).log).put, []
+
+    def late(self, number, entry):
+        if not met:
+            met.append(number)
+            incremental.OnceTable(spark, target, ["id"]).append(frame([2, 3, 4]), "b", 0)
+        return put(self, number, entry)
+
+    type(first.log).put = late
+    try:
+        assert first.append(frame([1, 2, 3]), "a", 0)
+    finally:
+        type(first.log).put = put
+    assert sorted(r["id"] for r in first.read().collect()) == [1, 2, 3, 4] and first.state().done == {"a": 0, "b": 0}
