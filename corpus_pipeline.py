@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from hybridloom.llm.common import table, written
+from hybridloom.llm.common import free_name, table, written
 from hybridloom.llm.decontamination import decontaminate
 from hybridloom.llm.minhash import drop_near_duplicates
 from hybridloom.llm.mixing import mixed_documents
@@ -18,7 +18,8 @@ ORACLE_SQL = None
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity score is below the threshold; null and empty texts are scored like the others."""
     model = train_toxicity(labelled_documents(docs, table(spark, sf_dir, "labels")))
-    return score_toxicity(docs, model).where(F.col("score") < THRESHOLD).select(docs.columns)
+    score = free_name(docs, "score")
+    return score_toxicity(docs, model, out=score).where(F.col(score) < THRESHOLD).select(docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -164,12 +164,12 @@ _SHARE = 2 * SIMILARITY / (1 + SIMILARITY)
 BENCHMARK_HITS_SQL = f"""WITH items AS (SELECT item_id, w, len(w) AS n_words, len(w) - {SHINGLE - 1} AS n FROM (SELECT item_id, {_WORDS} AS w FROM benchmark) WHERE len(w) >= {SHINGLE}),
   docs AS (SELECT DISTINCT doc_id, text, {_WORDS} AS w FROM documents),
   item_rows AS (SELECT item_id, n, n_words, array_to_string(w[k + 1:k + {SHINGLE}], ' ') AS sh FROM (SELECT *, unnest(range(n)) AS k FROM items)),
-  doc_rows AS (SELECT doc_id, text, k, array_to_string(w[k + 1:k + {SHINGLE}], ' ') AS sh FROM (SELECT *, unnest(range(len(w) - {SHINGLE - 1})) AS k FROM docs)),
+  doc_rows AS (SELECT doc_id, text, k, len(w) - {SHINGLE - 1} AS total, array_to_string(w[k + 1:k + {SHINGLE}], ' ') AS sh FROM (SELECT *, unnest(range(len(w) - {SHINGLE - 1})) AS k FROM docs)),
   item_counts AS (SELECT item_id, n, n_words, sh, count(*) AS c FROM item_rows GROUP BY ALL),
-  hits AS (SELECT DISTINCT doc_id, text, item_id, n, n_words, k FROM doc_rows JOIN item_counts USING (sh)),
-  starts AS (SELECT DISTINCT doc_id, text, item_id, n, n_words, unnest(range(greatest(k - n + ceil(n * {_SHARE} - 1e-9)::BIGINT, 0), k + 1)) AS s FROM hits),
+  hits AS (SELECT DISTINCT doc_id, text, item_id, n, n_words, k, total FROM doc_rows JOIN item_counts USING (sh)),
+  starts AS (SELECT DISTINCT doc_id, text, item_id, n, n_words, total, unnest(range(greatest(k - n + ceil(n * {_SHARE} - 1e-9)::BIGINT, 0), k + 1)) AS s FROM hits),
   dense AS (SELECT s.* FROM starts s JOIN hits h ON s.doc_id = h.doc_id AND s.text = h.text AND s.item_id = h.item_id AND h.k BETWEEN s.s AND s.s + s.n - 1
-    GROUP BY ALL HAVING count(*) >= ceil(s.n * {_SHARE} - 1e-9)),
+    GROUP BY ALL HAVING count(*) >= ceil((s.n + least(s.n, s.total - s.s)) * {_SHARE / 2} - 1e-9)),
   window_counts AS (SELECT d.doc_id, d.text, d.item_id, d.n, d.n_words, d.s, r.sh, count(*) AS c FROM dense d JOIN doc_rows r ON d.doc_id = r.doc_id AND d.text = r.text
     AND r.k BETWEEN d.s AND d.s + d.n - 1 GROUP BY ALL),
   sums AS (SELECT w.doc_id, w.text, w.item_id, w.n, w.n_words, s, sum(least(w.c, coalesce(i.c, 0))) AS shared, sum(w.c) AS mine

@@ -6,7 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from hybridloom.llm.common import WORD, broadcast_if_small, digest, let, running, sql_digest, table, word_count, written
+from hybridloom.llm.common import WORD, broadcast_if_small, digest, free_name, let, running, sql_digest, table, word_count, written
 
 WEIGHTS, SHARE, MOST = (3, 1, 2), 1.5, 2
 BLOCK, SHARD_SLOTS, ROUNDS, SEED = 64, 1024, 24, 7
@@ -148,20 +148,21 @@ def mixed_documents(docs: DataFrame, text: str = "text", **options) -> DataFrame
     follows the text where there is such a column. Documents of which nothing is taken (those without words too) are absent.
     """
     kept = docs.columns
+    d, s, z, k, number, size, parts_, taken = (free_name(docs, n) for n in ("d", "s", "z", "k", "number", "size", "parts", "n"))
     mixture = mix(docs.select("doc_id", "source", word_count(F.col(text)).alias("size")), **options)
     parts = mixture.pieces().join(mixture.slots.select("sid", "block", "epoch"), ["sid", "block"])
-    lists = parts.groupBy("sid", "row", "size", "epoch").agg(F.sort_array(F.collect_list(F.struct("first", "words"))).alias("__parts"), F.sum("words").alias("__n"))
+    lists = parts.groupBy("sid", "row", "size", "epoch").agg(F.sort_array(F.collect_list(F.struct("first", "words"))).alias(parts_), F.sum("words").alias(taken))
     # Rows are told apart by id, source, size and a number among those that agree in all three.
     same = Window.partitionBy("doc_id", "source", "size")
-    left = lists.join(mixture.rows.withColumn("__k", F.row_number().over(same.orderBy("row"))), ["sid", "row", "size"]).select(
-        F.col("doc_id").alias("__d"), F.col("source").alias("__s"), F.col("size").alias("__z"), "__k", "__parts", "__n")
-    right = docs.withColumn("__size", word_count(F.col(text))).withColumn(
-        "__number", F.row_number().over(Window.partitionBy("doc_id", "source", "__size").orderBy(text)))
-    joined = right.join(left, F.col("doc_id").eqNullSafe(F.col("__d")) & F.col("source").eqNullSafe(F.col("__s"))
-                        & (F.col("__size") == F.col("__z")) & (F.col("__number") == F.col("__k")))
+    left = lists.join(mixture.rows.withColumn(k, F.row_number().over(same.orderBy("row"))), ["sid", "row", "size"]).select(
+        F.col("doc_id").alias(d), F.col("source").alias(s), F.col("size").alias(z), k, parts_, taken)
+    right = docs.withColumn(size, word_count(F.col(text))).withColumn(
+        number, F.row_number().over(Window.partitionBy("doc_id", "source", size).orderBy(text)))
+    joined = right.join(left, F.col("doc_id").eqNullSafe(F.col(d)) & F.col("source").eqNullSafe(F.col(s))
+                        & (F.col(size) == F.col(z)) & (F.col(number) == F.col(k)))
     cut = let(F.regexp_extract_all(F.col(text), F.lit(WORD), F.lit(0)), lambda words: F.array_join(F.flatten(F.transform(
-        "__parts", lambda p: F.slice(words, (p["first"] + 1).cast("int"), p["words"].cast("int")))), " "))
-    made = joined.withColumn(text, F.when(F.col("__n") == F.col("__size"), F.col(text)).otherwise(cut))
+        parts_, lambda p: F.slice(words, (p["first"] + 1).cast("int"), p["words"].cast("int")))), " "))
+    made = joined.withColumn(text, F.when(F.col(taken) == F.col(size), F.col(text)).otherwise(cut))
     if "n_chars" in kept:
         made = made.withColumn("n_chars", F.length(text).cast(docs.schema["n_chars"].dataType))
     return made.select(*kept)

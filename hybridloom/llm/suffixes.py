@@ -354,9 +354,9 @@ def cut_repeats(docs: DataFrame, text: str = "text") -> DataFrame:
         searched = searched.join(again, ["d", "t"], "left_anti").unionByName(once)
     searched = searched.drop("sha")
     gone = repeated_windows(searched).withColumn("windows", F.lit(None).cast("long")).unionByName(copies.withColumn("marks", F.lit(None).cast("binary")))
-    found = written(gone.groupBy(F.col("d").alias("__on_d"), F.col("t").alias("__on_t")).agg(
-        F.collect_list("marks").alias("__marks"), F.max("windows").alias("__windows")), "repeat-marks")
-    joined = known.join(found, (F.col(d) == F.col("__on_d")) & (F.col(t) == F.col("__on_t")), "left").select(*kept, "__marks", "__windows")
+    on_d, on_t, marks, windows = (free_name(known, n) for n in ("on_d", "on_t", "marks", "windows"))
+    found = written(gone.groupBy(F.col("d").alias(on_d), F.col("t").alias(on_t)).agg(F.collect_list("marks").alias(marks), F.max("windows").alias(windows)), "repeat-marks")
+    joined = known.join(found, (F.col(d) == F.col(on_d)) & (F.col(t) == F.col(on_t)), "left").select(*[F.col(f"`{c}`") for c in kept], marks, windows)
     place = kept.index(text)
 
     def trimmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -160,20 +160,20 @@ def train_toxicity(labelled: DataFrame, fit_rows: int = FIT_ROWS) -> ToxicityMod
     return ToxicityModel(weights, model["bias"], model["slope"], model["shift"])
 
 
-def score_toxicity(docs: DataFrame, model: ToxicityModel, text: str = "text") -> DataFrame:
-    """``docs`` with score, the probability of toxic, from the whole text alone. Null and empty texts get the score of no strings;
-    a column named score is replaced. Rows are scored where they are read: no shuffle."""
-    kept = [c for c in docs.columns if c.lower() != "score"]
+def score_toxicity(docs: DataFrame, model: ToxicityModel, text: str = "text", out: str = "score") -> DataFrame:
+    """``docs`` with ``out``, the probability of toxic, from the whole text alone. Null and empty texts get the score of no strings;
+    a column of that name is replaced. Rows are scored where they are read: no shuffle."""
+    kept = [c for c in docs.columns if c.lower() != out.lower()]
     place = kept.index(text)
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.zeros(_DIMS, bool)
         for batch in batches:
             scores = [model.score(grams(t.as_py(), seen)) for t in batch.column(place)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())], names=[*kept, "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())], names=[*kept, out])
 
     plain = docs.select(*kept)
-    return plain.mapInArrow(scored, StructType([*plain.schema.fields, StructField("score", DoubleType())]))
+    return plain.mapInArrow(scored, StructType([*plain.schema.fields, StructField(out, DoubleType())]))
 
 
 def held_out(doc_id: Column) -> Column:

@@ -117,14 +117,15 @@ def judge_urls(df: DataFrame, rules: DataFrame, model: DataFrame, url: str = "ur
     host, path = host_and_path(F.col(url))
     plain = rules.where("host IS NOT NULL AND path IS NOT NULL AND verdict IS NOT NULL")
     kept = [c for c in df.columns if c.lower() not in ("host", "path", "rule", "score", "verdict")]
-    parts = df.select(*kept, host.alias("host"), path.alias("path"))
+    # Inside, columns go by number, so that none can clash.
+    parts = df.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(kept)], host.alias("host"), path.alias("path"))
     few = plain.limit(inline_rules + 1).count() <= inline_rules
     ruled = (_inline if few else _joined)(parts, plain)
     buckets = url_buckets(F.col("host"), F.col("path"))
     scored = ruled.withColumns({"__b": buckets, "__w": model.select("weights").scalar(), "__bias": model.select("bias").scalar()})
     margin = F.col("__bias") + F.aggregate("__b", F.lit(0.0), lambda s, b: s + F.col("__w")[b]) / F.sqrt(F.greatest(F.size("__b"), F.lit(1)))
     scored = scored.withColumn("score", 1 / (1 + F.exp(-margin)))
-    return scored.select(*kept, "host", "path", F.col("__best.rule").alias("rule"), "score", F.coalesce(
+    return scored.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(kept)], "host", "path", F.col("__best.rule").alias("rule"), "score", F.coalesce(
         F.col("__best.verdict"), F.when(F.col("score") >= BLOCK_FROM, "block").otherwise("allow")).alias("verdict"))
 
 

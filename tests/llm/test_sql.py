@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 import compare_queries
 from __spark_entry__ import queries
-from hybridloom.llm import mixing, preferences, sharding, urls
+from hybridloom.llm import decontamination, mixing, preferences, sharding, suffixes, urls
 from hybridloom.llm.queries import QUERIES, SQL
 
 
@@ -133,8 +133,51 @@ def test_rival_pairs_cover_odd_tables(spark):
     assert preferences.rival_pairs(turns.limit(0)).count() == 0
 
 
-def test_keyword_hit_rate_in_blocks_of_terms(spark, sf, monkeypatch):
-    from hybridloom.workload import evaluation_queries
-    whole = sorted(map(tuple, evaluation_queries.keyword_hit_rate(spark, sf).collect()))
-    monkeypatch.setattr(evaluation_queries, "TERMS_BYTES", 300)
-    assert sorted(map(tuple, evaluation_queries.keyword_hit_rate(spark, sf).collect())) == whole != []
+def test_benchmark_sql_finds_windows_cut_by_the_end(spark, sf, tmp_path):
+    import duckdb
+    items = [r["text"] for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()]
+    rows = []
+    for share in (70, 76, 80, 85, 90, 100):
+        for lead in (0, 7):
+            rows += [(len(rows) + i, "own words first here before the item " * (lead > 0) + " ".join(t.split()[:max(5, len(t.split()) * share // 100)])) for i, t in enumerate(items)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    docs.write.parquet(str(tmp_path / "docs"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW benchmark AS SELECT * FROM '{sf}/benchmark.parquet'")
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/docs/*.parquet')")
+    hits = decontamination.contaminated(docs, spark.read.parquet(f"{sf}/benchmark.parquet"))
+    found = hits.select("doc_id", "item_id", F.round("similarity", 6).alias("similarity"), "first_word", "n_words")
+    assert found.where("similarity < 0.9").count() > 100
+    assert compare_queries.compare(found, con, SQL["op2_benchmark_hits"]).startswith("ok")
+
+
+CLASHING = ["score", "__score", "__b", "__w", "__bias", "__best", "__marks", "__windows", "__n", "__size", "__number", "__parts", "__k", "__d", "__t", "c0", "host_"]
+
+
+def _clashing(df):
+    return df.withColumns({c: F.lit(f"own {c}") for c in CLASHING})
+
+
+def test_columns_of_any_name_stay(spark, sf):
+    import corpus_pipeline
+    docs = spark.read.parquet(f"{sf}/documents.parquet").limit(60)
+    kept = corpus_pipeline.toxicity(spark, _clashing(docs), sf)
+    assert kept.columns == [*docs.columns, *CLASHING] and {r["score"] for r in kept.select("score").distinct().collect()} == {"own score"}
+    mixed = mixing.mixed_documents(_clashing(docs))
+    assert sorted(tuple(r)[:5] for r in mixed.collect()) == sorted(map(tuple, mixing.mixed_documents(docs).collect()))
+    assert all(mixed.where(F.col(c) != f"own {c}").isEmpty() for c in CLASHING)
+    cut = suffixes.cut_repeats(_clashing(docs.select("doc_id", "text")))
+    assert sorted((r["doc_id"], bytes(r["kept"])) for r in cut.collect()) == sorted((r["doc_id"], bytes(r["kept"])) for r in suffixes.cut_repeats(docs.select("doc_id", "text")).collect())
+    assert {r["__marks"] for r in cut.collect()} == {"own __marks"}
+    model, pages = urls.train_url_filter(urls.labelled_urls(spark)), spark.read.parquet(f"{sf}/pages.parquet").select("page_id", "url").limit(40)
+    names = [c for c in CLASHING if c != "score"]
+    for inline in (1000, 1):
+        judged = urls.judge_urls(_clashing(pages), urls.rule_table(spark), model, inline_rules=inline)
+        assert {tuple(r[c] for c in names) for r in judged.collect()} == {tuple(f"own {c}" for c in names)}
+        plain = urls.judge_urls(pages, urls.rule_table(spark), model, inline_rules=inline)
+        assert sorted((r["page_id"], r["verdict"]) for r in judged.collect()) == sorted((r["page_id"], r["verdict"]) for r in plain.collect())
+
+
+def test_urls_of_an_empty_table(spark):
+    pages = spark.createDataFrame([], "page_id long, url string")
+    assert urls.judge_urls(pages, urls.rule_table(spark), urls.train_url_filter(urls.labelled_urls(spark))).count() == 0
