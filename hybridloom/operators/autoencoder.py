@@ -3,15 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from hybridloom.config import SAE_TOP_FEATURES, SPARSE_WINDOW_WORDS
 from hybridloom.functions import encoders, text as tx
-from hybridloom.operators.topk import SCORE_BLOCK_CELLS, _arrow_schema, _matrix, long_vectors
+from hybridloom.operators.topk import SCORE_BLOCK_CELLS, _arrow_schema, _matrix, long_vectors, topk_per_group
+from hybridloom.session import cut_lineage
 
 ENCODER_BYTES = 512 * 1024 * 1024
 
@@ -76,16 +79,20 @@ def row_norms(df: DataFrame, key: str, vector: str) -> DataFrame:
     return df.select(key, F.sqrt(square).alias("norm"))
 
 
+def encoder_bytes(weights: DataFrame) -> int:
+    return weights.select(F.coalesce(F.sum(F.size("row")), F.lit(0))).first()[0] * 8
+
+
 def load_encoder(weights: DataFrame, bias: DataFrame, encoder_bias: dict | None = None) -> dict:
     """Bring the weight rows (feature, row) to the driver after a size check.
 
-    An encoder is a model file: its width is fixed by the model, not by the corpus.
+    An encoder is a model file: its width is fixed by the model, not by the corpus. :func:`encode` goes through larger ones block by block.
     """
-    size = weights.select(F.coalesce(F.sum(F.size("row")), F.lit(0))).first()[0] * 8
+    size = encoder_bytes(weights)
     if size > ENCODER_BYTES:
-        raise ValueError(f"encoder of {size} bytes exceeds the {ENCODER_BYTES} byte bound; use encode_long")
+        raise ValueError(f"encoder of {size} bytes exceeds the {ENCODER_BYTES} byte bound; use encode")
     rows = weights.orderBy("feature").collect()
-    matrix = np.array([r["row"] for r in rows], dtype=np.float64)
+    matrix = np.array([r["row"] for r in rows], dtype=np.float64).reshape(len(rows), len(rows[0]["row"]) if rows else 0)
     return {
         "features": [r["feature"] for r in rows], "weights": matrix,
         "decoder_bias": np.array(bias.first()[0], dtype=np.float64),
@@ -94,13 +101,13 @@ def load_encoder(weights: DataFrame, bias: DataFrame, encoder_bias: dict | None
     }
 
 
-def encode_topk(points: DataFrame, encoder: dict, k: int = SAE_TOP_FEATURES, id_col: str = "id",
+def encode_topk(points: DataFrame, encoder: dict | Broadcast, k: int = SAE_TOP_FEATURES, id_col: str = "id",
                 vector: str = "dense", decimals: int | None = None) -> DataFrame:
     """((x - b_dec) W + b_enc) * norms, the K largest per row, negative ones cut to zero and dropped."""
     schema = T.StructType([points.schema[id_col], T.StructField("feature", T.LongType()),
                            T.StructField("activation", T.DoubleType())])
     arrow = _arrow_schema(schema)
-    shared = points.sparkSession.sparkContext.broadcast(encoder)
+    shared = encoder if isinstance(encoder, Broadcast) else points.sparkSession.sparkContext.broadcast(encoder)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
@@ -124,11 +131,49 @@ def encode_topk(points: DataFrame, encoder: dict, k: int = SAE_TOP_FEATURES, id_
     return points.select(id_col, vector).mapInArrow(encode, schema)
 
 
+def encode(points: DataFrame, weights: DataFrame, bias: DataFrame, encoder_bias: dict | None = None, k: int = SAE_TOP_FEATURES, id_col: str = "id",
+           vector: str = "dense", decimals: int | None = None, block_bytes: int = ENCODER_BYTES // 2) -> DataFrame:
+    """:func:`encode_topk` for weights (feature, row) of any size.
+
+    Weights beyond ``block_bytes`` are cut into blocks of features. Each block is multiplied with all points and leaves its K best per point; a point's
+    K best of all blocks are among these, ties to the smaller feature. What a block leaves is written and its broadcast let go before the next, so driver
+    and tasks hold one block, and the points are encoded or read from a written copy once a block.
+    """
+    blocks = -(-encoder_bytes(weights) // block_bytes)
+    if blocks <= 1:
+        return encode_topk(points, load_encoder(weights, bias, encoder_bias), k, id_col, vector, decimals)
+    context = points.sparkSession.sparkContext
+    points, parts = cut_lineage(points.select(id_col, vector)), []
+    for block in range(blocks):
+        model = load_encoder(weights.filter(F.pmod(F.xxhash64("feature"), F.lit(blocks)) == block), bias, encoder_bias)
+        if model["features"]:
+            shared = context.broadcast(model)
+            parts.append(cut_lineage(encode_topk(points, shared, k, id_col, vector, decimals)))
+            shared.destroy()
+    best = topk_per_group(reduce(DataFrame.unionByName, parts), [id_col], [F.desc("activation"), F.asc("feature")], k)
+    return best.select(id_col, "feature", "activation")
+
+
+def sparse_vectors(coded: DataFrame, points: DataFrame, id_col: str = "id") -> DataFrame:
+    """(id, sparse) of coded features (id, feature, activation), in feature order; points without an active feature get an empty vector."""
+    pairs = coded.groupBy(id_col).agg(F.array_sort(F.collect_list(F.struct("feature", "activation"))).alias("p"))
+    joined = points.select(id_col).join(pairs, id_col, "left")
+    none = F.array().cast("array<struct<feature:bigint,activation:double>>")
+    held = F.coalesce("p", none)
+    return joined.select(id_col, F.struct(F.transform(held, lambda p: p["feature"].cast("string")).alias("indices"), F.transform(held, lambda p: p["activation"]).alias("values")).alias("sparse"))
+
+
+def store_features(store, name: str, points: DataFrame, coded: DataFrame, id_col: str = "id") -> str:
+    """Keep coded features as a sparse-only collection whose points lead back to the dense chunks they code."""
+    folder = store.create(name, components=("payload", "sparse"))
+    store.append(folder, points.select(F.col(id_col).alias("id"), F.array(F.col(id_col).cast("string")).alias("dense_chunk_ids")))
+    store.append(folder, sparse_vectors(coded, points, id_col).withColumnRenamed(id_col, "id"), "sparse")
+    return folder
+
+
 def encode_long(points: DataFrame, weights: DataFrame, decoder_bias: DataFrame, norms: DataFrame,
                 k: int = SAE_TOP_FEATURES, id_col: str = "id", vector: str = "dense") -> DataFrame:
     """The same encoding for weights in long form (pos, feature, w) of any size: a shuffled join and a sum."""
-    from hybridloom.operators.topk import topk_per_group
-
     x = long_vectors(points, id_col, vector).join(decoder_bias.select("pos", "mean"), "pos")
     act = (x.withColumn("v", F.col("value") - F.col("mean")).join(weights, "pos")
            .groupBy(id_col, "feature").agg(F.sum(F.col("v") * F.col("w")).alias("a"))

@@ -11,7 +11,7 @@ from hybridloom.config import SearchSettings
 from hybridloom.plans import ingest as ing
 from hybridloom.plans.search import SearchEngine
 from hybridloom.session import build_session
-from hybridloom.sources import books, files, layouts, sidecar
+from hybridloom.sources import books, files, layouts, library, sidecar
 from hybridloom.sources.store import CollectionStore
 
 
@@ -23,12 +23,14 @@ def parser() -> argparse.ArgumentParser:
     commands.add_parser("list-collections")
     for name in ("create-collection", "delete-collection", "list-books"):
         commands.add_parser(name).add_argument("collection")
-    for name in ("ingest", "ingest-dense", "ingest-sparse", "ingest-papers"):
+    for name in ("ingest", "ingest-dense", "ingest-sparse", "ingest-papers", "ingest-library"):
         command = commands.add_parser(name)
         command.add_argument("collection")
         command.add_argument("folder")
         if name == "ingest-papers":
             command.add_argument("--metadata-dir")
+        if name == "ingest-library":
+            command.add_argument("--unknown", choices=("error", "ignore"), default="error", help="what to do with files that no loader reads")
     search = commands.add_parser("search")
     search.add_argument("query")
     search.add_argument("--collection")
@@ -61,6 +63,10 @@ def run(args: argparse.Namespace, spark=None):
             papers = papers.join(meta, "arxiv_id", "left").withColumns({"book_title": F.lit(""), "category": given("category"), "subcategory": given("subcategory"),
                                                                         "publish_date": given("publish_date")}).drop("meta")
         return ing.ingest_papers(store, args.collection, papers)
+    if args.command == "ingest-library":
+        library.register(spark)
+        found = spark.read.format("library").options(recursive="true", unknown=args.unknown).load(args.folder)
+        return {**ing.ingest(store, args.collection, library.sections(found)), "unreadable_files": found.filter("error IS NOT NULL").count()}
     rows, unreadable = library_sections(spark, args.folder)
     dense = {} if args.command != "ingest-sparse" else {"dense": None}
     sparse = {} if args.command != "ingest-dense" else {"sparse": None}

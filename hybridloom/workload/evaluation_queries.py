@@ -50,12 +50,13 @@ def keyword_hit_rate(spark: SparkSession, sf: str) -> DataFrame:
     terms = tb.table(spark, sf, "benchmark").select(F.explode(tx.query_terms(F.col("text"))).alias("t")).distinct()
     size = terms.agg(F.coalesce(F.sum(F.octet_length("t")), F.lit(0))).first()[0]
     docs = tb.documents(spark, sf).select("language", "text")
-    if size <= TERMS_BYTES:
-        hits = docs.withColumn("terms", terms.agg(F.collect_set("t")).scalar()).select("language", ev.contains_any(F.col("text"), F.col("terms")).cast("int").alias("hit"))
-    else:
-        blocks = terms.groupBy(F.pmod(F.xxhash64("t"), F.lit(-(-size // TERMS_BYTES))).alias("block")).agg(F.collect_list("t").alias("terms"))
-        pairs = docs.withColumn("row", F.monotonically_increasing_id()).crossJoin(blocks)
-        hits = pairs.select("row", "language", ev.contains_any(F.col("text"), F.col("terms")).cast("int").alias("hit")).groupBy("row", "language").agg(F.max("hit").alias("hit"))
+    # A document meets the terms in blocks of bounded size, one after the other in its own row.
+    blocks = max(1, -(-size // TERMS_BYTES))
+    hits = docs.withColumn("hit", F.lit(False))
+    for block in range(blocks):
+        held = terms.where(F.pmod(F.xxhash64("t"), F.lit(blocks)) == block).agg(F.collect_set("t")).scalar()
+        hits = hits.withColumn("terms", held).withColumn("hit", F.col("hit") | ev.contains_any(F.col("text"), F.col("terms"))).drop("terms")
+    hits = hits.select("language", F.col("hit").cast("int").alias("hit"))
     return hits.groupBy(F.col("language").alias("lang")).agg(F.round(F.avg("hit"), 6).alias("hit_rate"))
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from hybridloom.config import ChunkSettings
 from hybridloom.functions import text as tx
+from hybridloom.functions.tokens import RankTokenizer
 from hybridloom.operators import chunking, dml
 from hybridloom.workload import tables as tb
 from hybridloom.workload.registry import query
@@ -52,6 +53,16 @@ def chunk_section(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("doc_id", "chunk_index", "chunk_count", "token_count", "has_heading_context", F.md5("text").alias("text_md5"))
 
 
+@query("chunk_tokens", r"SELECT doc_id, length(regexp_replace(text, '[\s\x{0b}\x{1c}-\x{1f}\x{85}\p{Z}]+', '', 'g')) AS chars FROM documents")
+def chunk_tokens(spark: SparkSession, sf: str, vocabulary: str | None = None) -> DataFrame:
+    """Chunks of at most 96 tokens of a byte-pair vocabulary: no character is lost either."""
+    import public_tokenizers
+    tokenizer = RankTokenizer.from_file(vocabulary or public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    settings = ChunkSettings(chunk_size=96, min_chunk_tokens=16)
+    out = chunking.chunk_sections(_sections(spark, sf).withColumn("title", F.lit("")), settings, tokenizer=tokenizer)
+    return out.groupBy("doc_id").agg(F.sum(F.length(F.regexp_replace("text", r"(?U)\s+", ""))).cast("long").alias("chars"))
+
+
 @query("chunk_coverage", r"SELECT doc_id, length(regexp_replace(text, '[\s\x{0b}\x{1c}-\x{1f}\x{85}\p{Z}]+', '', 'g')) AS chars FROM documents")
 def chunk_coverage(spark: SparkSession, sf: str) -> DataFrame:
     """Apart from white space no character is lost by chunking."""

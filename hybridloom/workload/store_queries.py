@@ -48,8 +48,8 @@ def maintained_statistics(spark: SparkSession, sf: str) -> DataFrame:
     store.replace(name, encoder(points.where("id % 7 = 0"), F.col("language")), "sparse")
     store.retire(name, points.where("source_file = 'src3' AND id % 40 <> 3").select("id", "source_file"))
     counts = store.term_statistics(name)
-    total = counts.where("term IS NULL").select(F.col("df").alias("n"))
-    return counts.where("term IS NOT NULL").join(F.broadcast(total)).select("term", "df", "n")
+    total = counts.where("term IS NULL").select("df").first()[0]
+    return counts.where("term IS NOT NULL").select("term", "df", F.lit(total).cast("long").alias("n"))
 
 
 @query("filtered_files", "SELECT doc_id AS id, lang AS language, source AS source_file, md5(text) AS text_md5 FROM documents WHERE source IN ('src3', 'src5') AND lang = 'en'")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from hybridloom.operators import autoencoder, topk
+from hybridloom.session import work_folder
+from hybridloom.sources.store import CollectionStore
 from hybridloom.workload import tables as tb
 from hybridloom.workload.registry import query
 
@@ -147,6 +149,20 @@ def sae_encode_topk(spark: SparkSession, sf: str) -> DataFrame:
     return coded.select("id", "feature", F.round("activation", 6).alias("activation"))
 
 
+@query("sae_encode_blocks", _SAE_SQL)
+def sae_encode_blocks(spark: SparkSession, sf: str) -> DataFrame:
+    """The same with weights in blocks of about three features each, kept as a collection and read back."""
+    points = tb.table(spark, sf, "embeddings").select(F.col("vec_id").alias("id"), "label", F.col("embedding").alias("dense"))
+    weights = autoencoder.mean_vectors(points, ["label"], "dense").select(F.col("label").alias("feature"), F.col("mean").alias("row"))
+    bias = autoencoder.mean_vectors(points, [], "dense").select("mean")
+    width = weights.select(F.max(F.size("row"))).first()[0] or 1
+    coded = autoencoder.encode(points, weights, bias, k=5, decimals=9, block_bytes=3 * 8 * width)
+    store = CollectionStore(spark, work_folder(spark, "store"))
+    name = autoencoder.store_features(store, "features", points, coded)
+    kept = store.read(name, "sparse").select("id", F.explode(F.arrays_zip("sparse.indices", "sparse.values")).alias("p"))
+    return kept.select("id", F.col("p.indices").cast("long").alias("feature"), F.round(F.col("p.values"), 6).alias("activation"))
+
+
 @query("explained_variance", """WITH x AS (SELECT vec_id, label, unnest(embedding)::DOUBLE AS v, generate_subscripts(embedding, 1) AS pos FROM embeddings),
  c AS (SELECT label, pos, avg(v) AS hat FROM x GROUP BY 1, 2), m AS (SELECT pos, avg(v) AS mean FROM x GROUP BY 1)
 SELECT round(1 - avg((v - hat) * (v - hat)) / avg((v - mean) * (v - mean)), 6) AS explained_variance

@@ -361,3 +361,39 @@ def test_filtered_reads_open_only_files_that_may_match(spark, tmp_path, monkeypa
         if asked.get("source_file") == "file-7" or "id" in asked:
             assert len(got.inputFiles()) <= everything / 2
     assert store.read(name, filter_by={"language": "none"}).inputFiles() == []
+
+
+def test_library_source_feeds_ingest(spark, tmp_path):
+    from hybridloom.sources import library
+    from hybridloom.streaming import incremental
+    library.register(spark)
+    folder = tmp_path / "files"
+    folder.mkdir()
+    write_epub(folder / "one.epub", "Book One", [f"<h1>Start</h1><p>{prose(1, 20)}</p>"])
+    (folder / "bad.epub").write_bytes(b"no archive")
+    (folder / "one.epub.metadata.json").write_text("{}")
+    span = [{"type": "text", "content": "Tides move the mill wheel twice a day. " * 6}]
+    page = [{"type": "title", "content": {"title_content": [{"type": "text", "content": "Tides"}], "level": 1}}, {"type": "paragraph", "content": {"paragraph_content": span}}]
+    (folder / "2401.00002_content_list_v2.json").write_text(json.dumps([page]))
+    rows = {r["name"]: r for r in spark.read.format("library").option("bytesPerTask", "10").load(str(folder)).collect()}
+    assert set(rows) == {"one.epub", "bad.epub", "2401.00002_content_list_v2.json"} and rows["one.epub"]["title"] == "Book One"
+    assert rows["bad.epub"]["error"] and rows["one.epub"]["error"] is None and rows["2401.00002_content_list_v2.json"]["kind"] == "layout"
+    assert spark.read.format("library").option("bytesPerTask", "10").load(str(folder)).rdd.getNumPartitions() == 3
+    narrow = spark.read.format("library").option("bytesPerTask", "10").option("kind", "layout").load(str(folder)).filter("size > 0")
+    assert [r["name"] for r in narrow.collect()] == ["2401.00002_content_list_v2.json"] and narrow.rdd.getNumPartitions() == 1
+    assert spark.read.format("library").option("nameGlob", "one*").load(str(folder)).count() == 1 and spark.read.format("library").option("kind", "pdf").load(str(folder)).count() == 0
+    store = CollectionStore(spark, str(tmp_path / "c"))
+    report = ingest.ingest(store, "library", library.sections(spark.read.format("library").load(str(folder))))
+    assert report["chunks"] > 1 and {r["doc_type"] for r in store.read("library").collect()} == {"book", "paper"}
+    target = str(tmp_path / "seen")
+    run = lambda: incremental.run_available(spark.readStream.format("library").load(str(folder)).select("name", "size", "kind"), str(tmp_path / "state"),
+                                            incremental.append_once(target, ["name", "size"]))
+    run()
+    assert incremental.read_once(spark, target).count() == 3
+    (folder / "two.json").write_text("[]")
+    run()
+    assert {r["name"] for r in incremental.read_once(spark, target).collect()} == {*rows, "two.json"} and incremental.OnceTable(spark, target, []).state().done != {}
+    (folder / "notes.txt").write_text("plain")
+    with pytest.raises(Exception, match="unsupported file type: .*notes.txt"):
+        spark.read.format("library").load(str(folder)).count()
+    assert spark.read.format("library").option("unknown", "ignore").load(str(folder)).count() == 4

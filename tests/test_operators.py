@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from hybridloom.config import ChunkSettings
-from hybridloom.functions import encoders
+from hybridloom.functions import encoders, text as tx
 from hybridloom.operators import autoencoder, catalog, chunking, context, dml, evaluation as ev, fusion, topk
 
 
@@ -328,3 +328,50 @@ def test_latest_wins_and_patch(spark):
     got = {r["arxiv_id"]: r for r in dml.patch_blanks(target, meta, ["arxiv_id"], ["title", "category"], {"title": F.col("arxiv_id")}).collect()}
     assert (got["1"]["title"], got["1"]["category"], got["1"]["changed"]) == ("New", "cat", True)
     assert (got["2"]["title"], got["2"]["category"], got["2"]["changed"]) == ("kept", "c", False)
+
+
+def test_chunks_by_a_tokenizer(spark, sf):
+    from types import SimpleNamespace
+    from hybridloom.functions.tokens import RankTokenizer
+    quarters = SimpleNamespace(count=lambda text: len(text) // 4, column=lambda: tx.token_estimate)  # the default estimate as a tokenizer
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", F.col("source").alias("title"), F.col("text").alias("content"))
+    settings = ChunkSettings(chunk_size=60, min_chunk_tokens=20)
+    plain = chunking.chunk_sections(docs, settings).select("doc_id", "chunk_index", "text", "token_count")
+    assert sorted(map(tuple, chunking.chunk_sections(docs, settings, tokenizer=quarters).select(*plain.columns).collect())) == sorted(map(tuple, plain.collect()))
+    ranks = {bytes([b]): b for b in range(256)} | {b"th": 256, b"the": 257, b" the": 258, b"e ": 259, b"in": 260, b"ing": 261, b"tion": 300, b"ti": 262, b"on": 263}
+    table = spark.createDataFrame([(bytearray(k), v) for k, v in ranks.items()], "token binary, rank int")
+    tokenizer = RankTokenizer.from_table(table, r" ?\p{L}+|[^\p{L}]+")
+
+    def naive(piece):
+        parts = [piece[i:i + 1] for i in range(len(piece))]
+        while len(parts) > 1:
+            found = [ranks.get(a + b, 10 ** 9) for a, b in zip(parts, parts[1:])]
+            if min(found) == 10 ** 9:
+                break
+            i = found.index(min(found))
+            parts[i:i + 2] = [parts[i] + parts[i + 1]]
+        return [ranks[p] for p in parts]
+
+    for text in ["the thing, nation", "", "aaaa tttt", *[r["content"] or "" for r in docs.limit(40).collect()]]:
+        assert tokenizer.ids(text) == [i for piece in tokenizer._find(text) for i in naive(piece.encode())]
+    by_size = ChunkSettings(chunk_size=60, min_chunk_tokens=20, enable_semantic=False)
+    out = chunking.chunk_sections(docs.withColumn("title", F.lit("")), by_size, tokenizer=tokenizer).collect()
+    assert all(r["token_count"] == tokenizer.count(r["text"]) for r in out) and max(r["token_count"] for r in out) <= 2 * 60
+
+
+def test_blocked_encoding_equals_the_whole(spark, tmp_path):
+    import random
+    from hybridloom.sources.store import CollectionStore
+    rng = random.Random(2)
+    vector = lambda: [round(rng.uniform(-1, 1), 3) for _ in range(6)]
+    points = spark.createDataFrame([(i, vector()) for i in range(80)] + [(500, None)], "id long, dense array<double>")
+    rows = [(f, vector()) for f in range(30)] + [(100, [0.5] * 6), (101, [0.5] * 6)]
+    weights, bias = spark.createDataFrame(rows, "feature long, row array<double>"), spark.createDataFrame([([0.1] * 6,)], "mean array<double>")
+    own = {f: 0.01 * f for f in range(10)}
+    whole = autoencoder.encode_topk(points, autoencoder.load_encoder(weights, bias, own), 7, decimals=9)
+    blocked = autoencoder.encode(points, weights, bias, own, 7, decimals=9, block_bytes=5 * 48)
+    assert sorted(map(tuple, blocked.collect())) == sorted(map(tuple, whole.collect()))
+    store = CollectionStore(spark, str(tmp_path / "c"))
+    name = autoencoder.store_features(store, "coded", points, blocked)
+    kept = {r["id"]: r["sparse"] for r in store.read(name, "sparse").collect()}
+    assert len(kept) == 81 and kept[500]["indices"] == [] and sum(len(v["indices"]) for v in kept.values()) == whole.count()
