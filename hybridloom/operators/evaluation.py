@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from hybridloom.functions import text as tx
 from hybridloom.schema import as_points, first_present
+from hybridloom.session import cut_lineage
 
 # Source labels and bucket names of stored artefacts.
 SPARSE_SOURCES = ["sparse", "sparse_resolved"]
@@ -214,7 +218,89 @@ def smoothed_surface(points: DataFrame, x: str, y: str, z: str, xs: list[float],
     grid = F.explode(F.array(*[F.struct(F.lit(gx).alias("gx"), F.lit(gy).alias("gy")) for gx in xs for gy in ys])).alias("g")
     rows = points.select(x, y, z, grid)
     w = F.exp(-(F.pow((F.col("g.gx") - F.col(x)) / hx, 2) + F.pow((F.col("g.gy") - F.col(y)) / hy, 2)) / 2)
-    return rows.groupBy(F.col("g.gx").alias("gx"), F.col("g.gy").alias("gy")).agg((F.sum(w * F.col(z)) / F.sum(w)).alias("value"))
+    return rows.groupBy(F.col("g.gx").alias("gx"), F.col("g.gy").alias("gy")).agg((F.sum(w * F.col(z)) / F.nullif(F.sum(w), F.lit(0.0))).alias("value"))
+
+
+def hull_of(points: Iterable[tuple[float, float]]) -> list[tuple[float, float]]:
+    """Corners of the convex hull, counter-clockwise from the leftmost: two chains over the points in order of x, then y."""
+    ordered = sorted(set(points))
+    if len(ordered) < 3:
+        return ordered
+
+    def chain(run: Iterable[tuple[float, float]]) -> list[tuple[float, float]]:
+        kept: list[tuple[float, float]] = []
+        for p in run:
+            while len(kept) > 1 and (kept[-1][0] - kept[-2][0]) * (p[1] - kept[-2][1]) <= (kept[-1][1] - kept[-2][1]) * (p[0] - kept[-2][0]):
+                kept.pop()
+            kept.append(p)
+        return kept[:-1]
+
+    return chain(ordered) + chain(reversed(ordered))
+
+
+def convex_hull(points: DataFrame, x: str, y: str, gathered: int = 10_000) -> list[tuple[float, float]]:
+    """Corners of the convex hull of all points. Every task reduces its points to their own hull, in further rounds while more than ``gathered`` corners
+    are left and rounds still shrink them; the driver joins what is left, which is no more than the hull's own order of size."""
+    def reduced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept: list[tuple[float, float]] = []
+        for batch in batches:
+            kept = hull_of(kept + list(zip(*(c.to_pylist() for c in batch.columns))))
+        xs, ys = zip(*kept) if kept else ((), ())
+        yield pa.record_batch([pa.array(xs, pa.float64()), pa.array(ys, pa.float64())], names=["x", "y"])
+
+    plain = points.select(F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y")).where("x IS NOT NULL AND y IS NOT NULL AND NOT isnan(x) AND NOT isnan(y)")
+    corners, left = cut_lineage(plain.mapInArrow(reduced, "x double, y double")), None
+    while (now := corners.count()) > gathered and (left is None or now < left / 2):
+        corners, left = cut_lineage(corners.repartition(-(-now // gathered)).mapInArrow(reduced, "x double, y double")), now
+    return hull_of((r["x"], r["y"]) for r in corners.collect())
+
+
+def inside(hull: list[tuple[float, float]], at: tuple[float, float], slack: float = 1e-9) -> bool:
+    """Whether a point lies in the hull or on its edge."""
+    edges = zip(hull, hull[1:] + hull[:1])
+    return len(hull) > 2 and all((b[0] - a[0]) * (at[1] - a[1]) - (b[1] - a[1]) * (at[0] - a[0]) >= -slack for a, b in edges)
+
+
+def lift_surface(points: DataFrame, fraction: str, lift: str, value: str, nx: int = 300, ny: int = 300, hx: float = 0.07, hy: float = 0.08) -> DataFrame:
+    """(gx, gy, value): a smoothed surface over fraction and lift, null outside the convex hull of the points.
+
+    Fractions of 0 and 1, values below 1 and missing numbers stay out, lifts are cut to 2 and values to 1 .. 10. Fractions run from the least to
+    the largest one, lifts from 0 to 2. Fewer than three points, or points on one line along an axis, give no surface.
+    """
+    known = points.select(F.col(fraction).cast("double").alias("x"), F.least(F.col(lift).cast("double"), F.lit(2.0)).alias("y"), F.col(value).cast("double").alias("z"),
+                          F.col(lift).cast("double").alias("raw")).where("x > 0 AND x < 1 AND z >= 1 AND raw IS NOT NULL AND NOT isnan(raw)")
+    seen = known.agg(F.count("*").alias("n"), F.min("x").alias("low"), F.max("x").alias("high"), F.min("y").alias("bottom"), F.max("y").alias("top")).first()
+    if seen["n"] < 3 or seen["low"] == seen["high"] or seen["bottom"] == seen["top"]:
+        return points.sparkSession.createDataFrame([], "gx double, gy double, value double")
+    xs = [seen["low"] + (seen["high"] - seen["low"]) * i / (nx - 1) for i in range(nx)]
+    ys = [2.0 * i / (ny - 1) for i in range(ny)]
+    hull = convex_hull(known, "x", "y")
+    cells = [(a, b) for a in xs for b in ys]
+    shown = [c for c in cells if inside(hull, c)]
+    sums = _surface_sums(known, shown, hx, hy)
+    grid = points.sparkSession.createDataFrame(cells, "gx double, gy double")
+    return grid.join(F.broadcast(sums), ["gx", "gy"], "left").select("gx", "gy", F.when(F.col("value").isNotNull(), F.greatest(F.lit(1.0), F.least(F.lit(10.0), F.col("value")))).alias("value"))
+
+
+def _surface_sums(points: DataFrame, cells: list[tuple[float, float]], hx: float, hy: float) -> DataFrame:
+    """Kernel means at the cells: each task adds its points to one array of the grid's size, and the arrays are added up."""
+    gx, gy = np.array([c[0] for c in cells]), np.array([c[1] for c in cells])
+
+    # Equal points are one with a weight in the sum, so a hot point costs one row a task.
+    merged = points.groupBy("x", "y").agg(F.sum("z").alias("z"), F.count("*").alias("n"))
+
+    def weighted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        weights, sums = np.zeros(len(gx)), np.zeros(len(gx))
+        for batch in batches:
+            for x, y, z, n in zip(*(np.asarray(c) for c in batch.columns)):
+                w = np.exp(-(((gx - x) / hx) ** 2 + ((gy - y) / hy) ** 2) / 2)
+                weights += w * n
+                sums += w * z
+        if len(gx):
+            yield pa.record_batch([pa.array(gx), pa.array(gy), pa.array(weights), pa.array(sums)], names=["gx", "gy", "w", "s"])
+
+    parts = merged.select("x", "y", "z", "n").mapInArrow(weighted, "gx double, gy double, w double, s double")
+    return parts.groupBy("gx", "gy").agg((F.sum("s") / F.nullif(F.sum("w"), F.lit(0.0))).alias("value"))
 
 
 def assessment_rows(records: DataFrame, sources: list[str]) -> DataFrame:

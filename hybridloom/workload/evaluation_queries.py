@@ -283,6 +283,21 @@ def smoothed_surface(spark: SparkSession, sf: str) -> DataFrame:
     return ev.smoothed_surface(points, "x", "y", "z", grid, grid, 0.07, 0.08).withColumn("value", F.round("value", 6))
 
 
+@query("lift_surface", """WITH r AS (SELECT (l_discount * 10)::DOUBLE AS x, (l_tax * 40 * l_discount * 10)::DOUBLE AS raw, (l_quantity / 4)::DOUBLE AS z FROM lineitem),
+ p AS (SELECT x, least(raw, 2.0::DOUBLE) AS y, z FROM r WHERE x > 0 AND x < 1 AND z >= 1), m AS (SELECT min(x) AS low, max(x) AS high FROM p),
+ g AS (SELECT low + (high - low) * a / 11 AS gx, 2.0::DOUBLE * b / 11 AS gy FROM m, (SELECT unnest(range(0, 12)) AS a), (SELECT unnest(range(0, 12)) AS b)),
+ e AS (SELECT x, min(y) AS lo, max(y) AS hi FROM p GROUP BY 1),
+ edge AS (SELECT gx, min(CASE WHEN b.x = a.x THEN a.lo ELSE a.lo + (b.lo - a.lo) * (gx - a.x) / (b.x - a.x) END) AS lo, max(CASE WHEN b.x = a.x THEN a.hi ELSE a.hi + (b.hi - a.hi) * (gx - a.x) / (b.x - a.x) END) AS hi
+   FROM (SELECT DISTINCT gx FROM g) c JOIN e a ON a.x <= gx + 1e-9 JOIN e b ON b.x >= gx - 1e-9 AND b.x >= a.x GROUP BY 1),
+ s AS (SELECT gx, gy, sum(w * z) / sum(w) AS v FROM (SELECT gx, gy, z, exp(-(pow((gx - x) / 0.07, 2) + pow((gy - y) / 0.08, 2)) / 2) AS w FROM g, p) GROUP BY 1, 2)
+SELECT round(gx, 6) AS gx, round(gy, 6) AS gy, CASE WHEN gy >= lo - 1e-9 AND gy <= hi + 1e-9 THEN round(greatest(1, least(10, v)), 6) END AS value FROM s JOIN edge USING (gx)""")
+def lift_surface(spark: SparkSession, sf: str) -> DataFrame:
+    """The satisfaction surface: lifts and values cut, cells outside the points' convex hull left blank."""
+    points = tb.table(spark, sf, "lineitem").select((F.col("l_discount") * 10).alias("x"), (F.col("l_tax") * 40 * F.col("l_discount") * 10).alias("y"), (F.col("l_quantity") / 4).alias("z"))
+    out = ev.lift_surface(points, "x", "y", "z", 12, 12)
+    return out.select(F.round("gx", 6).alias("gx"), F.round("gy", 6).alias("gy"), F.round("value", 6).alias("value"))
+
+
 @query("assessment_rows", """SELECT doc_id AS input_id, lang AS category, n_chars AS topk, s AS source,
  CASE WHEN s = 'kb' THEN 1 + n_chars % 10 WHEN s = 'dense' AND lang = 'en' THEN 2 END AS retrieval_score, CASE WHEN s = 'kb' THEN 5 WHEN s = 'dense' AND lang = 'en' THEN 6 END::BIGINT AS response_score,
  CASE WHEN s = 'kb' THEN n_chars / 100.0::DOUBLE END AS response_elapsed_seconds, CASE WHEN s = 'kb' AND n_chars < 100 THEN 'short' END AS response_error

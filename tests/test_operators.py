@@ -375,3 +375,20 @@ def test_blocked_encoding_equals_the_whole(spark, tmp_path):
     name = autoencoder.store_features(store, "coded", points, blocked)
     kept = {r["id"]: r["sparse"] for r in store.read(name, "sparse").collect()}
     assert len(kept) == 81 and kept[500]["indices"] == [] and sum(len(v["indices"]) for v in kept.values()) == whole.count()
+
+
+def test_hull_and_surface(spark):
+    rng = random.Random(8)
+    spots = [(rng.random(), rng.random()) for _ in range(300)] + [(0.5, 0.5)] * 50
+    hull = ev.convex_hull(spark.createDataFrame(spots + [(None, 1.0), (float("nan"), 2.0)], "x double, y double").repartition(5), "x", "y", gathered=5)
+    cross = lambda a, b, p: (b[0] - a[0]) * (p[1] - a[1]) - (b[1] - a[1]) * (p[0] - a[0])
+    assert set(hull) <= set(spots) and all(cross(a, b, p) >= -1e-12 for a, b in zip(hull, hull[1:] + hull[:1]) for p in spots)
+    assert all(ev.inside(hull, p) for p in spots) and not ev.inside(hull, (1.5, 0.5)) and not ev.inside(hull[:2], hull[0])
+    rows = [(0.2, 0.1, 2.0), (0.8, 0.3, 12.0), (0.5, 3.5, 5.0), (0.0, 1.0, 9.0), (0.4, None, 3.0), (0.4, 0.2, 0.5), (None, 1.0, 1.0)]
+    out = {(round(r["gx"], 3), round(r["gy"], 3)): r["value"] for r in ev.lift_surface(spark.createDataFrame(rows, "f double, l double, v double"), "f", "l", "v", 4, 5, 0.4, 0.4).collect()}
+    assert len(out) == 20 and out[0.2, 0.0] is None and out[0.2, 2.0] is None and out[0.4, 0.5] is not None and all(v is None or 1 <= v <= 10 for v in out.values())
+    kept, cut = [(0.2, 0.1, 2.0), (0.8, 0.3, 12.0), (0.5, 2.0, 5.0)], (0.6, 0.5)
+    w = [math.exp(-(((cut[0] - x) / 0.4) ** 2 + ((cut[1] - y) / 0.4) ** 2) / 2) for x, y, _ in kept]
+    assert out[0.6, 0.5] == pytest.approx(min(10, sum(a * z for a, (_, _, z) in zip(w, kept)) / sum(w)))
+    flat = spark.createDataFrame([(0.5, 0.1, 2.0)] * 5, "f double, l double, v double")
+    assert ev.lift_surface(flat, "f", "l", "v").count() == 0 == ev.lift_surface(flat.limit(0), "f", "l", "v").count()
