@@ -115,7 +115,8 @@ def derive_sparse_collection(store: CollectionStore, dense_name: str, sparse_nam
     """A sparse collection of smaller chunks that point back at the dense chunks."""
     made = chunking.sparse_chunks(store.read(dense_name))
     key = dml.point_id(F.col("dense_chunk_ids")[0], F.col("chunk_index"))
-    rows = made.withColumn("id", key)
+    arxiv = F.coalesce(F.col("arxiv_id"), F.lit(""))
+    rows = made.withColumn("id", key).withColumn("source_url", F.when(arxiv != "", tx.document_url(arxiv)).otherwise(""))
     name = store.create(sparse_name)
     store.append(name, rows)
     fill_vectors(store, name, "sparse", lambda p: sparse_component(p, encoder))

@@ -220,16 +220,18 @@ class SearchEngine:
 
     # Multi-hop
 
-    def multi_hop(self, query: str, collection: str, k: int, depth: int, next_query: Callable[[str, list[str]], str | None]) -> DataFrame:
+    def multi_hop(self, query: str, collection: str, k: int, depth: int, next_query: Callable[[str, list[str]], str | None],
+                  search: Callable[[DataFrame, str, int], DataFrame] | None = None) -> DataFrame:
         """Search, exclude what was seen, ask again; stops at ``depth`` or when ``next_query`` returns None.
 
-        Every hop asks for k rows beyond the number seen, so the best k unseen ones are exact.
+        ``search`` (queries, collection, k) ranks a hop's hits, :meth:`dense_hits` by default, :meth:`hybrid_hits` or any other plan with query_id, id and
+        score. Every hop asks for k rows beyond the number seen, so the best k unseen ones of its ranking are exact.
         """
         name, found, text = self.store.resolve(collection), None, query
         for hop in range(depth):
             asked = self.queries([text])
             seen = [r["id"] for r in found.select("id").collect()] if found is not None else []
-            ranked = self.dense_hits(asked, name, k + len(seen)).filter(~F.col("id").isin(seen) if seen else F.lit(True))
+            ranked = (search or self.dense_hits)(asked, name, k + len(seen)).select("query_id", "id", "score", "rn").filter(~F.col("id").isin(seen) if seen else F.lit(True))
             rows = self._collected(self.with_payload(ranked.drop("rn").withColumn("rn", F.lit(hop)), name, k + len(seen)))
             fresh = rows.orderBy(F.desc("score"), "id").limit(k)
             found = fresh if found is None else found.unionByName(fresh)

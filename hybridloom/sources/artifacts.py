@@ -24,6 +24,27 @@ def read_critiques(spark: SparkSession, folder: str) -> DataFrame:
     return named.withColumn("chunks", F.transform("chunks", chunk))
 
 
+RETRIEVAL_SCHEMA = (
+    "prompt_index int, prompt_text string, topk int, sparse_k int, dense_k int, sparse_fraction string, dense_collection string, sparse_collection string, "
+    "timestamp_utc string, dense_raw array<struct<id:string,score:double>>, sparse_raw array<struct<id:string,score:double>>, "
+    "merged array<struct<rank:int,id:string,source:string,sources:array<string>,token_count:int,text:string,title:string,docket_id:string,"
+    "constituent_ids:array<string>,originating_sparse_id:string>>")
+
+
+def read_retrievals(spark: SparkSession, folder: str) -> DataFrame:
+    """Retrieval files ``prompt_001_sk_2.json`` with their name. The case is in the name where a file does not tell it; ids of any kind are strings, and
+    fields that are absent are NULL."""
+    raw = spark.read.schema(RETRIEVAL_SCHEMA).option("multiLine", "true").option("pathGlobFilter", "*.json").json(folder)
+    named = raw.withColumn("file", file_name(F.col("_metadata.file_path")))
+    part = lambda n: F.regexp_extract("file", r"^prompt_(\d+)_sk_(\d+)", n).try_cast("int")
+    return named.withColumns({"prompt_index": F.coalesce("prompt_index", part(1)), "sparse_k": F.coalesce("sparse_k", part(2))})
+
+
+def retrieved_chunks(retrievals: DataFrame) -> DataFrame:
+    """A row for each merged chunk of the cases, in rank order of the files."""
+    return retrievals.select("prompt_index", "sparse_k", "topk", F.inline("merged"))
+
+
 def case_of(critiques: DataFrame) -> DataFrame:
     """prompt_index, sparse_k and tag of study files ``prompt_001_sk_2_control.json``."""
     part = lambda n: F.regexp_extract("file", r"^prompt_(\d+)_sk_(\d+)_(control|variable)\.json$", n)

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from hybridloom.config import DEFAULT_DENSE_WEIGHT, DEFAULT_SPARSE_WEIGHT
 from hybridloom.functions import text as tx
 from hybridloom.operators import fusion, topk
+from hybridloom.plans.fanout import Source, fan_out
 from hybridloom.schema import equality_filter
 from hybridloom.session import broadcast_within, checked_broadcast, cut_lineage
 from hybridloom.workload import tables as tb
@@ -291,3 +292,21 @@ def dedupe_keep_best(spark: SparkSession, sf: str) -> DataFrame:
     dense, sparse = signals(spark, sf, 10)
     flat = fusion.flatten_ranked(dense.unionByName(sparse), ["query_id"])
     return flat.select("query_id", "id", F.round("score", 6).alias("score"), F.col("rank").cast("long").alias("rank"))
+
+
+@query("three_source_fanout", f"""WITH {sql_fused(8)}, ws AS (SELECT * FROM s WHERE rn <= 4), wd AS (SELECT * FROM d WHERE rn <= 4),
+ u AS (SELECT query_id, id, rn, 'papers' AS source FROM wd UNION ALL SELECT query_id, id, rn, 'papers_semantic' FROM fused UNION ALL SELECT query_id, id, rn, 'kb' FROM ws),
+ n AS (SELECT query_id, source, count(*) AS total_results FROM u GROUP BY 1, 2), a AS (SELECT item_id AS query_id, source FROM benchmark, (SELECT unnest(['papers', 'papers_semantic', 'kb']) AS source))
+SELECT query_id, source, coalesce(rn, 0)::INT AS rank, 'TEXT' AS type, md5(text) AS text_md5, coalesce(total_results, 0) AS total_results
+FROM a LEFT JOIN n USING (query_id, source) LEFT JOIN u USING (query_id, source) LEFT JOIN documents ON doc_id = id""")
+def three_source_fanout(spark: SparkSession, sf: str) -> DataFrame:
+    """Dense hits with k, fused ones with 2k and lexical ones with k, of every prompt."""
+    dense, sparse = signals(spark, sf, 16)
+
+    def ranked(hits: DataFrame):
+        return lambda asked, k: with_payload(spark, sf, hits.filter(F.col("rn") <= k), k).select("query_id", "rn", "text")
+
+    fused = lambda asked, k: with_payload(spark, sf, fusion.rrf_fuse({"dense": (dense, DEFAULT_DENSE_WEIGHT), "sparse": (sparse, DEFAULT_SPARSE_WEIGHT)}, k), k).select("query_id", "rn", "text")
+    prompts = tb.table(spark, sf, "benchmark").select(F.col("item_id").alias("query_id"))
+    rows = fan_out(prompts, [Source("papers", ranked(dense)), Source("papers_semantic", fused, 2), Source("kb", ranked(sparse))], 4)
+    return rows.select("query_id", "source", "rank", "type", F.md5("text").alias("text_md5"), "total_results")

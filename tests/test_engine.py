@@ -165,12 +165,16 @@ def test_papers_are_skipped_once_stored(spark, engine, tmp_path):
     assert first == again and first["papers"] == 2
     ingest.derive_sparse_collection(engine.store, "papers", "papers-sparse")
     assert engine.store.read("papers-sparse").filter(F.size("dense_chunk_ids") == 1).count() >= 2
+    assert {r["source_url"] for r in engine.store.read("papers-sparse").collect()} == {"https://arxiv.org/abs/2603.00001", "https://arxiv.org/abs/2603.00002"}
 
 
 def test_multi_hop_never_repeats(engine):
     found = engine.multi_hop("fusion", "plain", 2, 3, lambda q, texts: texts[0])
     ids = [r["id"] for r in found.collect()]
     assert len(ids) == len(set(ids)) == 6
+    hybrid = [r["id"] for r in engine.multi_hop("fusion", "books", 1, 2, lambda q, texts: texts[0], lambda asked, name, k: engine.hybrid_hits(asked, name, k)).collect()]
+    assert len(hybrid) == len(set(hybrid)) == 2
+    assert hybrid[:1] == [r["id"] for r in engine.hybrid_hits(engine.queries(["fusion"]), "books", 1).collect()]
 
 
 def test_changed_files_replace_their_chunks_and_vectors(spark, tmp_path):
@@ -397,3 +401,30 @@ def test_library_source_feeds_ingest(spark, tmp_path):
     with pytest.raises(Exception, match="unsupported file type: .*notes.txt"):
         spark.read.format("library").load(str(folder)).count()
     assert spark.read.format("library").option("unknown", "ignore").load(str(folder)).count() == 4
+
+
+def test_retrievals_are_read_by_name(spark, tmp_path):
+    from hybridloom.sources import artifacts
+    body = {"prompt_text": "q", "topk": 2, "dense_raw": [{"id": 4, "score": 0.5}], "merged": [{"rank": 1, "id": 4, "source": "dense", "score": 0.5, "text": "t"}, {"rank": 2, "id": "x", "source": "sparse"}]}
+    (tmp_path / "prompt_003_sk_2.json").write_text(json.dumps(body))
+    (tmp_path / "prompt_004_sk_0.json").write_text(json.dumps({"prompt_index": 9, "sparse_k": 5}))
+    rows = {r["file"]: r for r in artifacts.read_retrievals(spark, str(tmp_path)).collect()}
+    assert (rows["prompt_003_sk_2.json"]["prompt_index"], rows["prompt_003_sk_2.json"]["sparse_k"]) == (3, 2) and rows["prompt_004_sk_0.json"]["prompt_index"] == 9
+    chunks = artifacts.retrieved_chunks(artifacts.read_retrievals(spark, str(tmp_path))).collect()
+    assert [(c["prompt_index"], c["rank"], c["id"]) for c in chunks] == [(3, 1, "4"), (3, 2, "x")]
+    artifacts.write_json(spark.createDataFrame([(1, "a")], "n int, s string"), str(tmp_path / "out"))
+    assert spark.read.json(str(tmp_path / "out")).collect()[0]["s"] == "a"
+    artifacts.write_report_csv(spark.range(3), str(tmp_path / "csv"))
+    assert spark.read.csv(str(tmp_path / "csv"), header=True).count() == 3 and len(list((tmp_path / "csv").glob("*.csv"))) == 1
+
+
+def test_fan_out_shows_every_prompt_and_source(spark):
+    from hybridloom.plans.fanout import Source, fan_out
+    prompts = spark.createDataFrame([(1,), (2,)], "query_id long")
+    hits = spark.createDataFrame([(1, i, f"t{i}") for i in range(1, 9)], "query_id long, rn int, text string")
+    seen = []
+    search = lambda asked, k: seen.append(k) or hits.where(F.col("rn") <= k)
+    rows = fan_out(prompts, [Source("a", search), Source("b", search, 2), Source("c", search, 2, shown=1)], 3).collect()
+    count = lambda q, s: [(r["rank"], r["text"], r["total_results"]) for r in sorted(rows, key=lambda r: r["rank"]) if (r["query_id"], r["source"]) == (q, s)]
+    assert seen == [3, 6, 6] and len(count(1, "a")) == 3 and len(count(1, "b")) == 6 and [c[2] for c in count(1, "c")] == [6, 6, 6]
+    assert count(2, "a") == [(0, None, 0)] and all(r["lookup_time"] >= 0 and r["type"] == "TEXT" for r in rows)
