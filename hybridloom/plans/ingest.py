@@ -21,9 +21,9 @@ def running_sequence(chunks: DataFrame, key: str = "source_file") -> DataFrame:
     Chunks are counted per section, sections in blocks of a thousand; only block totals of one file
     meet in one task.
     """
-    chapter = F.coalesce(F.col("chapter_index"), F.lit(0)).cast("long")
-    order = chapter * 1_000_000 + F.col("section_index")
-    rows = chunks.withColumn("_order", order).withColumn("_block", F.floor(F.col("_order") / SECTIONS_PER_BLOCK))
+    chapter = F.coalesce(F.col("chapter_index"), F.lit(0)).cast("long").alias("chapter")
+    rows = chunks.withColumn("_order", F.struct(chapter, F.col("section_index").alias("section"))).withColumn(
+        "_block", F.struct(chapter, F.floor(F.col("section_index") / SECTIONS_PER_BLOCK).alias("block")))
     sections = rows.groupBy(key, "_block", "_order").agg(F.count("*").alias("_n"))
     before = lambda *keys, by: Window.partitionBy(*keys).orderBy(by).rowsBetween(Window.unboundedPreceding, -1)
     blocks = sections.groupBy(key, "_block").agg(F.sum("_n").alias("_t"))
