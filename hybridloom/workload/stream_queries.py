@@ -20,6 +20,11 @@ def _events(spark: SparkSession, sf: str) -> DataFrame:
     return telemetry.timed(tb.table(spark, sf, "events"))
 
 
+def _table_stream(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    """A table as a stream, whether it is one file or a folder of part files: by a pattern, because a plain path has to be a folder."""
+    return incremental.file_stream(spark, f"{sf}/{name}[.]parquet", tb.table(spark, sf, name).schema)
+
+
 def _stamp(name: str):
     return F.date_format(name, "yyyy-MM-dd HH:mm:ss").alias(name)
 
@@ -55,7 +60,7 @@ def dedupe_events(spark: SparkSession, sf: str) -> DataFrame:
 def events_stream(spark: SparkSession, sf: str) -> DataFrame:
     """The tumbling windows computed by a stream over the events file, kept in complete snapshots."""
     folder = work_folder(spark, "events")
-    stream = incremental.file_stream(spark, sf, tb.table(spark, sf, "events").schema, glob="events.parquet")
+    stream = _table_stream(spark, sf, "events")
     incremental.run_available(telemetry.windowed(telemetry.timed(stream, "1 hour"), "1 hour"), f"{folder}/state",
                               incremental.snapshot(f"{folder}/out"), "complete")
     latest = spark.read.parquet(f"{folder}/out")
@@ -67,12 +72,12 @@ def events_stream(spark: SparkSession, sf: str) -> DataFrame:
 def incremental_ingest(spark: SparkSession, sf: str) -> DataFrame:
     """Documents appended by a file stream, and again by a second run that must add nothing."""
     folder = work_folder(spark, "ingest")
-    schema = tb.table(spark, sf, "documents").schema
     for run in ("first", "second"):
-        stream = incremental.file_stream(spark, sf, schema, glob="documents.parquet").select(
-            F.col("doc_id").alias("id"), F.col("source").alias("source_file"), "n_chars")
+        stream = _table_stream(spark, sf, "documents").select(F.col("doc_id").alias("id"), F.col("source").alias("source_file"), "n_chars")
         target = f"{folder}/points"
         handler = incremental.append_once(target, ["id"])
         # The second run has a fresh checkpoint and numbers its batches from 0 again.
         incremental.run_available(stream, f"{folder}/state-{run}", handler)
-    return incremental.read_once(spark, f"{folder}/points").select("id", "source_file", "n_chars")
+    stored = incremental.read_once(spark, f"{folder}/points")
+    # A table without rows stores nothing.
+    return (stream.sparkSession.createDataFrame([], stream.schema) if stored is None else stored).select("id", "source_file", "n_chars")

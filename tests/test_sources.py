@@ -105,6 +105,17 @@ def test_streams_do_not_erase_each_other(spark, tmp_path):
     assert sorted(r["id"] for r in incremental.read_once(spark, target).collect()) == list(range(9))
 
 
+def test_tables_of_part_files_are_ingested(spark, tmp_path):
+    from hybridloom.workload.stream_queries import events_stream, incremental_ingest
+    for name in ("documents", "events"):
+        spark.read.parquet(f"/root/testdata/sf0.001/{name}.parquet").repartition(3).write.parquet(str(tmp_path / f"{name}.parquet"))
+    for query in (incremental_ingest, events_stream):
+        whole = query(spark, "/root/testdata/sf0.001").collect()
+        assert whole and sorted(query(spark, str(tmp_path)).collect()) == sorted(whole)
+    spark.read.parquet("/root/testdata/sf0.001/documents.parquet").limit(0).write.parquet(str(tmp_path / "none" / "documents.parquet"))
+    assert incremental_ingest(spark, str(tmp_path / "none")).collect() == []
+
+
 def test_batches_open_no_more_files_as_the_history_grows(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(incremental, "BUCKETS", 4)
     monkeypatch.setattr(incremental, "MERGED", 3)
