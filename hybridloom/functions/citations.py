@@ -20,6 +20,7 @@ def _abbreviation_pattern() -> str:
     return r"(?iU)(?<!\w)(?:" + "|".join(a.replace(".", r"\.") for a in longest_first) + ")"
 
 
+PLACEHOLDER = r"__CITE_(\d+)__"
 PATTERNS = [BRACKETED, AUTHOR_YEAR, NUMBERED, _abbreviation_pattern()]
 
 
@@ -53,10 +54,11 @@ def _state(masked: Column, spans: Column) -> Column:
 
 
 def restore(value: Column, spans: Column) -> Column:
-    """Put the original citations back; only the placeholders that occur are looked up."""
-    used = F.array_distinct(F.regexp_extract_all(value, F.lit(r"__CITE_(\d+)__"), F.lit(1)))
-    return F.aggregate(used, value, lambda acc, i: F.replace(
-        acc, _placeholder(i), F.coalesce(F.get(spans, i.cast("int")), _placeholder(i))))
+    """Put the original citations back in one pass: the pieces between placeholders, each followed by its span; a number without a span stays."""
+    numbers = F.regexp_extract_all(value, F.lit(PLACEHOLDER), F.lit(1))
+    put = F.transform(numbers, lambda i: F.coalesce(F.get(spans, i.try_cast("int")), _placeholder(i)))
+    whole = F.flatten(F.zip_with(F.split(value, PLACEHOLDER, -1), put, lambda piece, span: F.array(piece, F.coalesce(span, F.lit("")))))
+    return F.array_join(whole, "")
 
 
 def sentences(value: Column) -> Column:

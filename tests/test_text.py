@@ -150,3 +150,8 @@ def test_small_replies(spark):
     assert one(spark, '{"score": 3}', lambda v: replies.score_or(v, 1, 3, 2)) == 3 and one(spark, '{"score": 7}', lambda v: replies.score_or(v, 1, 3, 2)) == 2
     assert one(spark, " 0.25 ", replies.unit_score) == 0.25 and one(spark, "I think 0.7!", replies.unit_score) == 0.7 and one(spark, "9", replies.unit_score) is None
     assert one(spark, '{"results": [{"markdown": "# x"}]}', replies.markdown_of) == "# x"
+
+
+def test_restore_is_one_pass(spark):
+    rows = spark.createDataFrame([("a __CITE_0__ b __CITE_1__ __CITE_99999999999__", ["__CITE_1__", "x"])], "v string, spans array<string>")
+    assert rows.select(citations.restore(F.col("v"), F.col("spans"))).first()[0] == "a __CITE_1__ b x __CITE_99999999999__"
