@@ -57,7 +57,7 @@ def chunk_section(spark: SparkSession, sf: str) -> DataFrame:
 def chunk_tokens(spark: SparkSession, sf: str, vocabulary: str | None = None) -> DataFrame:
     """Chunks of at most 96 tokens of a byte-pair vocabulary: no character is lost either."""
     import public_tokenizers
-    tokenizer = RankTokenizer.from_file(vocabulary or public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    tokenizer = RankTokenizer.from_file(vocabulary or public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, spaced=True)
     settings = ChunkSettings(chunk_size=96, min_chunk_tokens=16)
     out = chunking.chunk_sections(_sections(spark, sf).withColumn("title", F.lit("")), settings, tokenizer=tokenizer)
     return out.groupBy("doc_id").agg(F.sum(F.length(F.regexp_replace("text", r"(?U)\s+", ""))).cast("long").alias("chars"))

@@ -359,6 +359,21 @@ def test_chunks_by_a_tokenizer(spark, sf):
     assert all(r["token_count"] == tokenizer.count(r["text"]) for r in out) and max(r["token_count"] for r in out) <= 2 * 60
 
 
+def test_spaced_counts_and_few_passes():
+    import public_tokenizers
+    from hybridloom.functions.tokens import RankTokenizer
+    path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    plain, spaced = RankTokenizer.from_file(path, pattern), RankTokenizer.from_file(path, pattern, spaced=True)
+    rng = random.Random(5)
+    bits = ["a", "Bee", " ", "  ", "\n", " \n", "\u00a0", "\x1c", "it's", " 's", "12", "é", "中文", "! ", "\r\n", "x" * 90]
+    for text in ["", " ", *["".join(rng.choice(bits) for _ in range(rng.randint(1, 60))) for _ in range(400)]]:
+        assert spaced.count(text) == plain.count(text)
+    seen = []
+    text = " ".join(f"{rng.choice(bits[:2])}{i}{rng.choice(['', '', ',', '.'])}" for i in range(4000))
+    chunking.split_recursively(text, 96, lambda t: seen.append(len(t)) or spaced.count(t))
+    assert sum(seen) < 10 * len(text)
+
+
 def test_blocked_encoding_equals_the_whole(spark, tmp_path):
     import random
     from hybridloom.sources.store import CollectionStore
