@@ -14,6 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, functions as F, types as T
 
 from hybridloom.functions import text as tx
+from hybridloom.functions.slices import in_slices
 from hybridloom.schema import SPARSE_VECTOR
 
 DENSE_DIMENSIONS = 64
@@ -57,6 +58,7 @@ def count_terms(lists: pa.ListArray) -> pa.StructArray:
 
 
 @F.arrow_udf(T.ArrayType(T.DoubleType()))
+@in_slices
 def _hashed(lists: pa.Array) -> pa.Array:
     lists = _as_list_array(lists)
     dense = hash_terms(lists)
@@ -65,6 +67,7 @@ def _hashed(lists: pa.Array) -> pa.Array:
 
 
 @F.arrow_udf(SPARSE_VECTOR)
+@in_slices
 def _counted(lists: pa.Array) -> pa.Array:
     return count_terms(_as_list_array(lists))
 

@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, functions as F, types as T
 
 from hybridloom.functions import text as tx
+from hybridloom.functions.slices import in_slices
 
 # Patterns that decide what counts as markup.
 HEADING = r"(?is)<h([1-3])[^>]*>(.*?)</h\1>"
@@ -20,6 +21,7 @@ SHORT_CONTENT = 20
 
 
 @F.arrow_udf(T.ArrayType(T.StringType()))
+@in_slices
 def _unescape(lists: pa.Array) -> pa.Array:
     coded = lists.flatten().dictionary_encode()
     decoded = pa.array([None if s is None else html_entities.unescape(s) for s in coded.dictionary.to_pylist()], pa.string())
@@ -66,6 +68,7 @@ def table_to_tsv(markup: str | None) -> str:
 
 
 @F.arrow_udf(T.ArrayType(T.StringType()))
+@in_slices
 def tables_to_tsv(lists: pa.Array) -> pa.Array:
     """Rows of every HTML table of an array, cells joined by tabs."""
     return pa.array([None if row is None else [table_to_tsv(m) for m in row] for row in lists.to_pylist()],

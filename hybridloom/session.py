@@ -15,6 +15,8 @@ BROADCAST_ROW_LIMIT = 200_000
 BROADCAST_BYTE_LIMIT = 64 << 20
 # A table of at most this many bytes may be spread over the cores by a shuffle.
 SPREAD_BYTES = 1 << 30
+# Arrow batches of text end at this many bytes; by rows alone, 10,000 texts may be held several times over by every worker.
+BATCH_BYTES = 8 << 20
 
 
 def build_session(app: str = "hybridloom", master: str | None = None, **conf: str) -> SparkSession:
@@ -82,11 +84,20 @@ def broadcast_within(df: DataFrame, bound: int, rows: int = BROADCAST_ROW_LIMIT)
     return F.broadcast(df) if bound <= rows else df
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Lower the bytes of an Arrow batch to BATCH_BYTES, unless the session asks for less."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    held = re.fullmatch(r"(-?\d+)b?", spark.conf.get(key, str(BATCH_BYTES)))
+    if not held or not 0 < int(held[1]) <= BATCH_BYTES:
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Give a small table one partition per core before text work.
 
     A small file has a single row group and would be read by one task. Tables beyond SPREAD_BYTES
-    are never shuffled for this: their splits are already the parallelism.
+    are never shuffled for this: their splits are already the parallelism. Python functions over it get small batches.
     """
+    small_batches(df.sparkSession)
     size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
     return df.repartition(df.sparkSession.sparkContext.defaultParallelism) if size <= SPREAD_BYTES else df

@@ -374,6 +374,34 @@ def test_spaced_counts_and_few_passes():
     assert sum(seen) < 10 * len(text)
 
 
+def test_batches_are_small_and_cut_in_slices(spark, monkeypatch):
+    import pyarrow as pa
+    from pyspark.sql import types as T
+    from hybridloom import session
+    from hybridloom.functions import encoders, slices
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    try:
+        spark.conf.set(key, str(64 << 20))
+        monkeypatch.setattr(session, "BATCH_BYTES", 20_000)
+
+        @F.arrow_udf(T.LongType())
+        def batch_rows(texts: pa.Array) -> pa.Array:
+            return pa.array([len(texts)] * len(texts), pa.int64())
+
+        texts = session.spread(spark.range(4000).select(F.repeat(F.lit("x"), 100).alias("v")))
+        assert texts.select(batch_rows("v").alias("n")).agg(F.max("n")).first()[0] < 400
+    finally:
+        spark.conf.set(key, before)
+    rng = random.Random(3)
+    lists = pa.array([None if i % 9 == 0 else [f"w{rng.randint(0, 50)}" for _ in range(i % 7)] for i in range(300)], pa.list_(pa.string()))
+    seen, whole = [], encoders.count_terms(lists)
+    monkeypatch.setattr(slices, "SLICE_BYTES", 500)
+    cut = slices.in_slices(lambda part: seen.append(part.nbytes) or encoders.count_terms(part))(lists.slice(0))
+    sets = lambda made: [sorted(zip(r["indices"], r["values"])) for r in made.to_pylist()]
+    assert len(seen) > 5 and max(seen) < 1500 and sets(cut) == sets(whole)
+
+
 def test_blocked_encoding_equals_the_whole(spark, tmp_path):
     import random
     from hybridloom.sources.store import CollectionStore
