@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import html as html_entities
+import re
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -18,6 +19,8 @@ SCRIPT = r"(?s)<script[^>]*>.*?</script>"
 STYLE = r"(?s)<style[^>]*>.*?</style>"
 NO_TITLE = "(no title)"
 SHORT_CONTENT = 20
+# Tags without attributes, whose content is no raw text; markup of nothing else needs no parser.
+PLAIN_TAG = re.compile(r"<(/?(?:table|thead|tbody|tfoot|tr|td|th|b|i|p))>", re.IGNORECASE | re.ASCII)
 
 
 @F.arrow_udf(T.ArrayType(T.StringType()))
@@ -58,13 +61,38 @@ class _Table(HTMLParser):
             self.rows[-1][-1] += data.strip()
 
 
+def _plain_rows(parts: list[str]) -> list[list[str]]:
+    """The rows :class:`_Table` finds, from markup cut at its tags: a text, a tag, a text and so on."""
+    rows: list[list[str]] = []
+    inside = False
+    for tag, data in zip(parts[1::2], parts[2::2]):
+        name = tag.lower()
+        if name in ("td", "th"):
+            if rows:
+                rows[-1].append("")
+                inside = True
+        elif name == "tr":
+            rows.append([])
+            inside = False
+        elif name in ("/td", "/th", "/tr"):
+            inside = False
+        if inside and data:
+            rows[-1][-1] += (html_entities.unescape(data) if "&" in data else data).strip()
+    return rows
+
+
 def table_to_tsv(markup: str | None) -> str:
     if not markup or not markup.strip():
         return ""
-    parser = _Table()
-    parser.feed(markup)
-    parser.close()
-    return "\n".join("\t".join(cells) for cells in parser.rows if cells)
+    parts = PLAIN_TAG.split(markup)
+    if markup.count("<") == len(parts) // 2:  # every tag is plain
+        rows = _plain_rows(parts)
+    else:
+        parser = _Table()
+        parser.feed(markup)
+        parser.close()
+        rows = parser.rows
+    return "\n".join("\t".join(cells) for cells in rows if cells)
 
 
 @F.arrow_udf(T.ArrayType(T.StringType()))

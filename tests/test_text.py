@@ -155,3 +155,22 @@ def test_small_replies(spark):
 def test_restore_is_one_pass(spark):
     rows = spark.createDataFrame([("a __CITE_0__ b __CITE_1__ __CITE_99999999999__", ["__CITE_1__", "x"])], "v string, spans array<string>")
     assert rows.select(citations.restore(F.col("v"), F.col("spans"))).first()[0] == "a __CITE_1__ b x __CITE_99999999999__"
+
+
+def test_plain_tables_need_no_parser(monkeypatch):
+    import random
+    rng = random.Random(4)
+    bits = ["<tr>", "</tr>", "<td>", "</td>", "<TH>", "</th>", "<b>", "</b>", "<table>", "</table>", " a ", "b&amp;c", "&lt", "&#x41;", "&", "&amp", " ", "é\n"]
+    made = ["".join(rng.choice(bits) for _ in range(rng.randint(1, 40))) for _ in range(3000)]
+
+    def parsed(markup):
+        parser = html._Table()
+        parser.feed(markup)
+        parser.close()
+        return "\n".join("\t".join(cells) for cells in parser.rows if cells)
+
+    expected = [parsed(m) if m.strip() else "" for m in made]
+    attributed = "<table><tr><td class='x<y'>1</td><td><!-- <td>no</td> -->2</td></tr></table>"
+    assert html.table_to_tsv(attributed) == parsed(attributed) == "1\t2"
+    monkeypatch.setattr(html, "_Table", None)
+    assert [html.table_to_tsv(m) for m in made] == expected
