@@ -10,6 +10,7 @@ from hybridloom.config import SPARSE_WINDOW_WORDS, ChunkSettings
 from hybridloom.functions import encoders, text as tx
 from hybridloom.operators import autoencoder, chunking, dml
 from hybridloom.schema import PAYLOAD, as_points
+from hybridloom.session import cut_lineage
 from hybridloom.sources.store import CollectionStore
 
 SECTIONS_PER_BLOCK = 1000
@@ -78,7 +79,8 @@ def ingest(store: CollectionStore, collection: str, sections: DataFrame, setting
     Ids hold a hash of the text: running it again adds nothing, and a file whose text has changed loses its old chunks and their vectors.
     """
     name = store.create(collection)
-    chunks = chunks_of(sections, settings)
+    # Written once: retirement and the order of a batch read them again.
+    chunks = cut_lineage(chunks_of(sections, settings))
     if store.has(name, "payload"):
         store.retire(name, chunks)
     store.append(name, chunks)

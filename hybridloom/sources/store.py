@@ -16,11 +16,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from hybridloom.operators import dml, postings
 from hybridloom.schema import as_points, equality_filter
-from hybridloom.session import cut_lineage
+from hybridloom.session import checked_broadcast, cut_lineage
 from hybridloom.sources import sketches
 from hybridloom.sources.commits import CommitLog
 
 COMPONENTS = ("payload", "dense", "sparse")
+#: Batches are written once and again by replacement and retirement, so they are packed tighter than by default.
+COMPRESSION = "zstd"
 
 
 def safe_name(name: str) -> str:
@@ -169,20 +171,23 @@ class CollectionStore:
 
     # Writing
 
-    def _batch(self, folder: str, component: str, rows: DataFrame, statistics: DataFrame | None = None) -> dict:
-        """Write rows to a folder of their own: payload along the curve with a sketch of each file, sparse vectors with their term counts."""
+    def _batch(self, folder: str, component: str, rows: DataFrame, statistics: DataFrame | None = None, unique: bool = True) -> dict:
+        """Write rows to a folder of their own: payload along the curve with a sketch of each file, sparse vectors with their term counts. Rows whose ids
+        may not be ``unique`` are written as they come; only where the written ids then repeat, one of each is written anew."""
         own = uuid.uuid4().hex
         batch = {"folder": f"{component}/{own}"}
         target = f"{self.root}/{folder}/{batch['folder']}"
-        (sketches.clustered(rows) if component == "payload" else rows).write.parquet(target)
+        (sketches.clustered(rows) if component == "payload" else rows).write.parquet(target, compression=COMPRESSION)
         stored = self.spark.read.schema(rows.schema).parquet(target)
+        if not unique and not stored.groupBy("id").count().where("count > 1").isEmpty():
+            return self._batch(folder, component, stored.dropDuplicates(["id"]), statistics)
         if component == "payload":
             batch["sketch"] = f"sketch/{own}"
             sketches.file_sketches(stored).write.parquet(f"{self.root}/{folder}/{batch['sketch']}")
         elif component == "sparse":
             batch["statistics"] = f"statistics/{own}"
             counts = postings.term_counts(stored) if statistics is None else statistics
-            counts.write.parquet(f"{self.root}/{folder}/{batch['statistics']}")
+            counts.write.parquet(f"{self.root}/{folder}/{batch['statistics']}", compression=COMPRESSION)
         return batch
 
     def _check(self, base: Snapshot, component: str, rows: DataFrame) -> None:
@@ -203,9 +208,10 @@ class CollectionStore:
             stored = base.batches.get(component, [])
             others = [b for b in stored if b["folder"] not in held["seen"]]
             if held["batch"] is None or others:
-                own = rows if held["batch"] is None else self._rows(folder, [held["batch"]])
-                fresh = dml.new_rows(own, self._rows(folder, others), ["id"]) if others else own.dropDuplicates(["id"])
-                held["batch"] = self._batch(folder, component, fresh)
+                first = held["batch"] is None
+                own = rows if first else self._rows(folder, [held["batch"]])
+                fresh = dml.without(own, self._rows(folder, others), "id") if others else own
+                held["batch"] = self._batch(folder, component, fresh, unique=not first)
             held["seen"] = [b["folder"] for b in stored]
             return {"changes": [{"component": component, "mode": "add", "batches": [held["batch"]]}]}
 
@@ -221,7 +227,7 @@ class CollectionStore:
             if not base.has(component):
                 return {"changes": [{"component": component, "mode": "set", "batches": [self._batch(folder, component, rows)]}]}
             stored = self.read(folder, component, base)
-            gone = stored.join(rows.select("id"), "id", "left_semi") if component == "sparse" else None
+            gone = dml.within(stored, rows, "id") if component == "sparse" else None
             counts = self._changed(folder, base, gone, rows) if gone is not None else None
             return {"changes": [{"component": component, "mode": "set", "batches": [self._batch(folder, component, dml.replace_component(stored, rows), counts)]}]}
 
@@ -235,7 +241,7 @@ class CollectionStore:
             if not base.has("payload"):
                 return None
             files = chunks.select("source_file").distinct()
-            gone = self.read(folder, "payload", base).join(files, "source_file", "left_semi").select("id").join(chunks.select("id"), "id", "left_anti")
+            gone = self.read(folder, "payload", base).join(checked_broadcast(files), "source_file", "left_semi").select("id").join(chunks.select("id"), "id", "left_anti")
             gone = cut_lineage(gone)
             if gone.isEmpty():
                 return None
@@ -243,8 +249,8 @@ class CollectionStore:
             for component in COMPONENTS:
                 if base.has(component):
                     stored = self.read(folder, component, base)
-                    counts = self._changed(folder, base, stored.join(gone, "id", "left_semi"), None) if component == "sparse" else None
-                    changes.append({"component": component, "mode": "set", "batches": [self._batch(folder, component, stored.join(gone, "id", "left_anti"), counts)]})
+                    counts = self._changed(folder, base, dml.within(stored, gone, "id"), None) if component == "sparse" else None
+                    changes.append({"component": component, "mode": "set", "batches": [self._batch(folder, component, dml.without(stored, gone, "id"), counts)]})
             return {"changes": changes}
 
         self._commit(folder, make)

@@ -39,14 +39,14 @@ SELECT term, count(*) AS df, (SELECT count(*) FROM kept) AS n FROM p_terms GROUP
 def maintained_statistics(spark: SparkSession, sf: str) -> DataFrame:
     """Document frequencies after three batches that overlap, a replacement of vectors and the retirement of points, from counts kept by the store."""
     store = CollectionStore(spark, work_folder(spark, "store"))
-    points = tb.documents(spark, sf)
+    points, payload = tb.documents(spark, sf), tb.documents(spark, sf, dealt=False).select("id", "text", "source_file", "language")
     name = store.create("documents")
     encoder = lambda rows, text: rows.select("id", tb.encoders.sparse_terms(text).alias("sparse"))
     for part in ("id % 3 = 0", "id % 3 <> 2", "id % 3 <> 0"):
-        store.append(name, points.where(part).select("id", "text", "source_file", "language"))
+        store.append(name, payload.where(part))
         store.append(name, encoder(points.where(part), F.col("text")), "sparse")
     store.replace(name, encoder(points.where("id % 7 = 0"), F.col("language")), "sparse")
-    store.retire(name, points.where("source_file = 'src3' AND id % 40 <> 3").select("id", "source_file"))
+    store.retire(name, payload.where("source_file = 'src3' AND id % 40 <> 3").select("id", "source_file"))
     counts = store.term_statistics(name)
     total = counts.where("term IS NULL").select("df").first()[0]
     return counts.where("term IS NOT NULL").select("term", "df", F.lit(total).cast("long").alias("n"))

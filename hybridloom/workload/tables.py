@@ -12,9 +12,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents as points: source plays source_file, lang plays language and category."""
-    return spread(table(spark, sf_dir, "documents")).select(
+def documents(spark: SparkSession, sf_dir: str, dealt: bool = True) -> DataFrame:
+    """Documents as points: source plays source_file, lang plays language and category. For text work they are dealt to the cores first."""
+    rows = table(spark, sf_dir, "documents")
+    return (spread(rows) if dealt else rows).select(
         F.col("doc_id").alias("id"), "text", F.col("source").alias("source_file"),
         F.col("lang").alias("language"), F.col("lang").alias("category"), "n_chars",
         tx.token_estimate(F.col("text")).cast("long").alias("token_count"))

@@ -177,6 +177,33 @@ def test_multi_hop_never_repeats(engine):
     assert hybrid[:1] == [r["id"] for r in engine.hybrid_hits(engine.queries(["fusion"]), "books", 1).collect()]
 
 
+def test_stored_batches_are_not_shuffled_by_id(spark, tmp_path, monkeypatch):
+    from hybridloom.operators import dml
+    from hybridloom.sources.store import CollectionStore
+    store, plans, write = CollectionStore(spark, str(tmp_path / "c")), [], CollectionStore._batch
+    name = store.create("words")
+    frame = lambda *ids: spark.createDataFrame([(i, ([f"t{i}", "all"], [1.0, 2.0])) for i in ids], "id long, sparse struct<indices array<string>, values array<double>>")
+
+    def seen(self, folder, component, rows, *args, **options):
+        plans.append(rows._jdf.queryExecution().executedPlan().toString())
+        return write(self, folder, component, rows, *args, **options)
+
+    monkeypatch.setattr(CollectionStore, "_batch", seen)
+    store.append(name, frame(1, 2, 3), "sparse")
+    store.append(name, frame(3, 4, 5), "sparse")
+    store.replace(name, frame(2, 5).withColumn("sparse", F.struct(F.array(F.lit("new")).alias("indices"), F.array(F.lit(1.0)).alias("values"))), "sparse")
+    assert len(plans) == 3 and not any("Exchange hashpartitioning" in p for p in plans)
+    store.append(name, frame(6, 6, 6, 1), "sparse")  # copies inside a batch
+    assert sorted(r["id"] for r in store.read(name, "sparse").collect()) == [1, 2, 3, 4, 5, 6]
+    counts = {r["term"]: r["df"] for r in store.term_statistics(name).collect()}
+    assert counts == {None: 6, "new": 2, "all": 4, "t1": 1, "t3": 1, "t4": 1, "t6": 1}
+
+    rows = spark.range(5000).select(F.when(F.col("id") % 50 > 0, F.col("id")).alias("id"), F.col("id").cast("string").alias("text"))
+    listed = spark.range(0, 9000, 3)
+    for made, how in ((dml.without(rows, listed, "id", 10), "left_anti"), (dml.within(rows, listed, "id", 10), "left_semi")):
+        assert sorted(map(str, made.collect())) == sorted(map(str, rows.join(listed, "id", how).collect()))
+
+
 def test_changed_files_replace_their_chunks_and_vectors(spark, tmp_path):
     from hybridloom.plans.ingest import ingest
     from hybridloom.sources.store import CollectionStore
