@@ -10,17 +10,21 @@ from hybridloom.functions import text as tx
 BRACKETED = r"\[(?:\d+(?:\s*[-–]\s*\d+)?(?:\s*,\s*\d+(?:\s*[-–]\s*\d+)?)*)\]"
 _AUTHOR = r"[A-Z][A-Za-z'\-]+(?:\s+(?:et\s+al\.|&\s*[A-Z][A-Za-z'\-]+))?,?\s*\d{4}"
 AUTHOR_YEAR = rf"\((?:{_AUTHOR}(?:\s*;\s*{_AUTHOR})*)\)"
-NUMBERED = r"(?i)(?:Fig(?:s)?|Eq(?:s)?|Tab(?:le)?|Sec|Ref)\.\s*\d+\."
+# Lookaheads for the first letters pass over most places of a text before an alternative is tried.
+NUMBERED = r"(?i)(?=[fetsr][iqae])(?:Fig(?:s)?|Eq(?:s)?|Tab(?:le)?|Sec|Ref)\.\s*\d+\."
 ABBREVIATIONS = ["et al.", "i.e.", "e.g.", "cf.", "Figs.", "Fig.", "Eqs.", "Eq.", "Tab.", "Sec.", "Ref.",
                  "Vol.", "No.", "vs."]
 
 
 def _abbreviation_pattern() -> str:
     longest_first = sorted(ABBREVIATIONS, key=len, reverse=True)
-    return r"(?iU)(?<!\w)(?:" + "|".join(a.replace(".", r"\.") for a in longest_first) + ")"
+    first = r"(?-iU:(?=[CEFINRSTVcefinrstv\x80-\x{10FFFF}][AEFIOQSTaefioqst.\x80-\x{10FFFF}]))"
+    return rf"(?iU){first}(?<!\w)(?:" + "|".join(a.replace(".", r"\.") for a in longest_first) + ")"
 
 
 PLACEHOLDER = r"__CITE_(\d+)__"
+# Stands around a match while a text is masked.
+MARK = "\u0002"
 PATTERNS = [BRACKETED, AUTHOR_YEAR, NUMBERED, _abbreviation_pattern()]
 
 
@@ -31,16 +35,20 @@ def _placeholder(i: Column) -> Column:
 def mask(value: Column) -> Column:
     """struct<masked, spans>: placeholder i stands for spans[i].
 
-    Each pattern is one pass: the pieces between its matches are joined by numbered placeholders.
+    Each pattern is one pass that marks its matches; the pieces between them are joined by numbered placeholders. A text that holds the mark itself is
+    gone through twice, for pieces and for matches.
     """
     def one_pass(pattern: str):
         def step(state: Column) -> Column:
-            found = F.regexp_extract_all(state["masked"], F.lit(pattern), F.lit(0))
-            start = F.size(state["spans"])
-            joined = tx.bind(F.split(state["masked"], pattern), lambda pieces: F.array_join(
+            text, start = state["masked"], F.size(state["spans"])
+            found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+            twice = tx.bind(F.split(text, pattern), lambda pieces: F.array_join(
                 F.transform(pieces, lambda p, i: F.when(
                     i < F.size(pieces) - 1, F.concat(p, _placeholder(i + start))).otherwise(p)), ""))
-            return _state(joined, F.concat(state["spans"], found))
+            once = tx.bind(F.split(F.regexp_replace(text, pattern, f"{MARK}$0{MARK}"), MARK, -1), lambda pieces: _state(
+                F.array_join(F.transform(pieces, lambda p, i: F.when(i % 2 == 1, _placeholder(F.shiftright(i, 1) + start)).otherwise(p)), ""),
+                F.concat(state["spans"], F.filter(pieces, lambda _, i: i % 2 == 1))))
+            return F.when(text.contains(MARK), _state(twice, F.concat(state["spans"], found))).otherwise(once)
         return step
 
     state = _state(value, F.array().cast("array<string>"))

@@ -9,6 +9,8 @@ from pyspark.sql import Column, functions as F
 # Patterns and word lists that decide results.
 TERM_PATTERN = r"[\p{L}\p{N}]+"
 BLANK = r"(?U)\s+"
+# What (?U)\s matches.
+BLANKS = " \t\n\x0b\f\r\x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200b))) + "\u2028\u2029\u202f\u205f\u3000"
 PARAGRAPH_BREAK = r"(?U)\n\s*\n"
 TITLE_ABBREVIATIONS = "Dr|Mr|Mrs|Ms|Prof|Sr|Jr|St|Vs|Rev|Gen|Gov|Sgt|Cpl|Pvt|Capt|Lt|Col|Maj"
 SENTENCE_OPENER = r"""(?=[A-Z"'(])"""
@@ -36,7 +38,7 @@ def bind(value: Column, body: Callable[[Column], Column]) -> Column:
 
 def strip(value: Column) -> Column:
     """Trim Unicode white space at both ends."""
-    return F.regexp_replace(value, r"(?U)^\s+|\s+$", "")
+    return F.btrim(value, F.lit(BLANKS))
 
 
 def words(value: Column) -> Column:
@@ -64,10 +66,11 @@ def sentences(value: Column) -> Column:
     A single letter with a dot ("U.") never ends a sentence, and a title abbreviation
     ("Dr.") keeps the following fragment, joined by one space.
     """
-    title_end = rf"(?U)(?<![^\s])((?i:{TITLE_ABBREVIATIONS})\.)\s+{SENTENCE_OPENER}"
+    # The lookahead for first letters passes over most places before the costlier tests.
+    title_end = rf"(?U)(?=[CDGJLMPRSVcdgjlmprsv\x80-\x{{10FFFF}}][AEGOPRSTVaegoprstv\x80-\x{{10FFFF}}])(?<![^\s])((?i:{TITLE_ABBREVIATIONS})\.)\s+{SENTENCE_OPENER}"
     glued = F.regexp_replace(value, title_end, "$1\u0001")
-    cut = rf"(?U)(?<=[.!?])(?<!\b\w\.)\s+{SENTENCE_OPENER}"
-    parts = F.transform(F.split(glued, cut), lambda s: F.regexp_replace(strip(s), "\u0001", " "))
+    cut = rf"(?U)(?-U:(?=[\t-\r \x80-\x{{10FFFF}}]))(?<=[.!?])(?<!\b\w\.)\s+{SENTENCE_OPENER}"
+    parts = F.transform(F.split(glued, cut), lambda s: F.replace(strip(s), F.lit("\u0001"), F.lit(" ")))
     return F.filter(parts, lambda s: s != "")
 
 

@@ -1,3 +1,5 @@
+import random
+
 import hypothesis.strategies as st
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -174,3 +176,34 @@ def test_plain_tables_need_no_parser(monkeypatch):
     assert html.table_to_tsv(attributed) == parsed(attributed) == "1\t2"
     monkeypatch.setattr(html, "_Table", None)
     assert [html.table_to_tsv(m) for m in made] == expected
+
+
+def test_quick_patterns_find_what_the_plain_ones_do(spark):
+    """Sentence and citation patterns look at two letters first, and trimming needs no pattern; results are those of the plain forms."""
+    parts = ["et al.", "I.E.", "i.e.", "e.g.", "E.G.", "cf.", "Figs.", "Fi\u0261.", "fig. 3.", "Eqs.", "Tab.", "Table. 4.", "\u017fec.", "Sec. 1.", "Ref.", "Vol.", "No.", "v\u017f.", "vs.", "F\u0130g.", "f\u0131g.", "F\u0131gs.",
+             "Dr. A", "mr.  B", "M\u017f. C", "\u017ft. D", "Prof.\u00a0E", "Lt. 'x", "maj.\u3000(y", "x", "\u00e9", " ", "\u2003", "\x85", "\n", "\x1c", "\x0b", "[1]", "U. S.", "!", "? ", "Q", "_", "9", "\U0001d400", "."]
+    picked = random.Random(3)
+    texts = ["", " ", "\u2003 \n"] + ["".join(picked.choice(parts) for _ in range(picked.randint(1, 12))) for _ in range(3000)]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    abbreviations = r"(?iU)(?<!\w)(?:" + "|".join(a.replace(".", r"\.") for a in sorted(citations.ABBREVIATIONS, key=len, reverse=True)) + ")"
+    numbered = r"(?i)(?:Fig(?:s)?|Eq(?:s)?|Tab(?:le)?|Sec|Ref)\.\s*\d+\."
+    trimmed = lambda c: F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
+    glued = F.regexp_replace("t", rf"(?U)(?<![^\s])((?i:{tx.TITLE_ABBREVIATIONS})\.)\s+{tx.SENTENCE_OPENER}", "$1\u0001")
+    plain = F.filter(F.transform(F.split(glued, rf"(?U)(?<=[.!?])(?<!\b\w\.)\s+{tx.SENTENCE_OPENER}"), lambda s: F.regexp_replace(trimmed(s), "\u0001", " ")), lambda s: s != "")
+    found = lambda p: F.regexp_extract_all("t", F.lit(p), F.lit(0))
+    same = df.select((found(citations.PATTERNS[3]) == found(abbreviations)).alias("a"), (found(citations.NUMBERED) == found(numbered)).alias("n"),
+                     (tx.strip(F.col("t")) == trimmed(F.col("t"))).alias("s"), (tx.sentences(F.col("t")) == plain).alias("p"))
+    assert [r for r in same.collect() if not all(r)] == [] and df.select(F.sum(F.size(found(abbreviations)))).first()[0] > 1000
+    for quick in (citations.PATTERNS[3], citations.NUMBERED, tx.strip(F.col("t"))._jc.toString()):
+        assert "(?=" in quick or "regexp" not in quick and "trim" in quick
+
+
+def test_mask_goes_once_through_a_text(spark):
+    """Texts that hold the mark itself get the same placeholders and spans as others."""
+    texts = ["", "[1]", "[1][2]", "see [1], cf. Fig. 2. and et al.", "cf. x [3]", None]
+    df = spark.createDataFrame([(t, i) for i, t in enumerate(texts)], "t string, i int").select("i", "t", F.concat("t", F.lit(citations.MARK)).alias("u"))
+    rows = df.select("t", "u", citations.mask(F.col("t")).alias("m"), citations.mask(F.col("u")).alias("n")).orderBy("i").collect()
+    assert [r["m"]["spans"] for r in rows][:5] == [[], ["[1]"], ["[1]", "[2]"], ["[1]", "Fig. 2.", "cf.", "et al."], ["[3]", "cf."]]
+    assert rows[3]["m"]["masked"] == "see __CITE_0__, __CITE_2__ __CITE_1__ and __CITE_3__"
+    assert all(r["n"]["spans"] == r["m"]["spans"] and r["n"]["masked"] == (r["m"]["masked"] + citations.MARK if r["t"] is not None else None) for r in rows)
+    assert "regexp_replace" in citations.mask(F.col("t"))._jc.toString()
