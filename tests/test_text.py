@@ -207,3 +207,20 @@ def test_mask_goes_once_through_a_text(spark):
     assert rows[3]["m"]["masked"] == "see __CITE_0__, __CITE_2__ __CITE_1__ and __CITE_3__"
     assert all(r["n"]["spans"] == r["m"]["spans"] and r["n"]["masked"] == (r["m"]["masked"] + citations.MARK if r["t"] is not None else None) for r in rows)
     assert "regexp_replace" in citations.mask(F.col("t"))._jc.toString()
+
+
+def test_terms_are_hashed_in_one_go(monkeypatch):
+    import pyarrow as pa
+    from hybridloom.functions import encoders
+    words = ["a", "\u00e9t\u00e9", "x1", "\u4e00", "", *(f"w{i}" for i in range(500))]
+    single = [encoders.term_slot(w, 50) for w in words]
+    slots, signs = encoders.term_slots(pa.array(words), 50)
+    assert list(zip(slots.tolist(), signs.tolist())) == single
+
+    def one_by_one(*_):
+        raise AssertionError("a term at a time")
+
+    monkeypatch.setattr(encoders, "term_slot", one_by_one)
+    dense = encoders.hash_terms(pa.array([["a", "a", "x1"], [], None, words]), 50)
+    assert dense[0][single[0][0]] in (2 * single[0][1], 2 * single[0][1] + single[2][1]) and not dense[1:3].any()
+    assert dense[3].sum() == sum(sign for _, sign in single)
