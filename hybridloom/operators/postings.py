@@ -117,6 +117,13 @@ def postings_topk(postings: DataFrame, queries: DataFrame, k: int, idf: DataFram
     return PostingsSearch(postings, query_terms(queries, idf, query_col, query_vector), k, **options).hits(query_col)
 
 
+def statistics_of(postings: DataFrame, total: int, wanted: DataFrame | None = None) -> DataFrame:
+    """Statistics (term, df) of the points in posting lists, whose lengths are the counts, with ``total`` points under the null term. No point is encoded again."""
+    lists = postings if wanted is None else postings.join(checked_broadcast(wanted), "term", "left_semi")
+    counts = lists.groupBy("term").agg(F.sum(F.size("ids")).cast("long").alias("df"))
+    return counts.unionByName(postings.sparkSession.range(1).select(F.lit(None).cast("string").alias("term"), F.lit(total).cast("long").alias("df")))
+
+
 def idf_of(statistics: DataFrame, wanted: DataFrame | None = None) -> DataFrame:
     """(term, df, idf) from maintained statistics (term, df), whose null term counts the points; ``wanted`` limits the terms."""
     total = statistics.where("term IS NULL").select(F.sum("df")).first()[0] or 0

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from hybridloom.operators import postings, topk
+from hybridloom.operators import postings
 from hybridloom.session import work_folder
 from hybridloom.sources.store import CollectionStore
 from hybridloom.workload import tables as tb
@@ -21,9 +21,10 @@ def _posted(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _search(spark: SparkSession, sf: str) -> postings.PostingsSearch:
-    points = tb.encoded_documents(spark, sf, "sparse")
-    asked = tb.prompts(spark, sf).select("query_id", "sparse")
-    return postings.PostingsSearch(_posted(spark, sf), postings.query_terms(asked, topk.inverse_document_frequency(points)), 10)
+    asked, posted = tb.prompts(spark, sf).select("query_id", "sparse"), _posted(spark, sf)
+    wanted = asked.select(F.explode("sparse.indices").alias("term")).distinct()
+    statistics = postings.statistics_of(posted, tb.table(spark, sf, "documents").count(), wanted)
+    return postings.PostingsSearch(posted, postings.query_terms(asked, postings.idf_of(statistics)), 10)
 
 
 @query("postings_topk", f"""WITH {tb.sql_sparse(True)}, {tb.sql_ranked('sparse_scores', 'r', 10)}

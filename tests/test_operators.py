@@ -435,3 +435,16 @@ def test_hull_and_surface(spark):
     assert out[0.6, 0.5] == pytest.approx(min(10, sum(a * z for a, (_, _, z) in zip(w, kept)) / sum(w)))
     flat = spark.createDataFrame([(0.5, 0.1, 2.0)] * 5, "f double, l double, v double")
     assert ev.lift_surface(flat, "f", "l", "v").count() == 0 == ev.lift_surface(flat.limit(0), "f", "l", "v").count()
+
+
+def test_posting_lists_hold_the_statistics(spark, tmp_path):
+    """Document frequencies are the lengths of the lists; points are not encoded a second time for them."""
+    from hybridloom.operators import postings
+    points = spark.createDataFrame([(i, (["all", f"t{i % 3}"], [1.0, 2.0])) for i in range(20)] + [(20, ([], [])), (21, None)],
+                                   "id long, sparse struct<indices array<string>, values array<double>>")
+    postings.write_postings(postings.point_blocks(points, block_points=4), str(tmp_path / "p"))
+    lists, plain = spark.read.parquet(str(tmp_path / "p")), topk.inverse_document_frequency(points)
+    rows = lambda df: sorted((r["term"], r["df"], round(r["idf"], 12)) for r in df.collect())
+    assert rows(postings.idf_of(postings.statistics_of(lists, points.count()))) == rows(plain) != []
+    wanted = spark.createDataFrame([("t1",), ("none",)], "term string")
+    assert rows(postings.idf_of(postings.statistics_of(lists, points.count(), wanted))) == [r for r in rows(plain) if r[0] == "t1"]
